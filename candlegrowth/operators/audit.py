@@ -28,31 +28,28 @@ def file_md5(spark, path, glob="*", max_bytes=MAX_MD5_BYTES):
 
 
 def row_hashes(columns):
-    """Two independent 64-bit hashes of a row of text cells, as summable decimals.
+    """Two independent 64-bit hashes of a row of text cells.
 
     The hash passes over NULL, so a marker keeps an empty cell's place.
     """
-    columns = [F.coalesce(F.col(c), F.lit("\u0000")) for c in columns]
-    return [
-        F.xxhash64(*columns).cast("decimal(20,0)"),
-        F.xxhash64(F.lit("second"), *columns).cast("decimal(20,0)"),
-    ]
+    cells = [F.coalesce(F.col(c), F.lit("\u0000")) for c in columns]
+    return [F.xxhash64(*cells), F.xxhash64(F.lit("second"), *cells)]
 
 
-def fingerprint(sums, n):
-    """128 bits that identify a bag of rows, whatever their order: hash sums and the count."""
-    return F.md5(F.concat_ws("|", *[s.cast("string") for s in sums], n.cast("string")))
+def fingerprint(first_hash, second_hash):
+    """Aggregate that identifies a bag of rows, whatever their order, by the sums of their
+    hashes and their number. The sums combine in the tasks that read the rows, so a file of any
+    size is spread over many tasks."""
+    sums = [F.sum(F.col(c).cast("decimal(20,0)")).cast("string") for c in (first_hash, second_hash)]
+    return F.md5(F.concat_ws("|", *sums, F.count(F.lit(1)).cast("string")))
 
 
 def content_fingerprint(rows, columns, keys=("file_path",)):
-    """Fingerprint per file from its rows. The sums combine in the tasks that read the file, so
-    a file of any size is spread over many tasks."""
+    """Fingerprint per file from its rows."""
     first, second = row_hashes(columns)
-    sums = rows.groupBy(*keys).agg(
-        F.sum(first).alias("_first"), F.sum(second).alias("_second"), F.count(F.lit(1)).alias("n")
-    )
-    return sums.select(
-        *keys, fingerprint([F.col("_first"), F.col("_second")], F.col("n")).alias("md5_sum"), "n"
+    hashed = rows.select(*keys, first.alias("first_hash"), second.alias("second_hash"))
+    return hashed.groupBy(*keys).agg(
+        fingerprint("first_hash", "second_hash").alias("md5_sum"), F.count(F.lit(1)).alias("n")
     )
 
 

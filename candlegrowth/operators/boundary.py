@@ -124,6 +124,13 @@ def month_boundary_window(candles, tie_break=None, dense_ties=False):
     ).dropDuplicates()
 
 
+def has_two_bars():
+    """Whether first and last bar differ. The count would also see a bar that came twice."""
+    return (F.col("first_time") != F.col("last_time")) | ~F.col("first_seq").eqNullSafe(
+        F.col("last_seq")
+    )
+
+
 def boundary_rows(boundary):
     """Long form: the first and the last bar of each month, once where they are the same bar."""
     first = F.struct(
@@ -138,7 +145,7 @@ def boundary_rows(boundary):
         F.col("last_open").alias("open_price"),
         F.col("last_close").alias("close_price"),
     )
-    bars = F.when(F.col("n") > 1, F.array(first, last)).otherwise(F.array(first))
+    bars = F.when(has_two_bars(), F.array(first, last)).otherwise(F.array(first))
     return boundary.select("stock_name", "year", "month", F.inline(bars))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from candlegrowth import schema
 from candlegrowth.functions.percent import growth_percent
+from candlegrowth.operators.boundary import has_two_bars
 
 OPEN_CLOSE = "open_close"
 CLOSE_FIRST = "close_first"
@@ -81,25 +82,35 @@ def month_growth(boundary, algorithm=OPEN_CLOSE, pairs_only=False, default_base=
 
     `pairs_only` leaves out months of one bar, after they served as a base for the next month.
     """
-    growth = boundary.select(
-        "stock_name",
-        "year",
-        "month",
-        F.lit(ALGORITHM_TYPES.get(algorithm)).alias("algorithm_type"),
-        growth_percent(F.col("last_close"), _base(algorithm, default_base)).alias("growth"),
-        "n",
-    )
-    if pairs_only:
-        growth = growth.where(F.col("n") > 1)
-    return growth.drop("n")
+    return _growths(boundary, [algorithm], pairs_only, default_base)
 
 
-def growth_by_rules(boundary, algorithm_type, rules):
-    """Growth for an algorithm type as one of the readings in RULES defines it."""
+def growth_by_rules(boundary, algorithm_types, rules):
+    """Growth for algorithm types (`o-c`, `c-c`) as one of the readings in RULES defines them."""
     rules = RULES[rules] if isinstance(rules, str) else rules
-    return month_growth(
-        boundary, rules.algorithm(algorithm_type), rules.pairs_only, rules.default_base
-    )
+    algorithms = [rules.algorithm(kind) for kind in algorithm_types]
+    return _growths(boundary, algorithms, rules.pairs_only, rules.default_base)
+
+
+def _growths(boundary, algorithms, pairs_only, default_base):
+    """Growth by one or more rules from one reading of the boundaries."""
+    keys = ["stock_name", "year", "month"]
+    growths = [
+        [
+            F.lit(ALGORITHM_TYPES.get(algorithm)).alias("algorithm_type"),
+            growth_percent(F.col("last_close"), _base(algorithm, default_base)).alias("growth"),
+        ]
+        for algorithm in algorithms
+    ]
+    if len(growths) == 1:
+        columns = growths[0]
+    else:
+        columns = [F.array(*[F.struct(*columns) for columns in growths]).alias("growths")]
+    pair = [has_two_bars().alias("pair")] if pairs_only else []
+    rows = boundary.select(*keys, *columns, *pair)
+    if pairs_only:
+        rows = rows.where("pair").drop("pair")
+    return rows if len(growths) == 1 else rows.select(*keys, F.inline("growths"))
 
 
 def boundary_rows_with_lags(rows):
@@ -134,10 +145,17 @@ def lag_by_self_join(boundary):
             "stock_name", (F.col("seq") + months).alias("seq"), F.col("last_close").alias(name)
         )
 
-    keys = ["stock_name", "seq"]
-    joined = indexed.join(shifted(1, "prev_close"), keys, "left").join(
-        shifted(2, "prev_prev_close"), keys, "left"
-    )
+    def earlier(rows, others):
+        """Left join that also matches NULL stocks; without a NULL filter on one side, both sides
+        read the same shuffled months."""
+        others = others.withColumnsRenamed({"stock_name": "other_stock", "seq": "other_seq"})
+        same = rows["stock_name"].eqNullSafe(others["other_stock"]) & rows["seq"].eqNullSafe(
+            others["other_seq"]
+        )
+        return rows.join(others, same, "left").drop("other_stock", "other_seq")
+
+    joined = earlier(indexed, shifted(1, "prev_close"))
+    joined = earlier(joined, shifted(2, "prev_prev_close"))
     own_open = F.col("first_open")
     return joined.select(
         "stock_name",

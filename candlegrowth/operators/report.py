@@ -1,7 +1,5 @@
 """Year reports, averages over the years and the queries on them."""
 
-from functools import reduce
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -68,21 +66,29 @@ def pivot_join_totals(growth):
     months = months.select(
         *REPORT_KEYS, *[F.col(str(i)).alias(name) for i, name in enumerate(schema.MONTHS, 1)]
     )
-    return months.join(year_total(growth), REPORT_KEYS, "left")
+    totals = year_total(growth).withColumnsRenamed({key: f"total_{key}" for key in REPORT_KEYS})
+    # NULL-safe keys put no filter on one side only, so both sides share the pass over the bars.
+    same = [months[key].eqNullSafe(totals[f"total_{key}"]) for key in REPORT_KEYS]
+    return months.join(totals, same, "left").drop(*[f"total_{key}" for key in REPORT_KEYS])
 
 
-def report_by_rules(boundary, algorithm_type, rules):
-    """The year report as one of the readings in RULES defines it."""
+def report_algorithms(boundary, algorithm_types, rules):
+    """Year reports for some algorithm types as one of the readings in RULES defines them.
+
+    All of them come from one reading of the boundaries.
+    """
     rules = growth_rules.RULES[rules] if isinstance(rules, str) else rules
-    return year_report(
-        growth_rules.growth_by_rules(boundary, algorithm_type, rules), rules.missing
-    )
+    growth = growth_rules.growth_by_rules(boundary, algorithm_types, rules)
+    return year_report(growth, rules.missing)
+
+
+def report_by_rules(boundary, algorithm_type, rules):
+    return report_algorithms(boundary, [algorithm_type], rules)
 
 
 def report_both_algorithms(boundary, rules):
     """Reports of both algorithm types in one table."""
-    reports = [report_by_rules(boundary, kind, rules) for kind in ("o-c", "c-c")]
-    return reduce(lambda left, right: left.unionByName(right), reports)
+    return report_algorithms(boundary, ["o-c", "c-c"], rules)
 
 
 def average_report(report):

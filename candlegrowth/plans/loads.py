@@ -193,7 +193,7 @@ def incremental_equals_full(spark, folder):
     load = IncrementalLoad(spark, root, "pairs", tie_break="volume")
     load.initialise()
     stream = sources.stream_candles(spark, path, layout="partitions", max_files=16)
-    load.run_stream(stream, f"{root}/checkpoint")
+    load.run_stream(stream)
     return rounded(load.report().drop("stock_bucket"))
 
 

@@ -29,6 +29,7 @@ _TYPES = {
     "timestamp": T.TimestampType(),
     "timestamp_ntz": T.TimestampNTZType(),
     "price": T.DecimalType(10, 4),
+    "volume": T.DecimalType(18, 4),
 }
 
 

@@ -2,11 +2,12 @@
 
 Tables below one root folder:
 
-  staging    typed rows and rejects of each load, parquet, by load and `rejected`
+  staging    typed rows and rejects of each load, by load and `rejected`
   audit      one row per file of each load, with its fingerprint and whether it was taken
   delta      month boundaries that one load added, by load and stock bucket
   base       merged boundaries up to a load, by load and stock bucket
   report, averages   the current reports, by stock bucket
+  epoch      the name of the stream's checkpoint, new whenever the tables are emptied
 
 A load writes only its own `load_id` folders and the report buckets it touches, each by
 overwrite, and reads only folders of earlier loads. A batch that is retried after a failure
@@ -16,8 +17,9 @@ Carry and lag rules look across month and year edges, so a new bar can change la
 all months of the touched stocks are reported again, from the small state.
 """
 
-from functools import reduce
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,24 +30,23 @@ from candlegrowth.operators import clean, report
 
 BUCKETS = 64
 MERGE_EVERY = 32
-FULL_LOAD = -1
 
 AUDIT = schema.struct(
     "file_path string, file_name string, file_type string, md5_sum string, "
-    "number_of_processed_rows bigint, load_with_error boolean, is_new boolean, load_date timestamp"
+    "number_of_processed_rows bigint, load_with_error boolean, is_new boolean, "
+    "start_load_date timestamp, end_load_date timestamp"
 )
+CELLS = list(schema.RAW_CANDLES.names)
 STAGED = schema.struct(
     "file_path string, file_name string, file_type string, stock_name string, "
-    "time_utc timestamp_ntz, open_price price, close_price price, seq bigint, "
-    "reject_reason string, "
-    + ", ".join(f"{name} string" for name in schema.RAW_CANDLES.names)
-    + ", rejected boolean"
+    "time_utc timestamp_ntz, open_price price, high_price price, low_price price, "
+    "close_price price, volume volume, seq bigint, first_hash bigint, second_hash bigint, "
+    "reject_reason string, " + ", ".join(f"{name} string" for name in CELLS)
 )
 
-
 # Columns and partition columns of each table.
 TABLES = {
-    "staging": (T.StructType(STAGED.fields[:-1]), "load_id int, rejected boolean"),
+    "staging": (STAGED, "load_id int, rejected boolean"),
     "audit": (AUDIT, "load_id int"),
     "delta": (schema.BOUNDARY, "load_id int, stock_bucket int"),
     "base": (schema.BOUNDARY, "load_id int, stock_bucket int"),
@@ -78,13 +79,24 @@ class IncrementalLoad:
 
     # Tables
 
-    def initialise(self):
-        """Empty tables. An earlier content of the root is dropped with them."""
+    def initialise(self, replace=False):
+        """Create empty tables; with `replace` an earlier content is dropped."""
+        if not replace and self._epoch() is not None:
+            raise ValueError(f"{self.root} holds tables already")
         for table, (columns, partitions) in TABLES.items():
-            fields = [*columns.fields, *schema.struct(partitions).fields]
-            names = [f.name for f in schema.struct(partitions).fields]
-            empty = self.spark.createDataFrame([], T.StructType(fields))
-            empty.write.partitionBy(*names).mode("overwrite").parquet(self.path(table))
+            partitions = schema.struct(partitions)
+            empty = self.spark.createDataFrame(
+                [], T.StructType([*columns.fields, *partitions.fields])
+            )
+            empty.write.partitionBy(*partitions.names).mode("overwrite").parquet(self.path(table))
+        epoch = self.spark.createDataFrame([(uuid.uuid4().hex,)], "epoch string")
+        epoch.write.mode("overwrite").parquet(self.path("epoch"))
+
+    def _epoch(self):
+        try:
+            return self.spark.read.schema("epoch string").parquet(self.path("epoch")).head()[0]
+        except AnalysisException:
+            return None
 
     def table(self, table):
         columns, partitions = TABLES[table]
@@ -109,59 +121,61 @@ class IncrementalLoad:
     # Loads
 
     def load(self, raw, load_id):
-        """Take one set of raw rows in: the whole data, or one batch of the stream."""
+        """Take one batch of raw rows in."""
+        start = self.spark.range(1).select(F.current_timestamp()).head()[0]
         staged = self._stage(raw, load_id)
-        new_files = self._audit(staged, load_id)
+        new_files = self._audit(staged, load_id, start)
         self._add_boundaries(staged, new_files, load_id)
         self._merge_if_due(load_id)
         self._refresh_reports(load_id)
 
     def _stage(self, raw, load_id):
-        """Parse the text once; everything later reads the columns it needs from parquet."""
+        """Parse the text once; everything later reads the columns it needs from parquet.
+
+        Text cells are kept for rejected rows only. The hashes of all cells serve the audit.
+        """
         parsed = clean.parse_candles(raw)
-        seq = F.col(self.tie_break).cast("bigint") if self.tie_break else F.lit(None).cast("bigint")
-        staged = parsed.withColumn("seq", seq).select(
-            *STAGED.names[:-1], (F.col("reject_reason") != "").alias("rejected")
+        seq = F.col(self.tie_break) if self.tie_break else F.lit(None)
+        first, second = audits.row_hashes(["stock_name", *CELLS])
+        rejected = F.col("reject_reason") != ""
+        staged = parsed.select(
+            "file_path", "file_name", "file_type", "stock_name", "time_utc", "open_price",
+            "high_price", "low_price", "close_price", "volume", seq.cast("bigint").alias("seq"),
+            first.alias("first_hash"), second.alias("second_hash"), "reject_reason",
+            *[F.when(rejected, F.col(c)).alias(c) for c in CELLS],
+            rejected.alias("rejected"),
         )
-        staged.write.partitionBy("rejected").mode("overwrite").parquet(self.path("staging", load_id))
-        return self.spark.read.schema(STAGED).parquet(self.path("staging", load_id))
+        path = self.path("staging", load_id)
+        staged.write.partitionBy("rejected").mode("overwrite").parquet(path)
+        fields = [*STAGED.fields, *schema.struct("rejected boolean").fields]
+        return self.spark.read.schema(T.StructType(fields)).parquet(path)
 
-    def _audit(self, staged, load_id):
+    def _audit(self, staged, load_id, start):
         """Fingerprint the files and mark those whose content is new.
 
         Of several copies, in one load or over time, the first counts and the others are skipped.
         """
-        cells = list(schema.RAW_CANDLES.names)
-        first, second = audits.row_hashes(["stock_name", *cells])
         sums = staged.groupBy("file_path", "file_name", "file_type").agg(
-            F.sum(first).alias("_first"),
-            F.sum(second).alias("_second"),
+            audits.fingerprint("first_hash", "second_hash").alias("md5_sum"),
             F.count(F.lit(1)).alias("number_of_processed_rows"),
             F.bool_or(F.col("rejected")).alias("load_with_error"),
         )
-        files = sums.withColumn(
-            "md5_sum",
-            audits.fingerprint(
-                [F.col("_first"), F.col("_second")], F.col("number_of_processed_rows")
-            ),
-        ).drop("_first", "_second")
         known = self.table("audit").where(F.col("is_new") & (F.col("load_id") < load_id))
         firsts = (
-            audits.new_files_only(files, known, ["md5_sum"])
+            audits.new_files_only(sums, known, ["md5_sum"])
             .groupBy("md5_sum")
-            .agg(F.min("file_path").alias("file_path"))
-            .select("file_path", F.lit(True).alias("is_new"))
+            .agg(F.min("file_path").alias("first_path"))
         )
-        rows = files.join(firsts, "file_path", "left").withColumns(
-            {"is_new": F.coalesce("is_new", F.lit(False)), "load_date": F.current_timestamp()}
-        )
-        rows.select(*AUDIT.names).write.mode("overwrite").parquet(self.path("audit", load_id))
-        return (
-            self.spark.read.schema(AUDIT)
-            .parquet(self.path("audit", load_id))
-            .where("is_new")
-            .select("file_path")
+        rows = sums.join(firsts, "md5_sum", "left").withColumns(
+            {
+                "is_new": F.coalesce(F.col("file_path") == F.col("first_path"), F.lit(False)),
+                "start_load_date": F.lit(start),
+                "end_load_date": F.current_timestamp(),
+            }
         )
+        path = self.path("audit", load_id)
+        rows.select(*AUDIT.names).write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(AUDIT).parquet(path).where("is_new").select("file_path")
 
     def _add_boundaries(self, staged, new_files, load_id):
         """Boundaries per file first, so only months, not bars, are joined and shuffled."""
@@ -177,16 +191,14 @@ class IncrementalLoad:
     def _state(self, load_id):
         """Boundaries after a load: the last merged base before it, and the deltas since."""
         load = F.col("load_id")
-        delta = self.table("delta").where(load <= load_id)
-        if load_id == FULL_LOAD:
-            return delta
-        base_id = max(load_id // MERGE_EVERY * MERGE_EVERY - 1, FULL_LOAD)
+        base_id = load_id // MERGE_EVERY * MERGE_EVERY - 1
         base = self.table("base").where(load == base_id)
-        return base.unionByName(delta.where(load > base_id))
+        delta = self.table("delta").where((load > base_id) & (load <= load_id))
+        return base.unionByName(delta)
 
     def _merge_if_due(self, load_id):
         """Write a merged base now and then, so the number of deltas to read stays small."""
-        if load_id == FULL_LOAD or (load_id + 1) % MERGE_EVERY == 0:
+        if (load_id + 1) % MERGE_EVERY == 0:
             merged = boundaries.merge_boundaries(self._state(load_id))
             self._write_boundary(merged, "base", load_id)
 
@@ -198,10 +210,7 @@ class IncrementalLoad:
         # At most BUCKETS numbers: they prune the folders of the state that are read.
         state = self._state(load_id).where(F.col("stock_bucket").isin(touched))
         months = boundaries.merge_boundaries(state)
-        reports = [
-            report.report_by_rules(months, kind, self.rules) for kind in self.algorithm_types
-        ]
-        years = reduce(lambda left, right: left.unionByName(right), reports)
+        years = report.report_algorithms(months, self.algorithm_types, self.rules)
         self._write_report(years, "report")
         current = self.report().where(F.col("stock_bucket").isin(touched))
         self._write_report(report.averages_by_rules(current, self.rules), "averages")
@@ -212,16 +221,11 @@ class IncrementalLoad:
             "partitionOverwriteMode", "dynamic"
         ).mode("overwrite").parquet(self.path(table))
 
-    def full(self, raw):
-        """Empty the tables and load everything as one set."""
-        self.initialise()
-        self.load(raw, FULL_LOAD)
-
-    def run_stream(self, stream, checkpoint):
+    def run_stream(self, stream):
         """Load what has arrived since the last run, then stop."""
         query = (
             stream.writeStream.foreachBatch(lambda batch, batch_id: self.load(batch, batch_id))
-            .option("checkpointLocation", checkpoint)
+            .option("checkpointLocation", f"{self.root}/checkpoint/{self._epoch()}")
             .trigger(availableNow=True)
             .start()
         )
