@@ -6,9 +6,28 @@ from candlegrowth import schema
 from candlegrowth.functions import parse
 
 
-def _broken(text, value, required):
-    missing = F.col(text).isNull()
-    return (missing | value.isNull()) if required else (~missing & value.isNull())
+CELLS = {
+    # typed column: text column, whether a row needs it
+    "time_utc": ("time_text", True),
+    "open_price": ("open_text", True),
+    "high_price": ("high_text", False),
+    "low_price": ("low_text", False),
+    "close_price": ("close_text", True),
+    "volume": ("volume_text", False),
+}
+
+
+def _parse(name, text):
+    if name == "time_utc":
+        return parse.parse_time(F.col(text))
+    return parse.parse_decimal(F.col(text), schema.VOLUME if name == "volume" else schema.PRICE)
+
+
+def _reason(name, text, required):
+    bad = F.col(name).isNull()
+    if not required:
+        bad = bad & F.col(text).isNotNull()
+    return F.when(bad, F.lit(text.removesuffix("_text")))
 
 
 def parse_candles(raw):
@@ -17,27 +36,9 @@ def parse_candles(raw):
     A cell is bad when it holds text that does not parse, or when time, open or close is missing.
     One bad row never stops a load; it is set apart.
     """
-    typed = {
-        "time": ("time_text", parse.parse_time(F.col("time_text")), True),
-        "open": ("open_text", parse.parse_decimal(F.col("open_text")), True),
-        "high": ("high_text", parse.parse_decimal(F.col("high_text")), False),
-        "low": ("low_text", parse.parse_decimal(F.col("low_text")), False),
-        "close": ("close_text", parse.parse_decimal(F.col("close_text")), True),
-        "volume": (
-            "volume_text",
-            parse.parse_decimal(F.col("volume_text"), schema.VOLUME),
-            False,
-        ),
-    }
-    reasons = [
-        F.when(_broken(text, value, required), F.lit(name))
-        for name, (text, value, required) in typed.items()
-    ]
-    column_names = {"time": "time_utc", "volume": "volume"}
-    values = {
-        column_names.get(name, f"{name}_price"): value for name, (_, value, _) in typed.items()
-    }
-    return raw.withColumns({**values, "reject_reason": F.concat_ws(",", *reasons)})
+    typed = raw.withColumns({name: _parse(name, text) for name, (text, _) in CELLS.items()})
+    reasons = [_reason(name, text, required) for name, (text, required) in CELLS.items()]
+    return typed.withColumn("reject_reason", F.concat_ws(",", *reasons))
 
 
 def valid_rows(parsed):
@@ -46,5 +47,4 @@ def valid_rows(parsed):
 
 
 def reject_rows(parsed):
-    typed = ["time_utc", "open_price", "high_price", "low_price", "close_price", "volume"]
-    return parsed.where(F.col("reject_reason") != "").drop(*typed)
+    return parsed.where(F.col("reject_reason") != "").drop(*CELLS)
