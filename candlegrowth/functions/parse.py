@@ -29,8 +29,8 @@ def decimal_to_text(number, scale=5):
     return F.replace(fixed, F.lit("."), F.lit(","))
 
 
-def is_header(line):
-    return line.startswith(schema.HEADER_START)
+def is_header(line, delimiter=schema.DELIMITER):
+    return line.startswith(schema.HEADER_CELL + delimiter)
 
 
 def decode_path(path):

@@ -68,14 +68,20 @@ def staging_audit(parsed, md5, start, end):
     )
 
 
-def destination_audit(report, task_name, file_type="Bid"):
+def destination_audit(report, task_name, start=None, end=None, file_type="Bid"):
     """One row per stock, algorithm and year of a written report."""
-    return report.groupBy("stock_name", "algorithm_type", "current_year").agg(
-        F.lit(file_type).alias("file_type"),
-        F.lit(task_name).alias("task_name"),
+    rows = report.groupBy("stock_name", "algorithm_type", "current_year").agg(
         F.count(F.lit(1)).alias("number_of_processed_rows"),
         F.bool_or(F.col("total_per_year").isNull()).alias("load_with_error"),
     )
+    return rows.withColumns(
+        {
+            "file_type": F.lit(file_type),
+            "task_name": F.lit(task_name),
+            "start_load_date": F.lit(start).cast("timestamp"),
+            "end_load_date": F.lit(end).cast("timestamp"),
+        }
+    ).select(*schema.DESTINATION_AUDIT.names)
 
 
 def new_files_only(files, audit, keys=("file_name", "md5_sum")):

@@ -154,7 +154,8 @@ def staging_audit_counts(spark, folder):
 
 def destination_audit(spark, folder):
     years = report.report_both_algorithms(order_months(spark, folder), "pairs")
-    return audit.destination_audit(years, "year_report")
+    rows = audit.destination_audit(years, "year_report")
+    return rows.drop("start_load_date", "end_load_date")
 
 
 def _file_list(spark, folder):

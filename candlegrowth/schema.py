@@ -7,7 +7,7 @@ MONTHS = (
     "january", "february", "march", "april", "may", "june",
     "july", "august", "september", "october", "november", "december",
 )
-HEADER_START = "Time (UTC);"
+HEADER_CELL = "Time (UTC)"
 HEADER_LINE = "Time (UTC);Open;High;Low;Close;Volume"
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DELIMITER = ";"
@@ -59,6 +59,11 @@ AVERAGES = struct(
     + ", ".join(f"avg_{m} double" for m in MONTHS)
     + ", avg_total double"
 )
+DESTINATION_AUDIT = struct(
+    "stock_name string, algorithm_type string, current_year int, file_type string, "
+    "task_name string, start_load_date timestamp, end_load_date timestamp, "
+    "number_of_processed_rows bigint, load_with_error boolean"
+)
 STAGING_AUDIT = struct(
     "file_name string, stock_name string, current_year int, file_type string, md5_sum string, "
     "start_load_date timestamp, end_load_date timestamp, number_of_processed_rows bigint, "

@@ -6,6 +6,8 @@ from pyspark.sql import types as T
 from candlegrowth import schema
 from candlegrowth.functions import parse
 
+NO_AGE_LIMIT = "36500d"
+
 
 def _reader(reader, delimiter, glob):
     return reader.options(
@@ -21,10 +23,8 @@ def _raw_schema(partitioned):
 
 def _finish(raw, layout):
     raw = raw.withColumn("file_path", parse.decode_path(F.col("_metadata.file_path")))
-    raw = with_path_columns(raw, layout).where(
-        F.col("time_text").isNull() | (F.col("time_text") != schema.HEADER_START.rstrip(";"))
-    )
-    return raw
+    is_header = F.col("time_text").eqNullSafe(schema.HEADER_CELL)
+    return with_path_columns(raw, layout).where(~is_header)
 
 
 def with_path_columns(raw, layout="file_name"):
@@ -65,8 +65,12 @@ def read_candles(spark, path, delimiter=schema.DELIMITER, glob=schema.BID_GLOB,
 def stream_candles(
     spark, path, delimiter=schema.DELIMITER, glob=schema.BID_GLOB, layout="file_name", max_files=None
 ):
-    """The same rows as a stream over files as they arrive."""
-    reader = _reader(spark.readStream, delimiter, glob)
+    """The same rows as a stream over files as they arrive.
+
+    By default a stream passes over files that are a week older than the newest; here no file is
+    too old.
+    """
+    reader = _reader(spark.readStream, delimiter, glob).option("maxFileAge", NO_AGE_LIMIT)
     if layout != "partitions":
         reader = reader.option("recursiveFileLookup", "true")
     if max_files:
@@ -81,9 +85,9 @@ def read_lines(spark, path, delimiter=schema.DELIMITER, glob="*"):
     A last empty field keeps its place, so a line always has the same positions.
     """
     lines = spark.read.option("pathGlobFilter", glob).text(path)
-    cells = F.split(F.col("value"), f"[{delimiter}]", -1)
+    cells = F.split(F.col("value"), rf"\Q{delimiter}\E", -1)
     others = [c for c in lines.columns if c != "value"]
-    return lines.where(~parse.is_header(F.col("value"))).select(
+    return lines.where(~parse.is_header(F.col("value"), delimiter)).select(
         *others,
         F.get(cells, F.lit(0)).alias("time_text"),
         F.get(cells, F.lit(1)).alias("open_text"),

@@ -4,6 +4,7 @@ Tables below one root folder:
 
   staging    typed rows and rejects of each load, by load and `rejected`
   audit      one row per file of each load, with its fingerprint and whether it was taken
+  destination_audit   one row per stock, algorithm and year that a load reported again
   delta      month boundaries that one load added, by load and stock bucket
   base       merged boundaries up to a load, by load and stock bucket
   report, averages   the current reports, by stock bucket
@@ -17,6 +18,7 @@ Carry and lag rules look across month and year edges, so a new bar can change la
 all months of the touched stocks are reported again, from the small state.
 """
 
+import datetime
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -48,6 +50,7 @@ STAGED = schema.struct(
 TABLES = {
     "staging": (STAGED, "load_id int, rejected boolean"),
     "audit": (AUDIT, "load_id int"),
+    "destination_audit": (schema.DESTINATION_AUDIT, "load_id int"),
     "delta": (schema.BOUNDARY, "load_id int, stock_bucket int"),
     "base": (schema.BOUNDARY, "load_id int, stock_bucket int"),
     "report": (schema.REPORT, "stock_bucket int"),
@@ -122,12 +125,12 @@ class IncrementalLoad:
 
     def load(self, raw, load_id):
         """Take one batch of raw rows in."""
-        start = self.spark.range(1).select(F.current_timestamp()).head()[0]
+        start = datetime.datetime.now()
         staged = self._stage(raw, load_id)
         new_files = self._audit(staged, load_id, start)
         self._add_boundaries(staged, new_files, load_id)
         self._merge_if_due(load_id)
-        self._refresh_reports(load_id)
+        self._refresh_reports(load_id, start)
 
     def _stage(self, raw, load_id):
         """Parse the text once; everything later reads the columns it needs from parquet.
@@ -202,7 +205,7 @@ class IncrementalLoad:
             merged = boundaries.merge_boundaries(self._state(load_id))
             self._write_boundary(merged, "base", load_id)
 
-    def _refresh_reports(self, load_id):
+    def _refresh_reports(self, load_id, start):
         delta = self.table("delta").where(F.col("load_id") == load_id)
         touched = [row[0] for row in delta.select("stock_bucket").distinct().collect()]
         if not touched:
@@ -214,6 +217,8 @@ class IncrementalLoad:
         self._write_report(years, "report")
         current = self.report().where(F.col("stock_bucket").isin(touched))
         self._write_report(report.averages_by_rules(current, self.rules), "averages")
+        done = audits.destination_audit(current, "year_report", start, datetime.datetime.now())
+        done.write.mode("overwrite").parquet(self.path("destination_audit", load_id))
 
     def _write_report(self, rows, table):
         bucketed = rows.withColumn("stock_bucket", bucket_of("stock_name"))

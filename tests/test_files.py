@@ -106,6 +106,21 @@ def test_header_in_the_middle_is_dropped(spark, tmp_path):
     assert lines.orderBy("time_text").first()["open_text"] == "100,000"
 
 
+def test_other_delimiters(spark, tmp_path):
+    for number, delimiter in enumerate(("|", ",", "\t", "^")):
+        folder = tmp_path / str(number)
+        folder.mkdir()
+        text = fixtures.candle_lines().replace(",", ".").replace(";", delimiter)
+        (folder / NAME.format(year="2020")).write_text(text)
+        rows = clean.valid_rows(
+            clean.parse_candles(sources.read_candles(spark, str(folder), delimiter))
+        )
+        assert rows.count() == 10
+        lines = sources.read_lines(spark, str(folder), delimiter)
+        assert lines.orderBy("time_text").first()["close_text"] == "101.000"
+        assert lines.count() == 10
+
+
 def test_bad_cells_are_set_apart(spark, tmp_path):
     text = fixtures.candle_lines() + (
         "2020-05-01 00:00:00;bad;1;1;1;1\n"
@@ -272,6 +287,9 @@ def test_copies_and_bad_rows(spark, tmp_path):
     bars = fixtures.bars(spark).unionByName(other)
     assert _round(_reports(load)) == _round(_expected(bars, "pairs"))
     assert load.table("delta").agg(F.sum("n")).first()[0] == 14
+    reported = load.table("destination_audit")
+    assert reported.where("load_id = 0").count() == 4
+    assert reported.where("load_id = 1 AND stock_name = 'OTHER'").count() == 2
 
 
 def test_a_repeated_load_changes_nothing(spark, tmp_path):
