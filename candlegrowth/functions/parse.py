@@ -34,33 +34,41 @@ def is_header(line, delimiter=schema.DELIMITER):
 
 
 def decode_path(path):
-    """Undo the URL encoding of `_metadata` paths; a plus sign stands for itself there."""
-    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    """Undo the URL encoding of `_metadata` paths; a plus sign stands for itself there.
+
+    Most parts of a path hold nothing encoded and are passed on as they are.
+    """
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.when(path.contains("%"), decoded).otherwise(path)
 
 
 def path_part(path, position):
-    """A segment of a path, counted from the end: -1 is the file name."""
-    return F.try_element_at(F.split(path, "/"), F.lit(position))
+    """A segment of an encoded path, decoded. Counted from the end: 1 is the file name."""
+    tail = F.substring_index(path, "/", -position)
+    segment = tail if position == 1 else F.substring_index(tail, "/", 1)
+    return decode_path(F.nullif(segment, F.lit("")))
 
 
-def name_field(name, position):
-    return F.try_element_at(F.split(name, "_"), F.lit(position))
+def name_field(path, position):
+    """A field of the file name between underscores, decoded; 1 is the first."""
+    field = F.split_part(F.substring_index(path, "/", -1), F.lit("_"), F.lit(position))
+    return decode_path(F.nullif(field, F.lit("")))
 
 
-def stock_of_name(name):
-    return name_field(name, 1)
+def stock_of_name(path):
+    return decode_path(F.substring_index(F.substring_index(path, "/", -1), "_", 1))
 
 
-def quote_side_of_name(name):
-    return name_field(name, 3)
+def quote_side_of_name(path):
+    return name_field(path, 3)
 
 
-def year_of_name(name):
-    """Year in the fourth field of the name, else the first run of four digits."""
+def year_of_name(path):
+    """Year in the fourth field of the file name, else the first run of four digits."""
     def four_digits(text):
         return F.regexp_extract(text, r"(\d{4})", 1).try_cast("int")
 
-    return F.coalesce(four_digits(name_field(name, 4)), four_digits(name))
+    return F.coalesce(four_digits(name_field(path, 4)), four_digits(path_part(path, 1)))
 
 
 def calendar_parts(time):

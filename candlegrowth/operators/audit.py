@@ -20,50 +20,54 @@ def file_md5(spark, path, glob="*", max_bytes=MAX_MD5_BYTES):
         .load(path)
     )
     return files.where(F.col("length") <= max_bytes).select(
-        parse.decode_path(F.col("path")).alias("file_path"),
-        parse.path_part(parse.decode_path(F.col("path")), -1).alias("file_name"),
+        F.col("_metadata.file_path").alias("file_path"),
+        parse.path_part(F.col("_metadata.file_path"), 1).alias("file_name"),
         F.md5("content").alias("md5_sum"),
         "length",
     )
 
 
-def row_hashes(columns):
-    """Two independent 64-bit hashes of a row of text cells.
+def row_hash(columns):
+    """64-bit hash of a row of text cells.
 
     The hash passes over NULL, so a marker keeps an empty cell's place.
     """
-    cells = [F.coalesce(F.col(c), F.lit("\u0000")) for c in columns]
-    return [F.xxhash64(*cells), F.xxhash64(F.lit("second"), *cells)]
+    return F.xxhash64(*[F.coalesce(F.col(c), F.lit("\u0000")) for c in columns])
 
 
-def fingerprint(first_hash, second_hash):
-    """Aggregate that identifies a bag of rows, whatever their order, by the sums of their
-    hashes and their number. The sums combine in the tasks that read the rows, so a file of any
-    size is spread over many tasks."""
-    sums = [F.sum(F.col(c).cast("decimal(20,0)")).cast("string") for c in (first_hash, second_hash)]
+def fingerprint(row_hash_column):
+    """Aggregate that identifies a bag of rows, whatever their order: the sum of the row hashes,
+    the sum of a second hash of each, and the number of rows. The sums combine in the tasks that
+    read the rows, so a file of any size is spread over many tasks."""
+    first = F.col(row_hash_column)
+    sums = [F.sum(h.cast("decimal(20,0)")).cast("string") for h in (first, F.xxhash64(first))]
     return F.md5(F.concat_ws("|", *sums, F.count(F.lit(1)).cast("string")))
 
 
 def content_fingerprint(rows, columns, keys=("file_path",)):
     """Fingerprint per file from its rows."""
-    first, second = row_hashes(columns)
-    hashed = rows.select(*keys, first.alias("first_hash"), second.alias("second_hash"))
+    hashed = rows.select(*keys, row_hash(columns).alias("row_hash"))
     return hashed.groupBy(*keys).agg(
-        fingerprint("first_hash", "second_hash").alias("md5_sum"), F.count(F.lit(1)).alias("n")
+        fingerprint("row_hash").alias("md5_sum"), F.count(F.lit(1)).alias("n")
     )
 
 
 def staging_audit(parsed, md5, start, end):
     """One row per file: who, what, how many rows, and whether any row was rejected."""
-    counts = parsed.groupBy(
-        "file_path", "file_name", "stock_name", "current_year", "file_type"
-    ).agg(
+    counts = parsed.groupBy("file_path", "stock_name", "current_year").agg(
         F.count(F.lit(1)).alias("number_of_processed_rows"),
         F.bool_or(F.col("reject_reason") != "").alias("load_with_error"),
     )
     return (
         counts.join(md5.select("file_path", "md5_sum"), "file_path", "left")
-        .withColumns({"start_load_date": F.lit(start), "end_load_date": F.lit(end)})
+        .withColumns(
+            {
+                "file_name": parse.path_part(F.col("file_path"), 1),
+                "file_type": parse.quote_side_of_name(F.col("file_path")),
+                "start_load_date": F.lit(start),
+                "end_load_date": F.lit(end),
+            }
+        )
         .select(*schema.STAGING_AUDIT.names)
     )
 

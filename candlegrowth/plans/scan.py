@@ -48,13 +48,12 @@ def path_columns(spark, folder):
         F.lit("/"), "stock_name", F.lit("_10%20Secs_Bid_"), F.col("current_year").cast("string"),
         F.lit(".01.01_"), F.col("current_year").cast("string"), F.lit(".12.31.csv"),
     )
-    paths = cells.groupBy(parse.decode_path(path).alias("file_path")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    paths = cells.groupBy(path.alias("file_path")).agg(F.count(F.lit(1)).alias("n"))
     folders = sources.with_path_columns(paths, "folders").withColumnsRenamed(
         {"stock_name": "folder_stock", "current_year": "folder_year"}
     )
-    return sources.with_path_columns(folders, "file_name")
+    named = sources.with_path_columns(folders, "file_name")
+    return named.withColumn("file_path", parse.decode_path(F.col("file_path")))
 
 
 def list_files(spark, folder):
@@ -64,9 +63,9 @@ def list_files(spark, folder):
     sinks.write_candle_csv(cells, path, "CANDLES_10 Secs_Bid_1995.01.01")
     files = sources.list_files(spark, path, schema.BID_GLOB)
     return files.select(
-        parse.quote_side_of_name(F.col("file_name")).alias("file_type"),
-        parse.path_part(parse.decode_path(F.col("file_path")), -3).alias("stock_folder"),
-        parse.path_part(parse.decode_path(F.col("file_path")), -2).alias("year_folder"),
+        parse.quote_side_of_name(F.col("file_path")).alias("file_type"),
+        parse.path_part(F.col("file_path"), 3).alias("stock_folder"),
+        parse.path_part(F.col("file_path"), 2).alias("year_folder"),
     ).distinct()
 
 

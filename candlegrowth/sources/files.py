@@ -22,7 +22,7 @@ def _raw_schema(partitioned):
 
 
 def _finish(raw, layout):
-    raw = raw.withColumn("file_path", parse.decode_path(F.col("_metadata.file_path")))
+    raw = raw.withColumn("file_path", F.col("_metadata.file_path"))
     is_header = F.col("time_text").eqNullSafe(schema.HEADER_CELL)
     return with_path_columns(raw, layout).where(~is_header)
 
@@ -30,24 +30,22 @@ def _finish(raw, layout):
 def with_path_columns(raw, layout="file_name"):
     """Add file_name, file_type, stock_name and current_year from `file_path`.
 
-    Layouts: `file_name` takes both from the name, `folders` from `stock/year/file`,
-    `partitions` leaves the columns that partition discovery made.
+    The path is URL-encoded, as `_metadata` gives it; the added columns are decoded. Layouts:
+    `file_name` takes stock and year from the name, `folders` from `stock/year/file`,
+    `partitions` leaves the columns that partition discovery made. A column that is not selected
+    later costs nothing, and columns of the file alone are best taken after a grouping by file.
     """
-    name = parse.path_part(F.col("file_path"), -1)
-    raw = raw.withColumn("file_name", name).withColumn(
-        "file_type", parse.quote_side_of_name(F.col("file_name"))
-    )
-    if layout == "partitions":
-        return raw
+    path = F.col("file_path")
+    added = {"file_name": parse.path_part(path, 1), "file_type": parse.quote_side_of_name(path)}
     if layout == "folders":
-        return raw.withColumn("stock_name", parse.path_part(F.col("file_path"), -3)).withColumn(
-            "current_year", parse.path_part(F.col("file_path"), -2).try_cast("int")
-        )
-    if layout == "file_name":
-        return raw.withColumn("stock_name", parse.stock_of_name(F.col("file_name"))).withColumn(
-            "current_year", parse.year_of_name(F.col("file_name"))
-        )
-    raise ValueError(f"unknown layout: {layout}")
+        added["stock_name"] = parse.path_part(path, 3)
+        added["current_year"] = parse.path_part(path, 2).try_cast("int")
+    elif layout == "file_name":
+        added["stock_name"] = parse.stock_of_name(path)
+        added["current_year"] = parse.year_of_name(path)
+    elif layout != "partitions":
+        raise ValueError(f"unknown layout: {layout}")
+    return raw.withColumns(added)
 
 
 def read_candles(spark, path, delimiter=schema.DELIMITER, glob=schema.BID_GLOB, layout="file_name"):
@@ -102,8 +100,8 @@ def list_files(spark, path, glob="*"):
         .options(pathGlobFilter=glob, recursiveFileLookup="true")
         .load(path)
         .select(
-            parse.path_part(parse.decode_path(F.col("path")), -1).alias("file_name"),
-            F.col("path").alias("file_path"),
+            F.col("_metadata.file_path").alias("file_path"),
+            parse.path_part(F.col("_metadata.file_path"), 1).alias("file_name"),
             "length",
             "modificationTime",
         )

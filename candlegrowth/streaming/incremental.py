@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlegrowth import schema
+from candlegrowth.functions import parse
 from candlegrowth.operators import audit as audits
 from candlegrowth.operators import boundary as boundaries
 from candlegrowth.operators import clean, report
@@ -40,9 +41,9 @@ AUDIT = schema.struct(
 )
 CELLS = list(schema.RAW_CANDLES.names)
 STAGED = schema.struct(
-    "file_path string, file_name string, file_type string, stock_name string, "
-    "time_utc timestamp_ntz, open_price price, high_price price, low_price price, "
-    "close_price price, volume volume, seq bigint, first_hash bigint, second_hash bigint, "
+    "file_path string, stock_name string, time_utc timestamp_ntz, "
+    "open_price price, high_price price, low_price price, close_price price, "
+    "volume volume, seq bigint, row_hash bigint, "
     "reject_reason string, " + ", ".join(f"{name} string" for name in CELLS)
 )
 
@@ -135,16 +136,16 @@ class IncrementalLoad:
     def _stage(self, raw, load_id):
         """Parse the text once; everything later reads the columns it needs from parquet.
 
-        Text cells are kept for rejected rows only. The hashes of all cells serve the audit.
+        Text cells are kept for rejected rows only. The hash of all cells serves the audit.
         """
         parsed = clean.parse_candles(raw)
         seq = F.col(self.tie_break) if self.tie_break else F.lit(None)
-        first, second = audits.row_hashes(["stock_name", *CELLS])
         rejected = F.col("reject_reason") != ""
         staged = parsed.select(
-            "file_path", "file_name", "file_type", "stock_name", "time_utc", "open_price",
-            "high_price", "low_price", "close_price", "volume", seq.cast("bigint").alias("seq"),
-            first.alias("first_hash"), second.alias("second_hash"), "reject_reason",
+            "file_path", "stock_name", "time_utc",
+            "open_price", "high_price", "low_price", "close_price", "volume",
+            seq.cast("bigint").alias("seq"),
+            audits.row_hash(["stock_name", *CELLS]).alias("row_hash"), "reject_reason",
             *[F.when(rejected, F.col(c)).alias(c) for c in CELLS],
             rejected.alias("rejected"),
         )
@@ -158,8 +159,8 @@ class IncrementalLoad:
 
         Of several copies, in one load or over time, the first counts and the others are skipped.
         """
-        sums = staged.groupBy("file_path", "file_name", "file_type").agg(
-            audits.fingerprint("first_hash", "second_hash").alias("md5_sum"),
+        sums = staged.groupBy("file_path").agg(
+            audits.fingerprint("row_hash").alias("md5_sum"),
             F.count(F.lit(1)).alias("number_of_processed_rows"),
             F.bool_or(F.col("rejected")).alias("load_with_error"),
         )
@@ -172,6 +173,8 @@ class IncrementalLoad:
         rows = sums.join(firsts, "md5_sum", "left").withColumns(
             {
                 "is_new": F.coalesce(F.col("file_path") == F.col("first_path"), F.lit(False)),
+                "file_name": parse.path_part(F.col("file_path"), 1),
+                "file_type": parse.quote_side_of_name(F.col("file_path")),
                 "start_load_date": F.lit(start),
                 "end_load_date": F.current_timestamp(),
             }

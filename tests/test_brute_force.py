@@ -15,7 +15,7 @@ def month_table(rows):
         groups.setdefault((stock, time.year, time.month), []).append((time, seq, open_price, close))
     table = {}
     for key, bars in groups.items():
-        first, last = min(bars)[:], max(bars)[:]
+        first, last = min(bars), max(bars)
         table[key] = (first[2], first[3], last[3], len(bars))
     return table
 
