@@ -41,6 +41,17 @@ def split_by_month(spark, folder):
     return _counts(spark.read.parquet(path), "stock_name", "year", "month")
 
 
+def split_lines_by_month(spark, folder):
+    """Lines as text files by month; their number and length show that none changed."""
+    path = scratch_path(spark, "lines-by-month")
+    sinks.split_lines_by_month(mapped.order_lines(spark, folder), path)
+    return (
+        spark.read.text(path)
+        .groupBy("stock_name", "year", "month")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("value")).alias("characters"))
+    )
+
+
 def split_by_day(spark, folder):
     """Each file holds one day and at most a full day of ten-second bars."""
     path = scratch_path(spark, "by-day")
@@ -201,6 +212,7 @@ def incremental_equals_full(spark, folder):
 QUERIES = {
     "staging_partitions": staging_partitions,
     "split_by_month": split_by_month,
+    "split_lines_by_month": split_lines_by_month,
     "split_by_day": split_by_day,
     "csv_round_trip": csv_round_trip,
     "growth_csv": growth_csv,
@@ -238,15 +250,15 @@ def _both(candles, select, *more):
 
 _BOTH_COLUMNS = f"SELECT {sqltext.report_columns()} FROM both_reports"
 # Prices as the files hold them: five decimals in the text, four in the typed column.
-_FILE_CANDLES = """candles AS (
+_FILE_CANDLES = f"""candles AS (
   SELECT o_orderpriority AS stock_name, o_orderdate AS time_utc, o_orderkey AS seq,
-         CAST(CAST(CAST(round(o_totalprice, 5) AS DECIMAL(18,5)) AS DECIMAL(10,4)) AS DOUBLE)
-           AS open_price,
-         CAST(CAST(CAST(round(o_totalprice * (1 + CAST((o_orderkey % 21) - 10 AS DOUBLE) / 1000),
-           5) AS DECIMAL(18,5)) AS DECIMAL(10,4)) AS DOUBLE) AS close_price
+         {sqltext.price('o_totalprice')} AS open_price,
+         {sqltext.price(sqltext.CLOSE)} AS close_price
   FROM orders
 )"""
 _YEAR = "CAST(year(o_orderdate) AS INTEGER)"
+_CLOSE = sqltext.CLOSE
+_text = sqltext.price_text
 
 SQL = {
     "staging_partitions": f"""
@@ -256,6 +268,20 @@ FROM orders GROUP BY 1, 2""",
 SELECT o_orderpriority AS stock_name, {_YEAR} AS year,
        CAST(month(o_orderdate) AS INTEGER) AS month, count(*) AS n
 FROM orders GROUP BY 1, 2, 3""",
+    "split_lines_by_month": f"""
+WITH cells AS (
+  SELECT o_orderpriority AS stock_name, o_orderdate,
+         strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS time_text,
+         {_text('o_totalprice')} AS open_text, {_text(_CLOSE)} AS close_text,
+         {_text(f'greatest(o_totalprice, {_CLOSE})')} AS high_text,
+         {_text(f'least(o_totalprice, {_CLOSE})')} AS low_text,
+         CAST(o_orderkey AS VARCHAR) AS volume_text
+  FROM orders
+)
+SELECT stock_name, {_YEAR} AS year, CAST(month(o_orderdate) AS INTEGER) AS month, count(*) AS n,
+       CAST(sum(length(concat_ws(';', time_text, open_text, high_text, low_text, close_text,
+                                 volume_text))) AS BIGINT) AS characters
+FROM cells GROUP BY 1, 2, 3""",
     "split_by_day": """
 SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, true AS fits FROM events GROUP BY 1""",
     "csv_round_trip": _report_sql("open_close"),

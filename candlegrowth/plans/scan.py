@@ -6,6 +6,7 @@ from candlegrowth import schema
 from candlegrowth.functions import parse
 from candlegrowth.functions.percent import growth_percent, nan_to_null, rounded
 from candlegrowth.operators import boundary, clean, quality
+from candlegrowth.plans import sqltext
 from candlegrowth.session import scratch_path
 from candlegrowth.sinks import files as sinks
 from candlegrowth.sources import files as sources
@@ -190,16 +191,9 @@ WITH cells_bad AS (
   FROM orders
 )
 """
-_CLOSE = "o_totalprice * (1 + CAST((o_orderkey % 21) - 10 AS DOUBLE) / 1000)"
-
-
-def _text(value):
-    return f"replace(CAST(CAST(round({value}, 5) AS DECIMAL(18,5)) AS VARCHAR), '.', ',')"
-
-
-def _price(value):
-    return f"CAST(CAST(CAST(round({value}, 5) AS DECIMAL(18,5)) AS DECIMAL(10,4)) AS DOUBLE)"
-
+_CLOSE = sqltext.CLOSE
+_text = sqltext.price_text
+_price = sqltext.price
 
 SQL = {
     "csv_scan": f"""

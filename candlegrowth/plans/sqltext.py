@@ -3,11 +3,24 @@
 from candlegrowth.schema import FIRST_BASE_CONSTANT, MONTHS
 
 
+CLOSE = "o_totalprice * (1 + CAST((o_orderkey % 21) - 10 AS DOUBLE) / 1000)"
+
+
+def price_text(value):
+    """A price as the text of a cell: five decimals and a decimal comma."""
+    return f"replace(CAST(CAST(round({value}, 5) AS DECIMAL(18,5)) AS VARCHAR), '.', ',')"
+
+
+def price(value):
+    """A price after it was written as text and read back."""
+    return f"CAST(CAST(CAST(round({value}, 5) AS DECIMAL(18,5)) AS DECIMAL(10,4)) AS DOUBLE)"
+
+
 def candles(stock="o_orderpriority"):
     return f"""candles AS (
   SELECT CAST({stock} AS VARCHAR) AS stock_name, o_orderdate AS time_utc, o_orderkey AS seq,
          o_totalprice AS open_price,
-         o_totalprice * (1 + CAST((o_orderkey % 21) - 10 AS DOUBLE) / 1000) AS close_price
+         {CLOSE} AS close_price
   FROM orders
 )"""
 

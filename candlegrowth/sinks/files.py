@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from candlegrowth import schema
+from candlegrowth.functions import parse
 
 
 def write_partitioned(df, path, partition_columns, mode="append", max_records=0):
@@ -28,6 +29,19 @@ def split_by_month(candles, path, mode="overwrite"):
     write_partitioned(parts, path, ["stock_name", "year", "month"], mode)
 
 
+def split_lines_by_month(lines, path, delimiter=schema.DELIMITER, mode="overwrite"):
+    """Lines of candle files, unchanged, by stock, year and month; headers are left out.
+
+    A line without a readable time goes to the partition that stands for NULL.
+    """
+    time = parse.parse_time(F.substring_index("value", delimiter, 1))
+    parts = lines.where(~parse.is_header(F.col("value"), delimiter)).select(
+        "stock_name", F.year(time).alias("year"), F.month(time).alias("month"), "value"
+    )
+    keys = ["stock_name", "year", "month"]
+    parts.hint("rebalance", *keys).write.mode(mode).partitionBy(*keys).text(path)
+
+
 def split_by_day(candles, path, mode="overwrite", max_records=schema.BARS_PER_DAY):
     """Candles by day, in files of at most one full day of ten-second bars."""
     parts = candles.withColumn("day", F.to_date("time_utc"))

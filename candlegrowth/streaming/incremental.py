@@ -47,6 +47,8 @@ STAGED = schema.struct(
     "reject_reason string, " + ", ".join(f"{name} string" for name in CELLS)
 )
 
+EPOCH = schema.struct("name string, settings string")
+
 # Columns and partition columns of each table.
 TABLES = {
     "staging": (STAGED, "load_id int, rejected boolean"),
@@ -85,7 +87,7 @@ class IncrementalLoad:
 
     def initialise(self, replace=False):
         """Create empty tables; with `replace` an earlier content is dropped."""
-        if not replace and self._epoch() is not None:
+        if not replace and self._epoch():
             raise ValueError(f"{self.root} holds tables already")
         for table, (columns, partitions) in TABLES.items():
             partitions = schema.struct(partitions)
@@ -93,14 +95,24 @@ class IncrementalLoad:
                 [], T.StructType([*columns.fields, *partitions.fields])
             )
             empty.write.partitionBy(*partitions.names).mode("overwrite").parquet(self.path(table))
-        epoch = self.spark.createDataFrame([(uuid.uuid4().hex,)], "epoch string")
+        epoch = self.spark.createDataFrame([(uuid.uuid4().hex, self._settings())], EPOCH)
         epoch.write.mode("overwrite").parquet(self.path("epoch"))
 
+    def _settings(self):
+        return f"{self.rules} {' '.join(self.algorithm_types)}"
+
     def _epoch(self):
+        """Name of the stream's checkpoint, or None before the tables exist.
+
+        Reports of untouched stocks are kept, so all loads must follow the same rules.
+        """
         try:
-            return self.spark.read.schema("epoch string").parquet(self.path("epoch")).head()[0]
+            name, settings = self.spark.read.schema(EPOCH).parquet(self.path("epoch")).head()
         except AnalysisException:
             return None
+        if settings != self._settings():
+            raise ValueError(f"the tables were made with {settings}, not {self._settings()}")
+        return name
 
     def table(self, table):
         columns, partitions = TABLES[table]
@@ -231,9 +243,12 @@ class IncrementalLoad:
 
     def run_stream(self, stream):
         """Load what has arrived since the last run, then stop."""
+        epoch = self._epoch()
+        if not epoch:
+            raise ValueError(f"{self.root} holds no tables yet")
         query = (
             stream.writeStream.foreachBatch(lambda batch, batch_id: self.load(batch, batch_id))
-            .option("checkpointLocation", f"{self.root}/checkpoint/{self._epoch()}")
+            .option("checkpointLocation", f"{self.root}/checkpoint/{epoch}")
             .trigger(availableNow=True)
             .start()
         )

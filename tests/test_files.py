@@ -244,7 +244,7 @@ def _round(tables):
     return [sorted([tuple(map(cell, row)) for row in rows], key=str) for rows in tables]
 
 
-@pytest.mark.parametrize("rules", ["pairs", "carry"])
+@pytest.mark.parametrize("rules", ["carry"])
 def test_late_files_give_the_same_report_as_a_full_load(spark, tmp_path, rules, monkeypatch):
     """Newest bars come first, one file per run, with a merge of the state in between."""
     monkeypatch.setattr(incremental, "MERGE_EVERY", 3)
@@ -262,6 +262,29 @@ def test_late_files_give_the_same_report_as_a_full_load(spark, tmp_path, rules,
     assert load.table("base").select("load_id").distinct().count() == 1
 
 
+def test_loads_follow_the_rules_of_the_tables(spark, tmp_path):
+    folder = _year_files(tmp_path / "in")
+    stream = sources.stream_candles(spark, str(folder))
+    with pytest.raises(ValueError, match="no tables"):
+        IncrementalLoad(spark, str(tmp_path / "out")).run_stream(stream)
+    IncrementalLoad(spark, str(tmp_path / "out")).initialise()
+    with pytest.raises(ValueError, match="made with"):
+        IncrementalLoad(spark, str(tmp_path / "out"), "carry").run_stream(stream)
+
+
+def test_lines_by_month_stay_as_they_are(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / NAME.format(year="2020")).write_text(fixtures.candle_lines() + "bad;1\n")
+    lines = spark.read.text(str(tmp_path / "in")).withColumn("stock_name", F.lit("XAUUSD"))
+    sinks.split_lines_by_month(lines, str(tmp_path / "out"))
+    found = spark.read.text(str(tmp_path / "out"))
+    assert _sorted(found.select("value")) == sorted(
+        (line,) for line in [*fixtures.candle_lines(header=False).splitlines(), "bad;1"]
+    )
+    assert found.where("year = 2020 AND month = 1").count() == 3
+    assert found.where("year IS NULL").count() == 1
+
+
 def test_copies_and_bad_rows(spark, tmp_path):
     folder = _year_files(tmp_path / "in")
     (folder / "XAUUSD_10 Secs_Bid_2020.copy.csv").write_bytes(
