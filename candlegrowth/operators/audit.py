@@ -38,9 +38,17 @@ def row_hash(columns):
 def fingerprint(row_hash_column):
     """Aggregate that identifies a bag of rows, whatever their order: the sum of the row hashes,
     the sum of a second hash of each, and the number of rows. The sums combine in the tasks that
-    read the rows, so a file of any size is spread over many tasks."""
+    read the rows, so a file of any size is spread over many tasks.
+
+    A hash is summed in three parts of 22 bits or less, which a bigint holds for 2**41 rows.
+    """
     first = F.col(row_hash_column)
-    sums = [F.sum(h.cast("decimal(20,0)")).cast("string") for h in (first, F.xxhash64(first))]
+    low = F.lit((1 << 22) - 1)
+    sums = []
+    for value in (first, F.xxhash64(first)):
+        middle = F.shiftrightunsigned(value, 22).bitwiseAND(low)
+        for part in (value.bitwiseAND(low), middle, F.shiftrightunsigned(value, 44)):
+            sums.append(F.sum(part).cast("string"))
     return F.md5(F.concat_ws("|", *sums, F.count(F.lit(1)).cast("string")))
 
 

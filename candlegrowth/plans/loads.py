@@ -204,7 +204,7 @@ def incremental_equals_full(spark, folder):
     root = scratch_path(spark, "incremental")
     load = IncrementalLoad(spark, root, "pairs", tie_break="volume")
     load.initialise()
-    stream = sources.stream_candles(spark, path, layout="partitions", max_files=16)
+    stream = sources.stream_candles(spark, path, layout="partitions", max_files=20)
     load.run_stream(stream)
     return rounded(load.report().drop("stock_bucket"))
 

@@ -35,7 +35,7 @@ def csv_scan(spark, folder):
 def header_filter(spark, folder):
     """Lines of text with headers among them, split by position."""
     path = scratch_path(spark, "header-filter")
-    mapped.order_lines(spark, folder).write.partitionBy("stock_name", "current_year").text(path)
+    sinks.write_lines(mapped.order_lines(spark, folder), path, ["stock_name", "current_year"])
     return sources.read_lines(spark, path).select(
         "stock_name", "current_year", "time_text", "open_text", "close_text"
     )

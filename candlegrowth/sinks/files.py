@@ -29,6 +29,12 @@ def split_by_month(candles, path, mode="overwrite"):
     write_partitioned(parts, path, ["stock_name", "year", "month"], mode)
 
 
+def write_lines(lines, path, partition_columns, mode="overwrite"):
+    """Lines as text files below partition folders."""
+    balanced = lines.hint("rebalance", *partition_columns)
+    balanced.write.mode(mode).partitionBy(*partition_columns).text(path)
+
+
 def split_lines_by_month(lines, path, delimiter=schema.DELIMITER, mode="overwrite"):
     """Lines of candle files, unchanged, by stock, year and month; headers are left out.
 
@@ -38,8 +44,7 @@ def split_lines_by_month(lines, path, delimiter=schema.DELIMITER, mode="overwrit
     parts = lines.where(~parse.is_header(F.col("value"), delimiter)).select(
         "stock_name", F.year(time).alias("year"), F.month(time).alias("month"), "value"
     )
-    keys = ["stock_name", "year", "month"]
-    parts.hint("rebalance", *keys).write.mode(mode).partitionBy(*keys).text(path)
+    write_lines(parts, path, ["stock_name", "year", "month"], mode)
 
 
 def split_by_day(candles, path, mode="overwrite", max_records=schema.BARS_PER_DAY):

@@ -44,14 +44,14 @@ STAGED = schema.struct(
     "file_path string, stock_name string, time_utc timestamp_ntz, "
     "open_price price, high_price price, low_price price, close_price price, "
     "volume volume, seq bigint, row_hash bigint, "
-    "reject_reason string, " + ", ".join(f"{name} string" for name in CELLS)
+    "rejected boolean, reject_reason string, " + ", ".join(f"{name} string" for name in CELLS)
 )
 
 EPOCH = schema.struct("name string, settings string")
 
 # Columns and partition columns of each table.
 TABLES = {
-    "staging": (STAGED, "load_id int, rejected boolean"),
+    "staging": (STAGED, "load_id int"),
     "audit": (AUDIT, "load_id int"),
     "destination_audit": (schema.DESTINATION_AUDIT, "load_id int"),
     "delta": (schema.BOUNDARY, "load_id int, stock_bucket int"),
@@ -157,14 +157,13 @@ class IncrementalLoad:
             "file_path", "stock_name", "time_utc",
             "open_price", "high_price", "low_price", "close_price", "volume",
             seq.cast("bigint").alias("seq"),
-            audits.row_hash(["stock_name", *CELLS]).alias("row_hash"), "reject_reason",
+            audits.row_hash(["stock_name", *CELLS]).alias("row_hash"),
+            rejected.alias("rejected"), "reject_reason",
             *[F.when(rejected, F.col(c)).alias(c) for c in CELLS],
-            rejected.alias("rejected"),
         )
         path = self.path("staging", load_id)
-        staged.write.partitionBy("rejected").mode("overwrite").parquet(path)
-        fields = [*STAGED.fields, *schema.struct("rejected boolean").fields]
-        return self.spark.read.schema(T.StructType(fields)).parquet(path)
+        staged.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(STAGED).parquet(path)
 
     def _audit(self, staged, load_id, start):
         """Fingerprint the files and mark those whose content is new.
