@@ -159,12 +159,14 @@ def month_min_max_time(candles, period="month"):
 def boundary_rows_global(candles, period="month"):
     """Bars of any stock at the earliest or latest time of a period over all stocks.
 
-    The key side holds two times per calendar period whatever the size of the data (24 rows
-    per year for months), so it is safe to broadcast, and the bars are filtered in place.
+    For months the key side holds 24 times per calendar year whatever the size of the data, and
+    240,000 over all years that a time can name, so it is safe to broadcast and the bars are
+    filtered in place. For days the join is left to adaptive execution.
     """
     edges = month_min_max_time(candles, period)
     times = edges.select(F.explode(F.array("min_time", "max_time")).alias("time_utc"))
-    return candles.join(F.broadcast(times), "time_utc", "left_semi")
+    times = F.broadcast(times) if period == "month" else times
+    return candles.join(times, "time_utc", "left_semi")
 
 
 def boundary_pair_rank(rows):

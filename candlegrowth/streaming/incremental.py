@@ -7,6 +7,7 @@ Tables below one root folder:
   destination_audit   one row per stock, algorithm and year that a load reported again
   delta      month boundaries that one load added, by load and stock bucket
   base       merged boundaries up to a load, by load and stock bucket
+  known      fingerprints of all files taken up to a load
   report, averages   the current reports, by stock bucket
   epoch      the name of the stream's checkpoint, new whenever the tables are emptied
 
@@ -56,11 +57,17 @@ TABLES = {
     "destination_audit": (schema.DESTINATION_AUDIT, "load_id int"),
     "delta": (schema.BOUNDARY, "load_id int, stock_bucket int"),
     "base": (schema.BOUNDARY, "load_id int, stock_bucket int"),
+    "known": (schema.struct("md5_sum string"), "load_id int"),
     "report": (schema.REPORT, "stock_bucket int"),
     "averages": (schema.AVERAGES, "stock_bucket int"),
 }
 
 
+def _full_schema(table):
+    columns, partitions = TABLES[table]
+    return T.StructType([*columns.fields, *schema.struct(partitions).fields])
+
+
 def bucket_of(stock):
     """A fixed number of groups of stocks, so partitions do not grow with the stocks."""
     return F.pmod(F.xxhash64(stock), F.lit(BUCKETS)).cast("int")
@@ -89,12 +96,10 @@ class IncrementalLoad:
         """Create empty tables; with `replace` an earlier content is dropped."""
         if not replace and self._epoch():
             raise ValueError(f"{self.root} holds tables already")
-        for table, (columns, partitions) in TABLES.items():
-            partitions = schema.struct(partitions)
-            empty = self.spark.createDataFrame(
-                [], T.StructType([*columns.fields, *partitions.fields])
-            )
-            empty.write.partitionBy(*partitions.names).mode("overwrite").parquet(self.path(table))
+        for table, (_, partitions) in TABLES.items():
+            empty = self.spark.createDataFrame([], _full_schema(table))
+            names = schema.struct(partitions).names
+            empty.write.partitionBy(*names).mode("overwrite").parquet(self.path(table))
         epoch = self.spark.createDataFrame([(uuid.uuid4().hex, self._settings())], EPOCH)
         epoch.write.mode("overwrite").parquet(self.path("epoch"))
 
@@ -115,9 +120,25 @@ class IncrementalLoad:
         return name
 
     def table(self, table):
-        columns, partitions = TABLES[table]
-        fields = [*columns.fields, *schema.struct(partitions).fields]
-        return self.spark.read.schema(T.StructType(fields)).parquet(self.path(table))
+        return self._reader(table).parquet(self.path(table))
+
+    def _reader(self, table):
+        return self.spark.read.schema(_full_schema(table))
+
+    def _loads(self, table, load_ids):
+        """Rows of some loads, by their folders: those of all other loads are not even listed."""
+        paths = [self.path(table, load_id) for load_id in load_ids]
+        if not paths:
+            return self.spark.createDataFrame([], _full_schema(table))
+        return self._reader(table).option("basePath", self.path(table)).parquet(*paths)
+
+    def _since_base(self, base, table, load_id, last):
+        """Rows of the newest base before a load, and of the loads from there to `last`."""
+        base_id = load_id // MERGE_EVERY * MERGE_EVERY - 1
+        return (
+            self._loads(base, [base_id] if base_id >= 0 else []),
+            self._loads(table, range(base_id + 1, last + 1)),
+        )
 
     def report(self):
         return self.table("report")
@@ -137,7 +158,7 @@ class IncrementalLoad:
     # Loads
 
     def load(self, raw, load_id):
-        """Take one batch of raw rows in."""
+        """Take one batch of raw rows in. Loads count from 0 without gaps, as stream batches do."""
         start = datetime.datetime.now()
         staged = self._stage(raw, load_id)
         new_files = self._audit(staged, load_id, start)
@@ -175,9 +196,8 @@ class IncrementalLoad:
             F.count(F.lit(1)).alias("number_of_processed_rows"),
             F.bool_or(F.col("rejected")).alias("load_with_error"),
         )
-        known = self.table("audit").where(F.col("is_new") & (F.col("load_id") < load_id))
         firsts = (
-            audits.new_files_only(sums, known, ["md5_sum"])
+            audits.new_files_only(sums, self._known(load_id, load_id - 1), ["md5_sum"])
             .groupBy("md5_sum")
             .agg(F.min("file_path").alias("first_path"))
         )
@@ -205,22 +225,26 @@ class IncrementalLoad:
         taken = per_file.join(new_files, "file_path", "left_semi")
         self._write_boundary(boundaries.merge_boundaries(taken), "delta", load_id)
 
+    def _known(self, load_id, last):
+        """Fingerprints of the files taken up to the load `last`."""
+        base, audit = self._since_base("known", "audit", load_id, last)
+        return base.select("md5_sum").unionByName(audit.where("is_new").select("md5_sum"))
+
     def _state(self, load_id):
-        """Boundaries after a load: the last merged base before it, and the deltas since."""
-        load = F.col("load_id")
-        base_id = load_id // MERGE_EVERY * MERGE_EVERY - 1
-        base = self.table("base").where(load == base_id)
-        delta = self.table("delta").where((load > base_id) & (load <= load_id))
+        """Boundaries after a load."""
+        base, delta = self._since_base("base", "delta", load_id, load_id)
         return base.unionByName(delta)
 
     def _merge_if_due(self, load_id):
-        """Write a merged base now and then, so the number of deltas to read stays small."""
+        """Write a merged base now and then, so the number of loads to read stays small."""
         if (load_id + 1) % MERGE_EVERY == 0:
             merged = boundaries.merge_boundaries(self._state(load_id))
             self._write_boundary(merged, "base", load_id)
+            known = self._known(load_id, load_id)
+            known.write.mode("overwrite").parquet(self.path("known", load_id))
 
     def _refresh_reports(self, load_id, start):
-        delta = self.table("delta").where(F.col("load_id") == load_id)
+        delta = self._loads("delta", [load_id])
         touched = [row[0] for row in delta.select("stock_bucket").distinct().collect()]
         if not touched:
             return

@@ -285,7 +285,9 @@ def test_lines_by_month_stay_as_they_are(spark, tmp_path):
     assert found.where("year IS NULL").count() == 1
 
 
-def test_copies_and_bad_rows(spark, tmp_path):
+def test_copies_and_bad_rows(spark, tmp_path, monkeypatch):
+    """The last copy comes after the known files were merged into a base."""
+    monkeypatch.setattr(incremental, "MERGE_EVERY", 2)
     folder = _year_files(tmp_path / "in")
     (folder / "XAUUSD_10 Secs_Bid_2020.copy.csv").write_bytes(
         (folder / NAME.format(year="2020")).read_bytes()
@@ -300,8 +302,14 @@ def test_copies_and_bad_rows(spark, tmp_path):
         fixtures.candle_lines(fixtures.BARS[:4]) + "bad;1;1;1;1;1\n"
     )
     load.run_stream(sources.stream_candles(spark, str(folder)))
+    (folder / "XAUUSD_10 Secs_Bid_2020.third.csv").write_bytes(
+        (folder / NAME.format(year="2020")).read_bytes()
+    )
+    load.run_stream(sources.stream_candles(spark, str(folder)))
     files = load.table("audit").collect()
-    assert len(files) == 5 and sum(r["is_new"] for r in files) == 3
+    assert len(files) == 6 and sum(r["is_new"] for r in files) == 3
+    assert {r["load_id"] for r in files} == {0, 1, 2}
+    assert load.table("known").where("load_id = 1").count() == 3
     assert [r["file_name"] for r in files if r["load_with_error"]] == ["OTHER_10 Secs_Bid_2019.csv"]
     assert load.rejects().select("time_text").first()[0] == "bad"
     other = fixtures.bars(spark, "OTHER").where("year(time_utc) = 2019")
