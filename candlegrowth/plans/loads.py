@@ -288,8 +288,8 @@ SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, true AS fits FROM events
     "growth_csv": sqltext.query(
         sqltext.candles(), sqltext.BOUNDARY, sqltext.growth("open_close"),
         select="SELECT stock_name, year AS current_year, month, algorithm_type, "
-        "round(growth, 6) AS growth, "
-        "round(avg(growth) OVER (PARTITION BY stock_name, year), 6) AS total_per_year FROM growth",
+        "round(growth, 6) AS growth, " + sqltext.rounded("avg(growth) OVER (PARTITION BY stock_name, year)")
+        + " AS total_per_year FROM growth",
     ),
     "table_insert_select": _both(
         sqltext.candles(), f"SELECT {sqltext.average_columns()} FROM averages",

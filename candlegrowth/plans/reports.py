@@ -139,10 +139,15 @@ _MEAN_OF_MONTHS = (
     "(" + " + ".join(f"coalesce({m}, 0)" for m in _AVG_MONTHS) + ") / nullif("
     + " + ".join(f"CAST({m} IS NOT NULL AS INTEGER)" for m in _AVG_MONTHS) + ", 0)"
 )
-_YEAR_TOTAL = """
-SELECT stock_name, year AS current_year, algorithm_type, round({total}, 6) AS total_per_year
+
+
+def _year_total(total):
+    return f"""
+SELECT stock_name, year AS current_year, algorithm_type, {sqltext.rounded(total)} AS total_per_year
 FROM growth GROUP BY stock_name, year, algorithm_type"""
 
+
+
 SQL = {
     "year_report_oc": _report_sql("open_close"),
     "year_report_oc_pairs": _report_sql("open_close", _CUSTOMER, pairs_only=True),
@@ -154,23 +159,24 @@ SQL = {
     "year_report_zero_fill": _report_sql("close_first", _CUSTOMER, zero=True),
     "year_total": sqltext.query(
         sqltext.candles(_CUSTOMER), sqltext.BOUNDARY, sqltext.growth("open_close"),
-        select=_YEAR_TOTAL.format(total="avg(growth)"),
+        select=_year_total("avg(growth)"),
     ),
     "year_total_zero_fill": sqltext.query(
         sqltext.candles(_CUSTOMER), sqltext.BOUNDARY, sqltext.growth("open_close"),
-        select=_YEAR_TOTAL.format(total="coalesce(sum(growth), 0.0) / 12"),
+        select=_year_total("coalesce(sum(growth), 0.0) / 12"),
     ),
     "year_total_window": sqltext.query(
         sqltext.candles(), sqltext.BOUNDARY, sqltext.growth("open_close"),
         select="SELECT stock_name, year, month, algorithm_type, round(growth, 6) AS growth, "
-        "round(avg(growth) OVER (PARTITION BY stock_name, year), 6) AS total_growth FROM growth",
+        + sqltext.rounded("avg(growth) OVER (PARTITION BY stock_name, year)")
+        + " AS total_growth FROM growth",
     ),
     "pivot_join_totals": sqltext.query(
         sqltext.candles(), sqltext.BOUNDARY, sqltext.growth("open_close"), sqltext.report("r"),
         "totals AS (SELECT stock_name, year, avg(growth) AS total FROM growth GROUP BY 1, 2)",
         select="SELECT r.stock_name, r.current_year, r.algorithm_type, "
-        + ", ".join(f"round(r.{m}, 6) AS {m}" for m in sqltext.MONTHS)
-        + ", round(t.total, 6) AS total_per_year FROM r LEFT JOIN totals t "
+        + ", ".join(f"{sqltext.rounded(f'r.{m}')} AS {m}" for m in sqltext.MONTHS)
+        + f", {sqltext.rounded('t.total')} AS total_per_year FROM r LEFT JOIN totals t "
         "ON r.current_year = t.year AND r.stock_name = t.stock_name",
     ),
     "average_report": _average_sql("open_close"),
@@ -178,8 +184,8 @@ SQL = {
     "average_of_month_averages": _average_sql(
         "close_first_year_carry", _CUSTOMER,
         select="SELECT stock_name, algorithm_type, "
-        + ", ".join(f"round({m}, 6) AS {m}" for m in _AVG_MONTHS)
-        + f", round({_MEAN_OF_MONTHS}, 6) AS avg_total FROM averages",
+        + ", ".join(f"{sqltext.rounded(m)} AS {m}" for m in _AVG_MONTHS)
+        + f", {sqltext.rounded(_MEAN_OF_MONTHS)} AS avg_total FROM averages",
     ),
     "report_both_algorithms": sqltext.query(
         *_BOTH, select=f"SELECT {sqltext.report_columns()} FROM both_reports"

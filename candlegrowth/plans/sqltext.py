@@ -95,14 +95,19 @@ def averages(source="report"):
 )"""
 
 
-def report_columns(prefix=""):
-    rounded = ", ".join(f"round({m}, 6) AS {m}" for m in (*MONTHS, "total_per_year"))
-    return f"{prefix}stock_name, current_year, algorithm_type, {rounded}"
+def rounded(value):
+    """Six digits; a mean that rounds to zero from below is plain zero, as in Spark."""
+    return f"round({value}, 6) + 0.0"
+
+
+def report_columns():
+    columns = ", ".join(f"{rounded(m)} AS {m}" for m in (*MONTHS, "total_per_year"))
+    return f"stock_name, current_year, algorithm_type, {columns}"
 
 
 def average_columns():
-    rounded = ", ".join(f"round(avg_{m}, 6) AS avg_{m}" for m in (*MONTHS, "total"))
-    return f"stock_name, algorithm_type, {rounded}"
+    columns = ", ".join(f"{rounded(f'avg_{m}')} AS avg_{m}" for m in (*MONTHS, "total"))
+    return f"stock_name, algorithm_type, {columns}"
 
 
 def query(*parts, select):

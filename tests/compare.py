@@ -19,7 +19,7 @@ def run_sql(folder, text):
 
 def _cell(value):
     if isinstance(value, float):
-        return "NaN" if math.isnan(value) else repr(value + 0.0)
+        return "NaN" if math.isnan(value) else repr(value)
     return repr(value)
 
 
