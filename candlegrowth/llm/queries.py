@@ -1,8 +1,9 @@
 """The registered queries of the training-data operators, and their SQL where SQL can express them."""
 
-from candlegrowth.llm import mixing, simhash
+from candlegrowth.llm import langid, mixing, simhash
 
 QUERIES = {
+    "op1_language_id": langid.op1_language_id,
     "op5_mixing": mixing.op5_mixing,
     "op6_simhash": simhash.op6_simhash,
 }
