@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+import xxhash
 from pyspark.sql import functions as F
 
 from candlegrowth.session import scratch_path
@@ -113,3 +114,53 @@ def runs(keys):
     """Start and end of each run of equal neighbours."""
     cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
     return np.concatenate([[0], cuts]), np.concatenate([cuts, [len(keys)]])
+
+
+def whole_runs(batches, keys=1):
+    """Arrow batches of rows sorted by their first `keys` columns, as lists of arrays that never cut
+    a run of equal keys. At most one run is held besides a batch."""
+    held = None
+    for batch in batches:
+        rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns)]
+        if not len(rows[0]):
+            continue
+        held = rows if held is None else [np.concatenate(x) for x in zip(held, rows)]
+        last = held[0] == held[0][-1]
+        for column in held[1:keys]:
+            last &= column == column[-1]
+        cut = len(last) - int(last.sum())
+        if cut:
+            yield [x[:cut] for x in held]
+            held = [x[cut:] for x in held]
+    if held is not None:
+        yield held
+
+
+class WordHashes(dict):
+    """The hash of each word, kept for words that come again; emptied when it grows too large."""
+
+    MOST = 400_000
+
+    def __missing__(self, word):
+        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        return found
+
+    def of(self, words):
+        if len(self) > self.MOST:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
+
+
+def mixed(h):
+    """A one-to-one scrambling of 64-bit numbers."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def window_hash(hashes, starts, length, factor):
+    """A 64-bit hash of the `length` word hashes from each start on."""
+    total = np.zeros(len(starts), dtype=np.uint64)
+    for k in range(length):
+        total = total * np.uint64(factor) + hashes[starts + k]
+    return mixed(total)

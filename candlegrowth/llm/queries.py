@@ -1,10 +1,13 @@
 """The registered queries of the training-data operators, and their SQL where SQL can express them."""
 
-from candlegrowth.llm import langid, mixing, simhash
+from candlegrowth.llm import langid, mixing, simhash, substrings
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
     "op5_mixing": mixing.op5_mixing,
     "op6_simhash": simhash.op6_simhash,
+    "op8_substring_dedup": substrings.op8_substring_dedup,
+}
+SQL = {
+    "op8_substring_dedup": substrings.OP8_SQL,
 }
-SQL = {}

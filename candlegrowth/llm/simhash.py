@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from candlegrowth.llm.common import components, forest, runs, stored, text_bytes, word_chunks
+from candlegrowth.llm.common import components, forest, runs, stored, text_bytes, whole_runs, word_chunks
 
 PART = 31
 PART_MASK = (1 << PART) - 1
@@ -123,8 +123,7 @@ def _near(keys, prints, home, threshold):
     large = length > SMALL_RUN
     for s, e in zip(start[large], end[large]):
         found.append(_near_in_run(prints[s:e], home[s:e], threshold))
-    same = np.repeat(np.where(large, 0, length), length)  # rows of short runs, by run length
-    alive = np.flatnonzero(same > 1)
+    alive = np.flatnonzero(np.repeat((length > 1) & ~large, length))
     for step in range(1, SMALL_RUN):
         alive = alive[alive + step < len(keys)]
         alive = alive[keys[alive] == keys[alive + step]]
@@ -158,29 +157,14 @@ def _near_in_run(prints, home, threshold):
 
 def _linker(threshold):
     def link(batches):
-        held = None
-        for batch in _with_end(batches):
-            if batch is not None:
-                rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
-                held = rows if held is None else [np.concatenate(x) for x in zip(held, rows)]
-                last = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0
-                now, held = [x[:last] for x in held], [x[last:] for x in held]
-            else:
-                now = held
-            if now is None or not len(now[0]):
-                continue
-            tree = forest(np.unique(_near(*now, threshold), axis=0))
+        for key, prints, home in whole_runs(batches):
+            tree = forest(np.unique(_near(key, prints, home, threshold), axis=0))
             if len(tree):
                 yield pa.RecordBatch.from_arrays([pa.array(tree[:, 0]), pa.array(tree[:, 1])], ["a", "b"])
 
     return link
 
 
-def _with_end(batches):
-    yield from batches
-    yield None
-
-
 def links(prints, threshold=2):
     """Edges (a, b) that connect all fingerprints of `prints` (column fp, distinct) which differ in
     `threshold` bits or fewer, directly or over others; not every such pair is listed."""
