@@ -1,9 +1,10 @@
 """The registered queries of the training-data operators, and their SQL where SQL can express them."""
 
-from candlegrowth.llm import decontaminate, langid, mixing, simhash, substrings
+from candlegrowth.llm import decontaminate, langid, lines, mixing, simhash, substrings
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
+    "op2_line_dedup": lines.op2_line_dedup,
     "op3_decontamination": decontaminate.op3_decontamination,
     "op5_mixing": mixing.op5_mixing,
     "op6_simhash": simhash.op6_simhash,
