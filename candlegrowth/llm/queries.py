@@ -1,6 +1,6 @@
 """The registered queries of the training-data operators, and their SQL where SQL can express them."""
 
-from candlegrowth.llm import decontaminate, katz, langid, lines, mixing, simhash, substrings
+from candlegrowth.llm import decontaminate, imatch, katz, langid, lines, mixing, simhash, substrings
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
@@ -10,6 +10,7 @@ QUERIES = {
     "op6_simhash": simhash.op6_simhash,
     "op8_substring_dedup": substrings.op8_substring_dedup,
     "op9_katz_lm": katz.op9_katz_lm,
+    "op10_imatch": imatch.op10_imatch,
 }
 SQL = {
     "op8_substring_dedup": substrings.OP8_SQL,
