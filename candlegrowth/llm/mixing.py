@@ -19,7 +19,7 @@ MOST = 2.0
 BLOCK = 64
 SHARD_SLOTS = 4096
 SEED = 20240607
-ROUNDS = 5
+ROUNDS = 8  # even, so that the halves end where they began
 WALKS = 48
 BUCKET_ROWS = 4096
 CELL = 64
@@ -177,25 +177,33 @@ def draws(planned, seed=SEED, shard_slots=SHARD_SLOTS):
 
 
 def permuted(number, size, *key):
-    """A keyed permutation of 0 .. size - 1: rounds of modular addition on the two digits of a number
-    below a * b >= size, walked on until it is below size. Outside lie fewer than a numbers, about
-    the root of size, so all WALKS steps outside do not happen to a number that matters: with
-    fewer than WALKS outside the walk must end, else its chance is below 1e-30."""
-    a = F.greatest(F.ceil(F.sqrt(size)), F.lit(1))
-    b = F.greatest(F.ceil(size / a), F.lit(1))
+    """A keyed permutation of 0 .. size - 1.
+
+    A Feistel network on the two digits of a number below a * b >= size, with modular addition,
+    walked on until it is below size. Fewer than a numbers, about the root of size, lie outside, so
+    a walk that ends needs few steps: below WALKS numbers outside it must end, and else the chance
+    that it has not is under 1e-30.
+    """
+    a = F.greatest(F.ceil(F.sqrt(size)), F.lit(1)).cast("long")
+    b = F.greatest(F.ceil(size / a), F.lit(1)).cast("long")
+
+    def turned(s, turn):
+        """(x, y) becomes (y, x + f(y)); each half keeps its modulus."""
+        x = F.pmod(s["x"] + F.pmod(F.xxhash64(*key, turn, s["y"]), s["mx"]), s["mx"])
+        return F.struct(s["y"].alias("x"), x.alias("y"), s["my"].alias("mx"), s["mx"].alias("my"))
 
     def step(x):
-        left, right = x % a, F.floor(x / a)
-        for turn in range(ROUNDS):
-            left = F.pmod(left + F.pmod(F.xxhash64(*key, F.lit(turn), right), a), a)
-            right = F.pmod(right + F.pmod(F.xxhash64(*key, F.lit(-1 - turn), left), b), b)
-        return left + right * a
-
-    first = step(number)
-    walked = F.aggregate(
-        F.sequence(F.lit(1), F.lit(WALKS)), first, lambda x, _: F.when(x < size, x).otherwise(step(x))
+        halves = F.struct(
+            (x % a).alias("x"), F.floor(x / a).cast("long").alias("y"), a.alias("mx"), b.alias("my")
+        )
+        return F.aggregate(
+            F.sequence(F.lit(1), F.lit(ROUNDS)), halves, turned, lambda s: s["x"] + s["y"] * s["mx"]
+        )
+
+    return F.aggregate(
+        F.sequence(F.lit(1), F.lit(WALKS)), step(number),
+        lambda x, _: F.when(x < size, x).otherwise(step(x)),
     )
-    return F.when(first < size, first).otherwise(walked)
 
 
 def takes(planned, drawn, block=BLOCK, seed=SEED):
