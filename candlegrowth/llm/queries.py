@@ -1,11 +1,12 @@
 """The registered queries of the training-data operators, and their SQL where SQL can express them."""
 
-from candlegrowth.llm import decontaminate, imatch, katz, langid, lines, mixing, simhash, substrings
+from candlegrowth.llm import decontaminate, imatch, katz, langid, lines, mixing, pseudonyms, simhash, substrings
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
     "op2_line_dedup": lines.op2_line_dedup,
     "op3_decontamination": decontaminate.op3_decontamination,
+    "op4_pseudonyms": pseudonyms.op4_pseudonyms,
     "op5_mixing": mixing.op5_mixing,
     "op6_simhash": simhash.op6_simhash,
     "op8_substring_dedup": substrings.op8_substring_dedup,
