@@ -1,6 +1,6 @@
 """The registered queries of the training-data operators, and their SQL where SQL can express them."""
 
-from candlegrowth.llm import decontaminate, imatch, katz, langid, lines, mixing, pseudonyms, simhash, substrings
+from candlegrowth.llm import decontaminate, imatch, katz, langid, licenses, lines, mixing, pseudonyms, simhash, substrings
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
@@ -9,6 +9,7 @@ QUERIES = {
     "op4_pseudonyms": pseudonyms.op4_pseudonyms,
     "op5_mixing": mixing.op5_mixing,
     "op6_simhash": simhash.op6_simhash,
+    "op7_license_scan": licenses.op7_license_scan,
     "op8_substring_dedup": substrings.op8_substring_dedup,
     "op9_katz_lm": katz.op9_katz_lm,
     "op10_imatch": imatch.op10_imatch,
