@@ -238,9 +238,12 @@ def _finish(documents, id_type):
     return finish
 
 
-@F.pandas_udf("binary")
-def _squeezed(texts: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None else zlib.compress(x, 1) for x in texts])
+def _squeezed(data):
+    @F.pandas_udf("binary")
+    def squeezed(texts: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None else zlib.compress(x, 1) for x in texts])
+
+    return squeezed(data)
 
 
 def fingerprints(documents, id_column="doc_id", text_column="text"):

@@ -256,18 +256,21 @@ def repeated_lines(documents, id_column="doc_id", text_column="text", **options)
     )
 
 
-@F.pandas_udf("text string, n_lines int, n_dropped int")
-def _cut(texts: pd.Series, drops: pd.Series) -> pd.DataFrame:
-    rows = []
-    for text, gone in zip(texts, drops):
-        if not isinstance(text, str):
-            rows.append((None, 0, 0))
-            continue
-        lines = text.split("\n")
-        gone = set(() if gone is None else gone)
-        kept = [x for i, x in enumerate(lines) if i not in gone] if gone else lines
-        rows.append(("\n".join(kept), len(lines), len(lines) - len(kept)))
-    return pd.DataFrame(rows, columns=["text", "n_lines", "n_dropped"])
+def _cutter():
+    @F.pandas_udf("text string, n_lines int, n_dropped int")
+    def cut(texts: pd.Series, drops: pd.Series) -> pd.DataFrame:
+        rows = []
+        for text, gone in zip(texts, drops):
+            if not isinstance(text, str):
+                rows.append((None, 0, 0))
+                continue
+            lines = text.split("\n")
+            gone = set(() if gone is None else gone)
+            kept = [x for i, x in enumerate(lines) if i not in gone] if gone else lines
+            rows.append(("\n".join(kept), len(lines), len(lines) - len(kept)))
+        return pd.DataFrame(rows, columns=["text", "n_lines", "n_dropped"])
+
+    return cut
 
 
 def drop_repeated_lines(documents, id_column="doc_id", text_column="text", **options):
@@ -284,7 +287,7 @@ def drop_repeated_lines(documents, id_column="doc_id", text_column="text", **opt
     keyed = documents.withColumn("_text_key", F.xxhash64(F.col(text_column)))
     same = keyed[id_column].eqNullSafe(found["_line_id"]) & (keyed["_text_key"] == found["_line_key"])
     joined = keyed.join(found, same, "left")
-    return joined.withColumn("_lines", _cut(F.col(text_column).cast("string"), "_drops")).drop(
+    return joined.withColumn("_lines", _cutter()(F.col(text_column).cast("string"), "_drops")).drop(
         "_text_key", "_line_id", "_line_key", "_drops"
     )
 
