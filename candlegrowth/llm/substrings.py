@@ -32,27 +32,42 @@ def _hashes(data, cache):
 
 
 def _told(hashes, keys, places):
-    """What a task sends of its (hash, key, place) rows, hash being one or two columns.
+    """What a task sends of its (hash, key, place) rows, in document order, hash being one or two
+    columns.
 
-    Places of a hash that comes more than once in the task are known to repeat: they go out with
-    count 0, dealt by their document, and one row with count 2 tells of them. A hash thus has one
-    row per task at most, however often it comes.
+    Places of a hash that comes more than once in the task are known to repeat: they go out as
+    ranges (n = -length), dealt by their document, and one row with n = 2 tells of the hash. So a
+    hash has one row per task at most, however often it comes.
     """
     order = np.lexsort(hashes[::-1])
-    hashes, keys, places = [h[order] for h in hashes], keys[order], places[order]
     new = np.ones(len(keys), dtype=bool)
-    new[1:] = np.any([h[1:] != h[:-1] for h in hashes], axis=0)
+    new[1:] = np.any([h[order[1:]] != h[order[:-1]] for h in hashes], axis=0)
     start = np.flatnonzero(new)
     length = np.diff(np.append(start, len(keys)))
-    known = np.repeat(length > 1, length)
-    columns = [[h[start], np.where(i == 0, keys[known].view(np.uint64), 0)] for i, h in enumerate(hashes)]
-    columns += [[keys[start], keys[known]], [places[start], places[known]],
-                [np.where(length > 1, 2, 1), np.zeros(known.sum())]]
-    kinds = ["<u8"] * len(hashes) + ["i8", "i4", "i4"]
-    merged = [np.concatenate([np.asarray(x).astype(kind) for x in column]) for column, kind in zip(columns, kinds)]
+    known = np.zeros(len(keys), dtype=bool)
+    known[order] = np.repeat(length > 1, length)
+    once, often, at = np.flatnonzero(~known), order[start[length > 1]], np.flatnonzero(known)
+    cut = np.flatnonzero((np.diff(at) != 1) | (keys[at[1:]] != keys[at[:-1]])) + 1
+    first = at[np.concatenate([[0], cut]).astype(int)] if len(at) else at
+    last = at[np.concatenate([cut - 1, [len(at) - 1]]).astype(int)] if len(at) else at
+    zero = np.zeros(len(often), dtype=np.int64)
+    columns = [
+        np.concatenate([h[once], h[often], keys[first].astype(h.dtype) if i == 0 else zero[:0].astype(h.dtype),
+                        np.zeros(len(first) * (i > 0), dtype=h.dtype)])
+        for i, h in enumerate(hashes)
+    ]
+    columns.append(np.concatenate([keys[once], zero, keys[first]]))
+    columns.append(np.concatenate([places[once], zero, places[first]]).astype("i4"))
+    columns.append(np.concatenate([
+        np.ones(len(once)), np.full(len(often), 2), places[first] - places[last] - 1
+    ]).astype("i4"))
     names = [f"hash{i}" for i in range(len(hashes))] + ["key", "place", "n"]
-    arrays = [pa.array(x.view("i8") if x.dtype.kind == "u" else x) for x in merged]
-    return pa.RecordBatch.from_arrays(arrays, names)
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names)
+
+
+def _spans(packed):
+    packed = np.array(packed, dtype=np.int64)
+    return packed >> 32, packed & 0xFFFFFFFF
 
 
 def _anchors(window):
@@ -69,7 +84,7 @@ def _anchors(window):
                 hashes = _hashes(data or b"", cache)
                 if len(hashes) >= window:
                     at = np.flatnonzero(np.resize(cover, len(hashes) - length + 1))
-                    found.append(window_hash(hashes, at, length, FACTORS[0]))
+                    found.append(window_hash(hashes, at, length, FACTORS[0]).view("<i8"))
                     places.append(at)
                     keys.append(np.full(len(at), key, dtype=np.int64))
             if found:
@@ -86,16 +101,15 @@ def _windows(window):
         cache = WordHashes()
         for batch in batches:
             keys, found, other, places = [], [], [], []
-            for key, data, at in zip(*(batch.column(n).to_pylist() for n in ("key", "data", "places"))):
+            for key, data, at in zip(*(batch.column(n).to_pylist() for n in ("key", "data", "spans"))):
                 hashes = _hashes(data or b"", cache)
-                last = len(hashes) - window
-                at = np.array(at, dtype=np.int64)
+                at, length = _spans(at)
                 rise = np.zeros(len(hashes) + 1, dtype=np.int64)
                 np.add.at(rise, np.maximum(at - period + 1, 0), 1)
-                np.add.at(rise, at + 1, -1)
-                starts = np.flatnonzero(np.cumsum(rise[:last + 1]) > 0)
-                found.append(window_hash(hashes, starts, window, FACTORS[1]))
-                other.append(window_hash(mixed(hashes), starts, window, FACTORS[2]))
+                np.add.at(rise, at + length, -1)
+                starts = np.flatnonzero(np.cumsum(rise[:len(hashes) - window + 1]) > 0)
+                found.append(window_hash(hashes, starts, window, FACTORS[1]).view("<i8"))
+                other.append((window_hash(mixed(hashes), starts, window, FACTORS[2]) >> np.uint64(32)).astype("i4"))
                 places.append(starts)
                 keys.append(np.full(len(starts), key, dtype=np.int64))
             if found:
@@ -107,34 +121,36 @@ def _windows(window):
 
 
 def _repeated(n_hashes):
-    """Of rows sorted by hash, (key, place) of those whose hash comes twice or more."""
+    """Of rows sorted by hash, (key, span) of those whose hash comes twice or more; a span is its
+    first place and its length in one number."""
 
     def repeated(batches):
         for *hashes, keys, places, n in whole_runs(batches, n_hashes):
             new = np.ones(len(n), dtype=bool)
             new[1:] = np.any([h[1:] != h[:-1] for h in hashes], axis=0)
-            total = np.add.reduceat(n, np.flatnonzero(new))
+            total = np.add.reduceat(np.maximum(n, 0), np.flatnonzero(new))
             often = (total > 1)[np.cumsum(new) - 1]
-            out = (n == 0) | (often & (n == 1))
+            out = (n < 0) | (often & (n == 1))
             if out.any():
-                yield pa.RecordBatch.from_arrays([pa.array(keys[out]), pa.array(places[out])], ["key", "place"])
+                span = places[out].astype("i8") << 32 | np.abs(n[out])
+                yield pa.RecordBatch.from_arrays([pa.array(keys[out]), pa.array(span)], ["key", "span"])
 
     return repeated
 
 
 def _counted(rows, n_hashes):
-    """(key, places) of each document that has repeated places."""
+    """(key, spans) of each document that has repeated places."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     names = [f"hash{i}" for i in range(n_hashes)]
     return (
         rows.repartition(parts, "hash0").sortWithinPartitions(*names)
-        .mapInArrow(_repeated(n_hashes), "key long, place int")
-        .groupBy("key").agg(F.collect_list("place").alias("places"))
+        .mapInArrow(_repeated(n_hashes), "key long, span long")
+        .groupBy("key").agg(F.collect_list("span").alias("spans"))
     )
 
 
 def repeated_windows(keyed, window=WINDOW):
-    """(key, places): the word numbers at which a repeated window starts, by document.
+    """(key, spans): the word numbers at which a repeated window starts, by document.
 
     `keyed` has key (long) and data (text as bytes).
     """
@@ -142,24 +158,25 @@ def repeated_windows(keyed, window=WINDOW):
         _anchors(window), "hash0 long, key long, place int, n int"
     )
     near = keyed.join(_counted(anchors, 1), "key")
-    windows = near.mapInArrow(_windows(window), "hash0 long, hash1 long, key long, place int, n int")
+    windows = near.mapInArrow(_windows(window), "hash0 long, hash1 int, key long, place int, n int")
     return _counted(windows, 2)
 
 
 def _cutter(window):
     @F.pandas_udf("text string, n_words long, n_removed long")
-    def cut(texts: pd.Series, places: pd.Series) -> pd.DataFrame:
+    def cut(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
         rows = []
-        for data, starts in zip(texts, places):
+        for data, found in zip(texts, spans):
             kept, before, removed = [], 0, 0
-            starts = np.unique(np.array([] if starts is None else starts, dtype=np.int64))
+            start, end = _spans([] if found is None else found)
+            end = start + end + window - 1
             for words in word_chunks(data or b""):
                 n = len(words)
-                near = starts[(starts > before - window) & (starts < before + n)] - before
-                if len(near):
+                near = (end > before) & (start < before + n)
+                if near.any():
                     rise = np.zeros(n + 1, dtype=np.int64)
-                    np.add.at(rise, np.maximum(near, 0), 1)
-                    np.add.at(rise, np.minimum(near + window, n), -1)
+                    np.add.at(rise, np.maximum(start[near] - before, 0), 1)
+                    np.add.at(rise, np.minimum(end[near] - before, n), -1)
                     words = [words[i] for i in np.flatnonzero(np.cumsum(rise[:-1]) == 0).tolist()]
                 if words:
                     kept.append(b" ".join(words))
@@ -182,9 +199,9 @@ def remove_repeats(documents, id_column="doc_id", text_column="text", window=WIN
         F.xxhash64(F.col(id_column), F.col(text_column)).alias("key"),
         F.col(id_column).alias("doc_id"), text_bytes(text_column).alias("data"),
     )
-    places = repeated_windows(keyed, window)
-    return keyed.join(places, "key", "left").select(
-        "doc_id", _cutter(window)("data", "places").alias("_cut")
+    spans = repeated_windows(keyed, window)
+    return keyed.join(spans, "key", "left").select(
+        "doc_id", _cutter(window)("data", "spans").alias("_cut")
     ).select("doc_id", "_cut.*")
 
 
