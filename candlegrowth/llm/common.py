@@ -1,8 +1,10 @@
 """Helpers of the training-data operators: words, row keys, stored steps, connected components."""
 
 import re
+import zlib
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import functions as F
 
@@ -40,6 +42,16 @@ def text_bytes(column="text"):
     return F.col(column).cast("string").cast("binary")
 
 
+def squeezed(data):
+    """Bytes compressed one by one, for texts that are dealt: blocks of a shuffle compress less."""
+
+    @F.pandas_udf("binary")
+    def squeeze(texts: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None else zlib.compress(x, 1) for x in texts])
+
+    return squeeze(data)
+
+
 def stored(df, name):
     """The rows written once to the shared folder and read back, so that they are made only once.
 

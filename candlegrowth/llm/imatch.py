@@ -17,14 +17,13 @@ import hashlib
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from candlegrowth.llm.common import WordHashes, mixed, stored, word_chunks
+from candlegrowth.llm.common import WordHashes, mixed, squeezed, stored, text_bytes, word_chunks
 from candlegrowth.llm.counting import by_batch, pack, pack_rising, shards_of, totals, unpack, unpack_rising
 
 LEXICONS = 64
@@ -238,14 +237,6 @@ def _finish(documents, id_type):
     return finish
 
 
-def _squeezed(data):
-    @F.pandas_udf("binary")
-    def squeezed(texts: pd.Series) -> pd.Series:
-        return pd.Series([None if x is None else zlib.compress(x, 1) for x in texts])
-
-    return squeezed(data)
-
-
 def fingerprints(documents, id_column="doc_id", text_column="text"):
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of
     each row, the next one being that of the next larger id, and of the last the first.
@@ -257,7 +248,7 @@ def fingerprints(documents, id_column="doc_id", text_column="text"):
     spark = documents.sparkSession
     rows = documents.select(
         F.col(id_column).alias("doc_id"), F.xxhash64(F.col(text_column)).alias("text_key"),
-        _squeezed(F.col(text_column).cast("string").cast("binary")).alias("data"),
+        squeezed(text_bytes(text_column)).alias("data"),
     )
     id_type, name = to_arrow_type(rows.schema["doc_id"].dataType), rows.schema["doc_id"].dataType.simpleString()
     order = [F.col("doc_id").asc_nulls_last(), F.col("text_key")]

@@ -7,12 +7,16 @@ hashed and dealt; where an anchor is repeated, it is extended to the whole windo
 these are compared by a hash of all their words. No pairs are formed: a hash is counted.
 """
 
+import zlib
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from candlegrowth.llm.common import WordHashes, mixed, text_bytes, whole_runs, window_hash, word_chunks
+from candlegrowth.llm.common import (
+    WordHashes, mixed, squeezed, text_bytes, whole_runs, window_hash, word_chunks,
+)
 
 WINDOW = 35
 #: Difference covers by period; every remainder is a difference of two of them.
@@ -31,13 +35,13 @@ def _hashes(data, cache):
     return np.concatenate(parts) if parts else np.empty(0, dtype=np.uint64)
 
 
-def _told(hashes, keys, places):
+def _told(hashes, keys, places, step):
     """What a task sends of its (hash, key, place) rows, in document order, hash being one or two
     columns.
 
     Places of a hash that comes more than once in the task are known to repeat: they go out as
-    ranges (n = -length), dealt by their document, and one row with n = 2 tells of the hash. So a
-    hash has one row per task at most, however often it comes.
+    ranges (n = -length) without gaps of over `step`, dealt by their document, and one row with
+    n = 2 tells of the hash. So a hash has one row per task at most, however often it comes.
     """
     order = np.lexsort(hashes[::-1])
     new = np.ones(len(keys), dtype=bool)
@@ -47,7 +51,8 @@ def _told(hashes, keys, places):
     known = np.zeros(len(keys), dtype=bool)
     known[order] = np.repeat(length > 1, length)
     once, often, at = np.flatnonzero(~known), order[start[length > 1]], np.flatnonzero(known)
-    cut = np.flatnonzero((np.diff(at) != 1) | (keys[at[1:]] != keys[at[:-1]])) + 1
+    apart = (np.diff(at) != 1) | (keys[at[1:]] != keys[at[:-1]]) | (np.diff(places[at]) > step)
+    cut = np.flatnonzero(apart) + 1
     first = at[np.concatenate([[0], cut]).astype(int)] if len(at) else at
     last = at[np.concatenate([cut - 1, [len(at) - 1]]).astype(int)] if len(at) else at
     zero = np.zeros(len(often), dtype=np.int64)
@@ -70,6 +75,10 @@ def _spans(packed):
     return packed >> 32, packed & 0xFFFFFFFF
 
 
+def _unzipped(data):
+    return b"" if data is None else zlib.decompress(data)
+
+
 def _anchors(window):
     period = period_of(window)
     length = window - period + 1
@@ -88,7 +97,7 @@ def _anchors(window):
                     places.append(at)
                     keys.append(np.full(len(at), key, dtype=np.int64))
             if found:
-                yield _told([np.concatenate(found)], np.concatenate(keys), np.concatenate(places))
+                yield _told([np.concatenate(found)], np.concatenate(keys), np.concatenate(places), period)
 
     return anchors
 
@@ -101,8 +110,8 @@ def _windows(window):
         cache = WordHashes()
         for batch in batches:
             keys, found, other, places = [], [], [], []
-            for key, data, at in zip(*(batch.column(n).to_pylist() for n in ("key", "data", "spans"))):
-                hashes = _hashes(data or b"", cache)
+            for key, data, at in zip(*(batch.column(n).to_pylist() for n in ("key", "zipped", "spans"))):
+                hashes = _hashes(_unzipped(data), cache)
                 at, length = _spans(at)
                 rise = np.zeros(len(hashes) + 1, dtype=np.int64)
                 np.add.at(rise, np.maximum(at - period + 1, 0), 1)
@@ -114,7 +123,7 @@ def _windows(window):
                 keys.append(np.full(len(starts), key, dtype=np.int64))
             if found:
                 yield _told(
-                    [np.concatenate(found), np.concatenate(other)], np.concatenate(keys), np.concatenate(places)
+                    [np.concatenate(found), np.concatenate(other)], np.concatenate(keys), np.concatenate(places), 1
                 )
 
     return windows
@@ -152,12 +161,12 @@ def _counted(rows, n_hashes):
 def repeated_windows(keyed, window=WINDOW):
     """(key, spans): the word numbers at which a repeated window starts, by document.
 
-    `keyed` has key (long) and data (text as bytes).
+    `keyed` has key (long), data (text as bytes) and zipped (the same, compressed).
     """
     anchors = keyed.select("key", "data").mapInArrow(
         _anchors(window), "hash0 long, key long, place int, n int"
     )
-    near = keyed.join(_counted(anchors, 1), "key")
+    near = keyed.drop("data").join(_counted(anchors, 1), "key")
     windows = near.mapInArrow(_windows(window), "hash0 long, hash1 int, key long, place int, n int")
     return _counted(windows, 2)
 
@@ -170,7 +179,7 @@ def _cutter(window):
             kept, before, removed = [], 0, 0
             start, end = _spans([] if found is None else found)
             end = start + end + window - 1
-            for words in word_chunks(data or b""):
+            for words in word_chunks(_unzipped(data)):
                 n = len(words)
                 near = (end > before) & (start < before + n)
                 if near.any():
@@ -198,10 +207,11 @@ def remove_repeats(documents, id_column="doc_id", text_column="text", window=WIN
     keyed = documents.select(
         F.xxhash64(F.col(id_column), F.col(text_column)).alias("key"),
         F.col(id_column).alias("doc_id"), text_bytes(text_column).alias("data"),
+        squeezed(text_bytes(text_column)).alias("zipped"),
     )
     spans = repeated_windows(keyed, window)
-    return keyed.join(spans, "key", "left").select(
-        "doc_id", _cutter(window)("data", "spans").alias("_cut")
+    return keyed.drop("data").join(spans, "key", "left").select(
+        "doc_id", _cutter(window)("zipped", "spans").alias("_cut")
     ).select("doc_id", "_cut.*")
 
 
