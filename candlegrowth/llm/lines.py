@@ -23,6 +23,7 @@ EDIT_CHARS = 20
 MOST_EDITS = 2
 HOT = 4096  # lines under one key that are compared directly
 LEVELS = 3
+MOST_SENT = 1_000_000  # numbers of lines, 8 MB
 
 
 def edits_of(n, edit_chars=EDIT_CHARS, most=MOST_EDITS):
@@ -75,22 +76,15 @@ def segments(n, k):
     return out
 
 
-def _keys(text, n, k, group):
-    """(key, start, length, home) of the substrings of a text that may equal a segment of a text
-    of n <= len(text) characters within k edits; home tells its own segments, where n is its length."""
-    gap = len(text) - n
+def _substrings(size, n, k):
+    """(segment, its start, start, length) of the substrings of a text of `size` characters that may
+    equal a segment of a text of n <= size characters within k edits."""
+    gap = size - n
     for i, (start, length) in enumerate(segments(n, k)):
         low = max(start - i, start + gap - (k - i), 0)
-        high = min(start + i, start + gap + (k - i), len(text) - length)
+        high = min(start + i, start + gap + (k - i), size - length)
         for at in range(low, high + 1):
-            data = f"{group} {n} {i} {text[at:at + length]}".encode("utf-8", "replace")
-            yield xxhash.xxh3_64_intdigest(data), at, length, gap == 0 and at == start
-
-
-def _sign(line):
-    """Which of 64 character classes come an odd number of times: an edit changes two at most."""
-    codes = np.frombuffer(line.encode("utf-32-le", "replace"), dtype="<u4") & 63
-    return int(np.packbits(np.bincount(codes, minlength=64) & 1, bitorder="little").view("<i8")[0])
+            yield i, start, at, length
 
 
 _LIGHT = "key long, line long, sign long, home boolean"
@@ -106,6 +100,64 @@ def _batch(rows, width):
     )
 
 
+def _signs(blocks):
+    """Of each text (as blocks of four bytes a character), which of 64 character classes come an odd
+    number of times: an edit changes two at most."""
+    sizes = [len(x) // 4 for x in blocks]
+    codes = np.frombuffer(b"".join(blocks), dtype="<u4") & 63
+    cells = np.repeat(np.arange(len(blocks), dtype=np.int64) * 64, sizes) + codes
+    odd = np.bincount(cells, minlength=64 * len(blocks)).reshape(-1, 64) & 1
+    return np.packbits(odd.astype(np.uint8), axis=1, bitorder="little").view("<i8")[:, 0]
+
+
+def _probes(text_size, edit_chars, most):
+    """What a text of so many characters is indexed and probed with, as (length of the shorter text,
+    segment, first byte, last byte), and which of these are its own segments."""
+    found = []
+    for n in range(max(text_size - most, edit_chars), text_size + 1):
+        k, gap = edits_of(n, edit_chars, most), text_size - n
+        if gap > k:
+            continue
+        for i, start, at, length in _substrings(text_size, n, k):
+            found.append((n * (most + 1) + i, 4 * at, 4 * (at + length), gap == 0 and at == start))
+    return [x[:3] for x in found], np.array([x[3] for x in found], dtype=bool)
+
+
+def _first_keys(edit_chars, most):
+    """The keys of each line, where nothing is matched yet."""
+
+    def keys(batches):
+        plans = {}
+        for batch in batches:
+            lines, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
+            for s in range(0, len(texts), 4096):
+                blocks = [x.encode("utf-32-le", "replace") for x in texts[s:s + 4096]]
+                long = np.flatnonzero([len(x) >= 4 * edit_chars for x in blocks])
+                blocks = [blocks[i] for i in long.tolist()]
+                if not blocks:
+                    continue
+                found, homes, sizes = [], [], []
+                for data in blocks:
+                    plan = plans.get(len(data))
+                    if plan is None:
+                        if len(plans) > 20_000:
+                            plans.clear()
+                        plan = plans[len(data)] = _probes(len(data) // 4, edit_chars, most)
+                    found += [xxhash.xxh3_64_intdigest(data[a:b], seed) for seed, a, b in plan[0]]
+                    homes.append(plan[1])
+                    sizes.append(len(plan[1]))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.array(found, dtype=np.uint64).view("<i8")),
+                        pa.array(np.repeat(lines[s:s + 4096][long], sizes)),
+                        pa.array(np.repeat(_signs(blocks), sizes)), pa.array(np.concatenate(homes)),
+                    ],
+                    ["key", "line", "sign", "home"],
+                )
+
+    return keys
+
+
 def _started(edit_chars, most):
     """A state for each line and each length of the shorter line: nothing is matched yet."""
 
@@ -114,7 +166,9 @@ def _started(edit_chars, most):
             rows = []
             for line, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 size = len(text)
-                sign = _sign(text) if size >= edit_chars else 0
+                if size < edit_chars:
+                    continue
+                sign = int(_signs([text.encode("utf-32-le", "replace")])[0])
                 for n in range(max(size - most, edit_chars), size + 1):
                     k = edits_of(n, edit_chars, most)
                     if size - n <= k:
@@ -124,44 +178,65 @@ def _started(edit_chars, most):
     return started
 
 
-def _keyed(full):
-    """The keys of each state; if full, with the state that is left when the segment is taken out."""
-    width = 7 if full else 4
+def _refined(most, first):
+    """The keys of each state, with the state that is left when the segment is taken out."""
 
-    def keyed(batches):
+    def refined(batches):
         for batch in batches:
             rows = []
             for group, line, sign, home, n, k, rest in zip(*(x.to_pylist() for x in batch.columns)):
-                for key, at, length, own in _keys(rest, n, k, group):
-                    row = (int(np.uint64(key).view(np.int64)), line, sign, home and own)
-                    rows.append(row + (n - length, k, rest[:at] + rest[at + length:]) if full else row)
+                data = rest.encode("utf-32-le", "replace")
+                for i, start, at, length in _substrings(len(rest), n, k):
+                    block, seed = data[4 * at:4 * (at + length)], n * (most + 1) + i
+                    if not first:
+                        block += group.to_bytes(8, "little", signed=True)
+                    key = int(np.uint64(xxhash.xxh3_64_intdigest(block, seed)).view("<i8"))
+                    own = home and len(rest) == n and at == start
+                    rows.append((key, line, sign, own, n - length, k, rest[:at] + rest[at + length:]))
                 if len(rows) > 50_000:
-                    yield _batch(rows, width)
+                    yield _batch(rows, 7)
                     rows = []
-            yield _batch(rows, width)
+            yield _batch(rows, 7)
 
-    return keyed
+    return refined
 
 
-def _meet(most):
-    """Pairs of lines under one key of which one is at home and whose signs are near enough."""
+def _meet(most, hot):
+    """Pairs of lines under one key of which one is at home and whose signs are near enough; for a
+    key with over `hot` lines instead a row (key, NULL), if `hot` is given."""
 
     def meet(batches):
-        for key, line, sign, home, *_ in whole_runs(batches):
+        for key, line, sign, home in whole_runs(batches):
+            new = np.concatenate([[True], (key[1:] != key[:-1]) | (line[1:] != line[:-1])])
+            key, line, sign, home = (x[new] for x in (key, line, sign, home))
+            start, end = runs(key)
+            size = end - start
+            busy = size > hot if hot else np.zeros(len(size), dtype=bool)
             found = []
-            for s, e in zip(*runs(key)):
-                if e - s < 2:
-                    continue
+            for s, e in zip(start[(size > 16) & ~busy], end[(size > 16) & ~busy]):
                 own = np.flatnonzero(home[s:e]) + s
                 for t in range(0, len(own), 512):
                     part = own[t:t + 512]
                     near = np.bitwise_count((sign[part, None] ^ sign[None, s:e]).view(np.uint64)) <= 2 * most
                     a, b = np.nonzero(near)
                     found.append(np.stack([line[part[a]], line[s + b]], axis=1))
-            if found:
-                pairs = np.concatenate(found)
-                pairs = np.unique(np.sort(pairs[pairs[:, 0] != pairs[:, 1]], axis=1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+            alive = np.flatnonzero(np.repeat((size > 1) & (size <= 16), size))
+            for step in range(1, 16):
+                alive = alive[alive + step < len(key)]
+                alive = alive[key[alive] == key[alive + step]]
+                near = np.bitwise_count((sign[alive] ^ sign[alive + step]).view(np.uint64)) <= 2 * most
+                near &= home[alive] | home[alive + step]
+                found.append(np.stack([line[alive[near]], line[alive[near] + step]], axis=1))
+            pairs = np.concatenate(found)
+            pairs = np.unique(np.sort(pairs[pairs[:, 0] != pairs[:, 1]], axis=1), axis=0)
+            marks = key[start[busy]]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate([pairs[:, 0], marks])),
+                    pa.concat_arrays([pa.array(pairs[:, 1]), pa.nulls(len(marks), pa.int64())]),
+                ],
+                ["a", "b"],
+            )
 
     return meet
 
@@ -169,32 +244,32 @@ def _meet(most):
 def candidates(lines, edit_chars=EDIT_CHARS, most=MOST_EDITS, hot=HOT, levels=LEVELS):
     """(a, b): pairs of line numbers that may be within the allowed edits.
 
-    `lines` has line (long) and text, no line twice. Keys with over `hot` rows are refined, at most
-    `levels` times or until there is too little left to cut; what still meets is compared in blocks.
+    `lines` has line (long) and text; a line may come several times. Keys with over `hot` lines are
+    refined, at most `levels` times or until there is too little left to cut; what still meets is
+    compared in blocks.
     """
     parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def met(keyed):
+    def met(keyed, limit):
         dealt = keyed.select("key", "line", "sign", "home").repartition(parts, "key")
-        return dealt.sortWithinPartitions("key").mapInArrow(_meet(most), "a long, b long")
-
-    states = lines.select("line", "text").mapInArrow(_started(edit_chars, most), _STATE)
-    found = []
-    for level in range(levels + 1):
-        keyed = states.mapInArrow(_keyed(False), _LIGHT)
-        if level < levels:
-            busy = stored(keyed.groupBy("key").count().where(F.col("count") > hot).select("key"), "hot-keys")
-            if not busy.isEmpty():
-                found.append(met(keyed.join(busy, "key", "left_anti")))
-                rest = stored(states.mapInArrow(_keyed(True), _STATE).join(busy, "key", "left_semi"), "hot-lines")
-                found.append(met(rest.where("n <= k")))
-                states = rest.where("n > k")
-                continue
-        found.append(met(keyed))
-        break
-    pairs = found[0]
-    for more in found[1:]:
-        pairs = pairs.unionByName(more)
+        ordered = dealt.sortWithinPartitions("key", "line", F.desc("home"))
+        return stored(ordered.mapInArrow(_meet(most, limit), "a long, b long"), "line-pairs")
+
+    found = met(lines.mapInArrow(_first_keys(edit_chars, most), _LIGHT), hot if levels else 0)
+    pairs, states = found.where("b is not null"), None
+    for level in range(1, levels + 1):
+        busy = found.where("b is null").select(F.col("a").alias("key"))
+        if busy.isEmpty():
+            break
+        if level == 1:
+            states = lines.mapInArrow(_started(edit_chars, most), _STATE)
+        rest = stored(
+            states.mapInArrow(_refined(most, level == 1), _STATE).join(busy, "key", "left_semi").distinct(), "hot-lines"
+        )
+        pairs = pairs.unionByName(met(rest.where("n <= k"), 0))
+        states = rest.where("n > k")
+        found = met(states.mapInArrow(_refined(most, False), _STATE), hot if level < levels else 0)
+        pairs = pairs.unionByName(found.where("b is not null"))
     return pairs.distinct()
 
 
@@ -210,25 +285,57 @@ def _alike(edit_chars, most):
     return alike
 
 
-def _lines(documents, id_column, text_column):
-    """The lines of all documents that are not blank, with two hashes of the trimmed text."""
-    at = documents.select(
-        F.col(id_column).alias("doc_id"), F.xxhash64(F.col(text_column)).alias("text_key"),
-        F.posexplode(F.split(F.col(text_column), "\n", -1)).alias("number", "raw"),
-    ).select("doc_id", "text_key", "number", F.regexp_replace("raw", r"^\s+|\s+$", "").alias("text"))
-    return at.where("text <> ''").select(
-        F.xxhash64("text").alias("line"), F.xxhash64(F.lit(1), "text").alias("check"),
-        "doc_id", "text_key", "number", "text",
-    )
-
-
-def classes(lines, edit_chars=EDIT_CHARS, most=MOST_EDITS, hot=HOT, levels=LEVELS):
-    """(line, root) of the lines that are alike some other line, directly or over others."""
-    texts = lines.select("line", "check", "text").dropDuplicates(["line", "check"]).select("line", "text")
+def _hashed(text):
+    data = text.encode("utf-8", "replace")
+    return xxhash.xxh3_64_intdigest(data), xxhash.xxh64_intdigest(data)
+
+
+def _places(batches):
+    """The place of each line that is not blank, with two hashes of the trimmed text."""
+    for batch in batches:
+        rows, docs, numbers = [], [], []
+        for doc, text in enumerate(batch.column(2).to_pylist()):
+            for number, line in enumerate((text or "").split("\n")):
+                line = line.strip()
+                if line:
+                    rows.append(_hashed(line))
+                    docs.append(doc)
+                    numbers.append(number)
+        hashes = np.array(rows, dtype=np.uint64).reshape(-1, 2).view("<i8")
+        docs = pa.array(docs, pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(hashes[:, 0]), pa.array(hashes[:, 1]), batch.column(0).take(docs), batch.column(1).take(docs),
+             pa.array(numbers, pa.int32())],
+            ["line", "check", "doc_id", "text_key", "number"],
+        )
+
+
+def _texts(batches):
+    """The different lines that are not blank of each batch of texts."""
+    for batch in batches:
+        lines = {x.strip() for text in batch.column(0).to_pylist() if text for x in text.split("\n")}
+        lines = [x for x in lines if x]
+        numbers = np.array([_hashed(x)[0] for x in lines], dtype=np.uint64).view("<i8")
+        yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(lines, pa.string())], ["line", "text"])
+
+
+def classes(texts, edit_chars=EDIT_CHARS, most=MOST_EDITS, hot=HOT, levels=LEVELS):
+    """(line, root) of the lines that are alike some other line, directly or over others.
+
+    Only lines of candidate pairs are dealt with their text. If these are few, their numbers are
+    sent to all tasks that read the texts; else texts and numbers are joined by a shuffle.
+    """
     pairs = candidates(texts, edit_chars, most, hot, levels)
-    left = texts.select(F.col("line").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("line").alias("b"), F.col("text").alias("text_b"))
-    near = pairs.join(left, "a").join(right, "b")
+    wanted = stored(
+        pairs.select(F.col("a").alias("line")).unionByName(pairs.select(F.col("b").alias("line"))).distinct(),
+        "line-wanted",
+    )
+    few = wanted.count() <= MOST_SENT
+    some = texts.join(F.broadcast(wanted) if few else wanted.hint("merge"), "line", "left_semi")
+    some = stored(some.dropDuplicates(["line"]), "line-texts")
+    near = pairs.join(some.select(F.col("line").alias("a"), F.col("text").alias("text_a")), "a").join(
+        some.select(F.col("line").alias("b"), F.col("text").alias("text_b")), "b"
+    )
     near = near.withColumn("alike", _alike(edit_chars, most)("text_a", "text_b"))
     return components(near.where("alike").select("a", "b")).withColumnRenamed("node", "line")
 
@@ -236,22 +343,27 @@ def classes(lines, edit_chars=EDIT_CHARS, most=MOST_EDITS, hot=HOT, levels=LEVEL
 def repeated_lines(documents, id_column="doc_id", text_column="text", **options):
     """(doc_id, text_key, drops): the numbers of the lines of each document that repeat an earlier
     one. Earlier means a smaller id (NULL last), then text hash, then line number."""
-    lines = _lines(documents, id_column, text_column)
+    text = F.col(text_column).cast("string")
+    kind = documents.schema[id_column].dataType.simpleString()
+    lines = stored(
+        documents.select(F.col(id_column).alias("doc_id"), F.xxhash64(F.col(text_column)).alias("text_key"), text.alias("text"))
+        .mapInArrow(_places, f"line long, check long, doc_id {kind}, text_key long, number int"),
+        "line-places",
+    )
+    texts = documents.select(text.alias("text")).mapInArrow(_texts, "line long, text string")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "number")
     first = stored(
         lines.groupBy("line", "check").agg(F.min(place).alias("first"), F.count("*").alias("n")),
         "line-firsts",
     )
-    alike = classes(lines, **options)
-    linked = first.join(alike, "line", "left")
+    linked = first.join(classes(texts, **options), "line", "left")
     best = linked.where("root is not null").groupBy("root").agg(F.min("first").alias("best"))
     busy = linked.where("root is not null or n > 1").join(best, "root", "left").select(
         "line", "check", F.coalesce("best", "first").alias("keep")
     )
     busy = stored(busy, "line-keep")
-    at = lines.select("line", "check", "doc_id", "text_key", "number")
     return (
-        at.join(busy, ["line", "check"]).where(~place.eqNullSafe(F.col("keep")))
+        lines.join(busy, ["line", "check"]).where(~place.eqNullSafe(F.col("keep")))
         .groupBy("doc_id", "text_key").agg(F.collect_set("number").alias("drops"))
     )
 
