@@ -21,7 +21,6 @@ SHARD_SLOTS = 4096
 SEED = 20240607
 ROUNDS = 8  # even, so that the halves end where they began
 WALKS = 48
-BUCKET_ROWS = 4096
 CELL = 64
 
 
@@ -65,8 +64,9 @@ def streams(documents, id_column="doc_id", text_column="text", source_column="so
     """(doc_id, source, size, start): where each document's words begin in its source's stream.
 
     The order is by a hash bucket, then id, then text hash. Only rows of one bucket are sorted
-    together, and buckets are as many as keep them small; their offsets are sums over buckets, so
-    a source of any size is spread over tasks.
+    together, and the offsets of buckets are sums over them. There are as many buckets as the root
+    of the rows, so neither step has more than about that many rows at a place, in a source of any
+    size.
     """
     docs = stored(
         documents.select(
@@ -76,7 +76,7 @@ def streams(documents, id_column="doc_id", text_column="text", source_column="so
         ),
         "mix-sizes",
     )
-    buckets = max(1, docs.count() // BUCKET_ROWS)
+    buckets = max(1, int(docs.count() ** 0.5))
     docs = docs.withColumn("bucket", F.pmod("mark", F.lit(buckets)))
     sums = docs.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -130,7 +130,7 @@ def _look_up(points, intervals, at):
     cells = intervals.withColumn(
         "_cell", F.explode(F.sequence(F.floor(F.col("first") / CELL), F.floor((F.col("end") - 1) / CELL)))
     )
-    return points.withColumn("_cell", F.floor(F.col(at) / CELL)).join(cells, "_cell").where(
+    return points.withColumn("_cell", F.floor(F.col(at) / CELL)).join(cells.hint("merge"), "_cell").where(
         (F.col(at) >= F.col("first")) & (F.col(at) < F.col("end"))
     ).drop("_cell")
 
@@ -157,7 +157,8 @@ def draws(planned, seed=SEED, shard_slots=SHARD_SLOTS):
     counts = stored(counts, "mix-draws")
     before = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("offset", F.coalesce(F.sum("drawn").over(before), F.lit(0)))
-    numbered = counts.select(
+    # dealt anew, as the windows hold all shards of a source in one place
+    numbered = counts.repartition(tasks, "source", "shard").select(
         F.col("source"), "shard",
         F.explode(F.sequence(F.col("offset"), F.col("offset") + F.col("drawn") - 1)).alias("number"),
     )
@@ -252,7 +253,8 @@ def mix(documents, id_column="doc_id", text_column="text", source_column="source
     slots = takes(planned, draws(planned, seed), block, seed).withColumnRenamed("source", "_source")
     cut = pieces(docs, block)
     same = cut["source"].eqNullSafe(slots["_source"]) & (cut["block"] == slots["block"])
-    joined = cut.join(slots, same, "left").select(
+    # the slots are made from a few counts and look small to the planner; they grow with the words
+    joined = cut.join(slots.hint("merge"), same, "left").select(
         "doc_id", "source", "size", "start", "shard", "number", cut["block"].alias("block"), "at",
         F.when(
             F.col("take") > F.col("at"), F.least(F.col("length"), F.col("take") - F.col("at"))
