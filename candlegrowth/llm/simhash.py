@@ -196,7 +196,8 @@ def near_duplicates(documents, id_column="doc_id", text_column="text", width=3,
         "fp", F.coalesce("root", "fp").alias("root"),
         F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("component_id")).alias("component_id"),
     )
-    return docs.join(named, "fp").withColumn(
+    # stored, so that the last join stands alone and Spark can split a fingerprint with many documents
+    return docs.join(stored(named, "simhash-named"), "fp").withColumn(
         "keep", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
 
