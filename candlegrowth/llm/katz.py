@@ -26,7 +26,7 @@ from candlegrowth.llm.counting import (
 )
 
 TURING = 5
-BATCH_TOKENS = 3_000_000
+BATCH_TOKENS = 1_500_000
 HOT = 1 << 16  # at most so many histories are spread over several shards: those over 1/HOT of all
 END, START = np.uint64(1), np.uint64(2)  # marks in place of word hashes
 
@@ -107,14 +107,16 @@ class _Batch:
     def __init__(self, row, model):
         self.sizes = unpack(row["sizes"])
         self.ids, self.totals = _joined(row["uni"], model["offsets"])
-        numbers = unpack(row["numbers"])
-        codes, self.place = _pairs(self.sizes, self.ids, numbers)
-        self.history, self.word = np.divmod(codes, len(self.ids))
+        codes, place = _pairs(self.sizes, self.ids, unpack(row["numbers"]))
+        self.place = place.astype(np.int32)
+        self.history, self.word = (x.astype(np.int32) for x in np.divmod(codes, len(self.ids)))
+        del codes, place
         held = np.repeat(np.array(row["held"], dtype=bool), self.sizes)
-        self.train = np.bincount(self.place[~held], minlength=len(codes))
+        self.train = np.bincount(self.place[~held], minlength=len(self.word)).astype(np.int32)
         self.token_word = self.word[self.place]
         shard = _shard_of(self.ids, self.totals, self.history, self.word, model["shards"], model["hot_over"])
-        self.order = np.lexsort((self.word, self.history, shard))  # global numbers rise with these
+        order = np.lexsort((self.word, self.history, shard))  # global numbers rise with these
+        self.order = order.astype(np.int32)
         self.cuts = np.searchsorted(shard[self.order], np.arange(model["shards"] + 1))
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]])
 
@@ -125,7 +127,8 @@ class _Batch:
 
 
 def _rows(batch):
-    return ({name: value for name, value in zip(batch.schema.names, row)} for row in zip(*(x.to_pylist() for x in batch.columns)))
+    """Row after row, so that the blocks of one text batch at a time are unpacked."""
+    return (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows))
 
 
 def _send_pairs(model):
