@@ -18,8 +18,8 @@ from candlegrowth.llm.common import stored
 
 SIZE = 1024  # numbers in a vector
 SEED = b"letters-1"
-PIECE = 1 << 17  # characters, texts and trigrams that are bundled at a time
-PIECE_TEXTS = 128
+PIECE = 1 << 16  # characters that are bundled at a time, of so many texts
+PIECE_TEXTS = 64
 BLOCK = 4096
 GROUPS = 1024
 MAX_LANGUAGES = 4096  # profiles are sent to every task: at most this many, 4 KB each

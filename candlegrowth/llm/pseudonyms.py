@@ -17,7 +17,7 @@ LEADING, LEADING_MARKS = "23456789", "αβγδεζηθ"
 KINDS = ("email", "address", "date", "ssn", "phone", "card")
 PATTERNS = {
     "email": r"[0-9A-Za-z](?:[0-9A-Za-z._%+-]{0,62}[0-9A-Za-z])?@[0-9A-Za-z-]+(?:\.[0-9A-Za-z-]+)+",
-    "address": r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9A-Za-z])",
+    "address": r"(?<!\.)(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9A-Za-z])",
     "date": r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?![0-9A-Za-z])",
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "phone": r"(?:\+1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9A-Za-z])",
