@@ -5,9 +5,12 @@ from pyspark.sql import functions as F
 from candlegrowth import schema
 
 
-def parse_decimal(text, data_type=schema.PRICE):
-    """Number with a decimal comma; NULL where the cell is not a number."""
-    return F.replace(text, F.lit(","), F.lit(".")).try_cast(data_type)
+def parse_decimal(text):
+    """Number with a decimal comma or point, in full precision; NULL where the cell is not a plain
+    finite number."""
+    plain = text.rlike(r"^[+-]?[0-9]+([.,][0-9]+)?$")
+    number = F.replace(text, F.lit(","), F.lit(".")).try_cast("double")
+    return F.when(plain & (F.abs(number) < float("inf")), number)
 
 
 def parse_time(text):
@@ -15,7 +18,7 @@ def parse_time(text):
 
     The result has no time zone, so months do not depend on the session's zone.
     """
-    shape = (F.length(text) == 19) & (F.substring(text, 11, 1) == " ")
+    shape = text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$")
     return F.when(shape, text.try_cast("timestamp_ntz"))
 
 

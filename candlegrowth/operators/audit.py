@@ -3,53 +3,34 @@
 from pyspark.sql import functions as F
 
 from candlegrowth import schema
-from candlegrowth.functions import parse
+from candlegrowth.sources.files import with_path_columns
 
-MAX_MD5_BYTES = 1 << 30
-
-
-def file_md5(spark, path, glob="*", max_bytes=MAX_MD5_BYTES):
-    """MD5 of each file's bytes, lower hex.
-
-    A file is read whole by one task, so only files up to `max_bytes` are read here; the filter
-    on the length keeps larger ones closed. Those are identified by `content_fingerprint`.
-    """
-    files = (
-        spark.read.format("binaryFile")
-        .options(pathGlobFilter=glob, recursiveFileLookup="true")
-        .load(path)
-    )
-    return files.where(F.col("length") <= max_bytes).select(
-        F.col("_metadata.file_path").alias("file_path"),
-        parse.path_part(F.col("_metadata.file_path"), 1).alias("file_name"),
-        F.md5("content").alias("md5_sum"),
-        "length",
-    )
+_CELL, _MISSING = "\u0001", "\u0002"  # between the cells of a row, and in place of a NULL
 
 
 def row_hash(columns):
-    """64-bit hash of a row of text cells.
+    """The first 60 bits of the MD5 of a row of text cells, as a number."""
+    cells = F.concat_ws(_CELL, *[F.coalesce(F.col(c), F.lit(_MISSING)) for c in columns])
+    return F.conv(F.substring(F.md5(cells), 1, 15), 16, 10).cast("bigint")
+
 
-    The hash passes over NULL, so a marker keeps an empty cell's place.
+def fingerprint(row_hash_column):
+    """Aggregate that identifies a bag of rows, whatever their order and number: the sums of the low
+    and the high 30 bits of the row hashes, and the number of rows, as one MD5. The sums combine in
+    the tasks that read the rows, so a file of any size is spread over many tasks; a bigint holds
+    them for 2**33 rows.
     """
-    return F.xxhash64(*[F.coalesce(F.col(c), F.lit("\u0000")) for c in columns])
+    return fingerprint_of(*hash_sums(row_hash_column), F.count(F.col(row_hash_column)))
 
 
-def fingerprint(row_hash_column):
-    """Aggregate that identifies a bag of rows, whatever their order: the sum of the row hashes,
-    the sum of a second hash of each, and the number of rows. The sums combine in the tasks that
-    read the rows, so a file of any size is spread over many tasks.
+def hash_sums(row_hash_column):
+    value = F.col(row_hash_column)
+    low, high = value.bitwiseAND((1 << 30) - 1), F.shiftright(value, 30)
+    return [F.coalesce(F.sum(part), F.lit(0)) for part in (low, high)]
 
-    A hash is summed in three parts of 22 bits or less, which a bigint holds for 2**41 rows.
-    """
-    first = F.col(row_hash_column)
-    low = F.lit((1 << 22) - 1)
-    sums = []
-    for value in (first, F.xxhash64(first)):
-        middle = F.shiftrightunsigned(value, 22).bitwiseAND(low)
-        for part in (value.bitwiseAND(low), middle, F.shiftrightunsigned(value, 44)):
-            sums.append(F.sum(part).cast("string"))
-    return F.md5(F.concat_ws("|", *sums, F.count(F.lit(1)).cast("string")))
+
+def fingerprint_of(*sums):
+    return F.md5(F.concat_ws("|", *[x.cast("string") for x in sums]))
 
 
 def content_fingerprint(rows, columns, keys=("file_path",)):
@@ -60,30 +41,43 @@ def content_fingerprint(rows, columns, keys=("file_path",)):
     )
 
 
-def staging_audit(parsed, md5, start, end):
-    """One row per file: who, what, how many rows, and whether any row was rejected."""
-    counts = parsed.groupBy("file_path", "stock_name", "current_year").agg(
-        F.count(F.lit(1)).alias("number_of_processed_rows"),
-        F.bool_or(F.col("reject_reason") != "").alias("load_with_error"),
+def file_fingerprints(files, parsed):
+    """One row per listed file: md5_sum over its rows' cells, number of rows, whether any was
+    rejected. A file without rows, as one with a header only, has 0 rows."""
+    hashed = parsed.select(
+        "file_path", (F.col("reject_reason") != "").alias("rejected"),
+        row_hash(["stock_name", *schema.RAW_CANDLES.names]).alias("row_hash"),
     )
-    return (
-        counts.join(md5.select("file_path", "md5_sum"), "file_path", "left")
-        .withColumns(
-            {
-                "file_name": parse.path_part(F.col("file_path"), 1),
-                "file_type": parse.quote_side_of_name(F.col("file_path")),
-                "start_load_date": F.lit(start),
-                "end_load_date": F.lit(end),
-            }
-        )
-        .select(*schema.STAGING_AUDIT.names)
+    sums = hashed.groupBy("file_path").agg(
+        fingerprint("row_hash").alias("md5_sum"),
+        F.count(F.lit(1)).alias("number_of_processed_rows"),
+        F.bool_or("rejected").alias("load_with_error"),
     )
+    empty = F.md5(F.lit("0|0|0"))
+    return files.join(sums, "file_path", "left").withColumns({
+        "md5_sum": F.coalesce("md5_sum", empty),
+        "number_of_processed_rows": F.coalesce("number_of_processed_rows", F.lit(0)),
+        "load_with_error": F.coalesce("load_with_error", F.lit(False)),
+    })
+
+
+def staging_audit(files, parsed, start, end, layout="file_name"):
+    """One row per listed file: who, what, how many rows, and whether any row was rejected.
+
+    `files` has file_path; stock and year are taken from it as for the rows.
+    """
+    found = file_fingerprints(files.select("file_path"), parsed)
+    return with_path_columns(found, layout).withColumns(
+        {"start_load_date": F.lit(start), "end_load_date": F.lit(end)}
+    ).select(*schema.STAGING_AUDIT.names)
 
 
 def destination_audit(report, task_name, start=None, end=None, file_type="Bid"):
-    """One row per stock, algorithm and year of a written report."""
+    """One row per stock, algorithm and year of a written report; the rows processed are the months
+    that the report row holds."""
+    months = sum(F.col(m).isNotNull().cast("bigint") for m in schema.MONTHS)
     rows = report.groupBy("stock_name", "algorithm_type", "current_year").agg(
-        F.count(F.lit(1)).alias("number_of_processed_rows"),
+        F.sum(months).alias("number_of_processed_rows"),
         F.bool_or(F.col("total_per_year").isNull()).alias("load_with_error"),
     )
     return rows.withColumns(

@@ -24,7 +24,7 @@ def _period_keys(time, period):
     return [_PART[part](time).alias(part) for part in period_parts(period)]
 
 
-def _prices(order, tie_break):
+def bar_prices(order, tie_break):
     """Open and close of the first and the last bar by `order`, and the number of bars."""
     seqs = [] if not tie_break else [
         F.min_by(tie_break, order).alias("first_seq"),
@@ -44,7 +44,7 @@ def edge_aggregates(order, tie_break=None):
     return [
         F.min("time_utc").alias("first_time"),
         F.max("time_utc").alias("last_time"),
-        *_prices(order, tie_break),
+        *bar_prices(order, tie_break),
     ]
 
 
@@ -67,7 +67,7 @@ def month_boundary(candles, tie_break=None, dense_ties=False, period="month"):
     keys = ["stock_name", *_period_keys(F.col("time_utc"), period)]
     if tie_break and dense_ties:
         times = candles.groupBy("stock_name", "time_utc").agg(
-            *_prices(F.col(tie_break), tie_break)
+            *bar_prices(F.col(tie_break), tie_break)
         )
         times = times.select(
             "*",
@@ -84,23 +84,32 @@ def month_boundary(candles, tie_break=None, dense_ties=False, period="month"):
     return edges.select(*_boundary_names(period))
 
 
-def merge_boundaries(parts, period="month", unique=False):
+def merge_boundaries(parts, period="month", unique=False, versions=()):
     """Merge boundaries of parts of the data (files, days, batches) into one row per key.
 
     The merge is associative and ignores the order of arrival, so late bars need no watermark.
-    With `unique` no two parts share a time, and ordering by time alone is enough.
+    With `unique` no two parts share a time, and ordering by time alone is enough. `versions`
+    names integer columns by which the newest part wins where times tie.
     """
-    first = F.col("first_time") if unique else F.struct("first_time", "first_seq")
-    last = F.col("last_time") if unique else F.struct("last_time", "last_seq")
-    merged = parts.groupBy("stock_name", *period_parts(period)).agg(
+    older, newer = [-F.col(c) for c in versions], [F.col(c) for c in versions]
+    first = F.col("first_time") if unique else F.struct("first_time", "first_seq", *older)
+    last = F.col("last_time") if unique else F.struct("last_time", "last_seq", *newer)
+    merged = parts.groupBy("stock_name", *period_parts(period)).agg(*merged_edges(first, last))
+    return merged.withColumnsRenamed(MERGED_TIMES).select(*_boundary_names(period))
+
+
+MERGED_TIMES = {"min_time": "first_time", "max_time": "last_time"}
+
+
+def merged_edges(first, last):
+    """Aggregates that merge boundaries; the times are renamed by MERGED_TIMES afterwards."""
+    return [
         F.min("first_time").alias("min_time"),
         *[F.min_by(c, first).alias(c) for c in ("first_seq", "first_open", "first_close")],
         F.max("last_time").alias("max_time"),
         *[F.max_by(c, last).alias(c) for c in ("last_seq", "last_open", "last_close")],
         F.sum("n").alias("n"),
-    )
-    merged = merged.withColumnsRenamed({"min_time": "first_time", "max_time": "last_time"})
-    return merged.select(*_boundary_names(period))
+    ]
 
 
 def month_boundary_window(candles, tie_break=None, dense_ties=False):

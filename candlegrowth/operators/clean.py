@@ -20,7 +20,7 @@ CELLS = {
 def _parse(name, text):
     if name == "time_utc":
         return parse.parse_time(F.col(text))
-    return parse.parse_decimal(F.col(text), schema.VOLUME if name == "volume" else schema.PRICE)
+    return parse.parse_decimal(F.col(text))
 
 
 def _reason(name, text, required):
@@ -34,15 +34,18 @@ def parse_candles(raw):
     """Add typed columns and `reject_reason`: the names of the bad cells, empty for a good row.
 
     A cell is bad when it holds text that does not parse, or when time, open or close is missing.
-    One bad row never stops a load; it is set apart.
+    A line with more or fewer cells than six is bad as a whole: `cells`. One bad row never stops a
+    load; it is set apart.
     """
     typed = raw.withColumns({name: _parse(name, text) for name, (text, _) in CELLS.items()})
     reasons = [_reason(name, text, required) for name, (text, required) in CELLS.items()]
+    if schema.CORRUPT in raw.columns:
+        reasons.append(F.when(F.col(schema.CORRUPT).isNotNull(), F.lit("cells")))
     return typed.withColumn("reject_reason", F.concat_ws(",", *reasons))
 
 
 def valid_rows(parsed):
-    texts = [c for c in schema.RAW_CANDLES.names if c in parsed.columns]
+    texts = [c for c in (*schema.RAW_CANDLES.names, schema.CORRUPT) if c in parsed.columns]
     return parsed.where(F.col("reject_reason") == "").drop("reject_reason", *texts)
 
 

@@ -13,7 +13,6 @@ from candlegrowth import schema
 from candlegrowth.operators.growth import RULES
 from candlegrowth.session import build_session
 from candlegrowth.sinks import files as sinks
-from candlegrowth.sources import files as sources
 from candlegrowth.streaming.incremental import IncrementalLoad
 
 
@@ -27,7 +26,7 @@ def parser():
     args.add_argument("--mode", choices=("initial", "full", "incremental"), default="initial")
     args.add_argument("--glob", default=schema.BID_GLOB, help="file names to read")
     args.add_argument("--layout", choices=("file_name", "folders", "partitions"), default="file_name")
-    args.add_argument("--max_files", type=int, help="files per batch of the stream")
+    args.add_argument("--max_files", type=int, help="files in one load")
     args.add_argument("--csv", help="folder for the reports as delimited text")
     return args
 
@@ -38,11 +37,9 @@ def run(spark, options):
     load = IncrementalLoad(spark, options.output, options.rules, kinds)
     if options.mode != "incremental":
         load.initialise(replace=options.mode == "full")
-    stream = sources.stream_candles(
-        spark, options.folder_path, options.delimiter, options.glob, options.layout,
-        options.max_files,
+    load.run(
+        options.folder_path, options.delimiter, options.glob, options.layout, options.max_files
     )
-    load.run_stream(stream)
     if options.csv:
         sinks.write_report_csv(
             load.report().drop("stock_bucket"), f"{options.csv}/years", options.delimiter

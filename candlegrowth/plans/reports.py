@@ -76,7 +76,8 @@ def report_top_n(spark, folder):
 def union_year_parts(spark, folder):
     """Boundaries of two parts of the data, split at a date inside a month, merged into one."""
     candles = mapped.order_candles(spark, folder)
-    early = F.col("time_utc") < F.lit("1998-06-15").cast("timestamp_ntz")
+    before = F.col("time_utc") < F.lit("1998-06-15").cast("timestamp_ntz")
+    early = F.coalesce(before, F.lit(False))
     parts = [
         boundary.month_boundary(part, tie_break="seq", dense_ties=True)
         for part in (candles.where(early), candles.where(~early))

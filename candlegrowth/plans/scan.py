@@ -27,11 +27,20 @@ def csv_scan(spark, folder):
         "current_year",
         "file_type",
         "time_utc",
-        *[F.col(f"{c}_price").cast("double").alias(c) for c in ("open", "high", "low", "close")],
-        F.col("volume").cast("double").alias("volume"),
+        *[F.col(f"{c}_price").alias(c) for c in ("open", "high", "low", "close")],
+        "volume",
     )
 
 
+def csv_chunks_headerless(spark, folder):
+    """Month boundaries of files of which only some have a header."""
+    path = scratch_path(spark, "csv-chunks")
+    sinks.write_lines(mapped.chunk_lines(spark, folder), path, ["stock_name", "current_year", "chunk"])
+    raw = sources.read_candles(spark, path, glob="*", layout="partitions")
+    candles = clean.valid_rows(clean.parse_candles(raw)).withColumn("seq", F.col("volume").cast("bigint"))
+    return boundary.month_boundary(candles, **TIES)
+
+
 def header_filter(spark, folder):
     """Lines of text with headers among them, split by position."""
     path = scratch_path(spark, "header-filter")
@@ -58,16 +67,16 @@ def path_columns(spark, folder):
 
 
 def list_files(spark, folder):
-    """Files of a folder, by quote side."""
+    """The number of files of each quote side and folder."""
     path = scratch_path(spark, "list-files")
     cells = mapped.order_cells(spark, folder)
     sinks.write_candle_csv(cells, path, "CANDLES_10 Secs_Bid_1995.01.01")
-    files = sources.list_files(spark, path, schema.BID_GLOB)
-    return files.select(
+    sinks.write_candle_csv(cells, path, "CANDLES_10 Secs_Ask_1995.01.01")
+    return sources.list_files(spark, path, "*Secs*").groupBy(
         parse.quote_side_of_name(F.col("file_path")).alias("file_type"),
         parse.path_part(F.col("file_path"), 3).alias("stock_folder"),
         parse.path_part(F.col("file_path"), 2).alias("year_folder"),
-    ).distinct()
+    ).agg(F.count(F.lit(1)).alias("n"))
 
 
 def parse_time(spark, folder):
@@ -80,11 +89,10 @@ def parse_time(spark, folder):
 
 
 def decimal_comma(spark, folder):
-    cells = mapped.order_cells_with_errors(spark, folder)
+    cells = mapped.order_cells_with_errors(spark, folder).select("seq", "open_text")
     price = parse.parse_decimal(F.col("open_text"))
-    return cells.select(
-        "seq", "open_text", price.cast("double").alias("open_price"),
-        price.isNotNull().alias("is_number"),
+    return cells.unionByName(mapped.large_cells(spark, folder)).select(
+        "seq", "open_text", price.alias("open_price"), price.isNotNull().alias("is_number")
     )
 
 
@@ -102,9 +110,13 @@ def nan_to_null_query(spark, folder):
 
 
 def reject_rows(spark, folder):
-    parsed = clean.parse_candles(mapped.order_cells_with_errors(spark, folder))
+    """Lines with bad cells, with a cell too many and with one too few."""
+    path = scratch_path(spark, "reject-rows")
+    sinks.write_lines(mapped.odd_lines(spark, folder), path, ["stock_name", "current_year"])
+    parsed = clean.parse_candles(sources.read_candles(spark, path, glob="*", layout="partitions"))
     return clean.reject_rows(parsed).select(
-        "stock_name", "current_year", "seq", "reject_reason", "time_text", "open_text"
+        "stock_name", "current_year", F.col("volume_text").cast("bigint").alias("seq"),
+        "reject_reason", "time_text", "open_text",
     )
 
 
@@ -112,8 +124,7 @@ def valid_rows(spark, folder):
     parsed = clean.parse_candles(mapped.order_cells_with_errors(spark, folder))
     return clean.valid_rows(parsed).select(
         "stock_name", "seq", "time_utc",
-        F.col("open_price").cast("double").alias("open_price"),
-        F.col("close_price").cast("double").alias("close_price"),
+        "open_price", "close_price",
     )
 
 
@@ -157,6 +168,7 @@ def rows_per_group(spark, folder):
 
 QUERIES = {
     "csv_scan": csv_scan,
+    "csv_chunks_headerless": csv_chunks_headerless,
     "header_filter": header_filter,
     "path_columns": path_columns,
     "list_files": list_files,
@@ -174,6 +186,10 @@ QUERIES = {
     "rows_per_group": rows_per_group,
 }
 
+_CLOSE = sqltext.CLOSE
+_text = sqltext.price_text
+_price = sqltext.price
+
 # The same results in SQL. `cells_bad` holds the text cells with errors.
 _BAD = """
 WITH cells_bad AS (
@@ -181,8 +197,10 @@ WITH cells_bad AS (
          CAST(year(o_orderdate) AS INTEGER) AS current_year, o_orderdate, o_totalprice,
          o_totalprice * (1 + CAST((o_orderkey % 21) - 10 AS DOUBLE) / 1000) AS close_raw,
          o_orderstatus = 'P' AS bad_price,
-         o_orderstatus = 'F' AND o_orderpriority = '2-HIGH' AS bad_time,
-         CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '2-HIGH'
+         o_orderstatus = 'F' AND o_orderpriority IN ('2-HIGH', '3-MEDIUM') AS bad_time,
+         CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '3-MEDIUM'
+              THEN strftime(o_orderdate, '%Y-%m-%d ') || '9:00:00Z'
+              WHEN o_orderstatus = 'F' AND o_orderpriority = '2-HIGH'
               THEN day(o_orderdate) || '/' || month(o_orderdate) || '/' || year(o_orderdate)
               ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS time_text,
          CASE WHEN o_orderstatus = 'P' THEN 'n/a'
@@ -191,10 +209,6 @@ WITH cells_bad AS (
   FROM orders
 )
 """
-_CLOSE = sqltext.CLOSE
-_text = sqltext.price_text
-_price = sqltext.price
-
 SQL = {
     "csv_scan": f"""
 SELECT o_orderpriority AS stock_name, CAST(year(o_orderdate) AS INTEGER) AS current_year,
@@ -205,6 +219,15 @@ SELECT o_orderpriority AS stock_name, CAST(year(o_orderdate) AS INTEGER) AS curr
        {_price(_CLOSE)} AS close,
        CAST(o_orderkey AS DOUBLE) AS volume
 FROM orders""",
+    "csv_chunks_headerless": sqltext.query(
+        f"""candles AS (
+  SELECT o_orderpriority AS stock_name, o_orderdate AS time_utc, o_orderkey AS seq,
+         {_price('o_totalprice')} AS open_price, {_price(_CLOSE)} AS close_price
+  FROM orders
+)""", sqltext.BOUNDARY,
+        select="SELECT stock_name, year, month, first_time, first_seq, first_open, first_close, "
+        "last_time, last_seq, last_open, last_close, n FROM boundary",
+    ),
     "header_filter": f"""
 SELECT o_orderpriority AS stock_name, CAST(year(o_orderdate) AS INTEGER) AS current_year,
        strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS time_text,
@@ -222,18 +245,18 @@ SELECT '/landing/' || s || '/' || y || '/' || s || '_10 Secs_Bid_' || y || '.01.
        s AS stock_name, y AS current_year, n
 FROM p""",
     "list_files": """
-SELECT DISTINCT 'Bid' AS file_type, 'stock_name=' || o_orderpriority AS stock_folder,
-       'current_year=' || year(o_orderdate) AS year_folder
-FROM orders""",
+SELECT DISTINCT side AS file_type, 'stock_name=' || o_orderpriority AS stock_folder,
+       'current_year=' || year(o_orderdate) AS year_folder, CAST(1 AS BIGINT) AS n
+FROM orders, (VALUES ('Bid'), ('Ask')) AS sides(side)""",
     "parse_time": _BAD + """
 SELECT seq, time_text, CASE WHEN bad_time THEN NULL ELSE time_text END AS time_utc,
        NOT bad_time AS is_time
 FROM cells_bad""",
     "decimal_comma": _BAD + """
-SELECT seq, open_text, CAST(TRY_CAST(replace(open_text, ',', '.') AS DECIMAL(10,4)) AS DOUBLE)
-         AS open_price,
-       TRY_CAST(replace(open_text, ',', '.') AS DECIMAL(10,4)) IS NOT NULL AS is_number
-FROM cells_bad""",
+SELECT seq, open_text, TRY_CAST(replace(open_text, ',', '.') AS DOUBLE) AS open_price,
+       TRY_CAST(replace(open_text, ',', '.') AS DOUBLE) IS NOT NULL AS is_number
+FROM (SELECT seq, open_text FROM cells_bad UNION ALL
+      SELECT o_orderkey, """ + _text("o_totalprice * 100 + 0.12345") + """ FROM orders)""",
     "nan_to_null": """
 SELECT o_orderkey AS seq,
        CASE WHEN o_orderstatus <> 'P'
@@ -242,11 +265,11 @@ SELECT o_orderkey AS seq,
        o_orderstatus = 'P' AS is_missing
 FROM orders""",
     "reject_rows": _BAD + """
-SELECT stock_name, current_year, seq,
-       concat_ws(',', CASE WHEN bad_time THEN 'time' END, CASE WHEN bad_price THEN 'open' END)
-         AS reject_reason,
+SELECT stock_name, current_year, CASE WHEN seq % 7 <> 1 THEN seq END AS seq,
+       concat_ws(',', CASE WHEN bad_time THEN 'time' END, CASE WHEN bad_price THEN 'open' END,
+                 CASE WHEN seq % 7 IN (0, 1) THEN 'cells' END) AS reject_reason,
        time_text, open_text
-FROM cells_bad WHERE bad_time OR bad_price""",
+FROM cells_bad WHERE bad_time OR bad_price OR seq % 7 IN (0, 1)""",
     "valid_rows": _BAD + f"""
 SELECT stock_name, seq, o_orderdate AS time_utc, {_price('o_totalprice')} AS open_price,
        {_price('close_raw')} AS close_price

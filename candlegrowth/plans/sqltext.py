@@ -13,7 +13,7 @@ def price_text(value):
 
 def price(value):
     """A price after it was written as text and read back."""
-    return f"CAST(CAST(CAST(round({value}, 5) AS DECIMAL(18,5)) AS DECIMAL(10,4)) AS DOUBLE)"
+    return f"CAST(CAST(round({value}, 5) AS DECIMAL(18,5)) AS DOUBLE)"
 
 
 def candles(stock="o_orderpriority"):

@@ -9,16 +9,13 @@ MONTHS = (
 )
 HEADER_CELL = "Time (UTC)"
 HEADER_LINE = "Time (UTC);Open;High;Low;Close;Volume"
-TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DELIMITER = ";"
 BID_GLOB = "*Bid*"
 NULL_TEXT = "NULL"
 BARS_PER_DAY = 8640
 FIRST_BASE_CONSTANT = 1569.093
 
-PRICE = "decimal(10,4)"
-VOLUME = "decimal(18,4)"
-
+CORRUPT = "corrupt_line"  # the whole line where it has more or fewer cells than the header
 
 _TYPES = {
     "string": T.StringType(),
@@ -28,8 +25,6 @@ _TYPES = {
     "boolean": T.BooleanType(),
     "timestamp": T.TimestampType(),
     "timestamp_ntz": T.TimestampNTZType(),
-    "price": T.DecimalType(10, 4),
-    "volume": T.DecimalType(18, 4),
 }
 
 

@@ -6,13 +6,17 @@ from candlegrowth import schema
 from candlegrowth.functions import parse
 
 
+# A session may ask for dynamic partition overwrite; a whole folder is then not emptied.
+STATIC = {"partitionOverwriteMode": "static"}
+
+
 def write_partitioned(df, path, partition_columns, mode="append", max_records=0):
     """Partitioned parquet.
 
     The rebalance hint brings the rows of a partition together, so there are few files, and lets
     adaptive execution split a partition that is larger than the advisory size.
     """
-    writer = df.hint("rebalance", *partition_columns).write.mode(mode)
+    writer = df.hint("rebalance", *partition_columns).write.options(**STATIC).mode(mode)
     if max_records:
         writer = writer.option("maxRecordsPerFile", max_records)
     writer.partitionBy(*partition_columns).parquet(path)
@@ -32,7 +36,7 @@ def split_by_month(candles, path, mode="overwrite"):
 def write_lines(lines, path, partition_columns, mode="overwrite"):
     """Lines as text files below partition folders."""
     balanced = lines.hint("rebalance", *partition_columns)
-    balanced.write.mode(mode).partitionBy(*partition_columns).text(path)
+    balanced.write.options(**STATIC).mode(mode).partitionBy(*partition_columns).text(path)
 
 
 def split_lines_by_month(lines, path, delimiter=schema.DELIMITER, mode="overwrite"):
@@ -64,7 +68,7 @@ def read_report_csv(spark, path, table_schema=schema.REPORT, delimiter=schema.DE
     return spark.read.schema(table_schema).options(**options).csv(path)
 
 
-def write_candle_csv(cells, path, name, mode="append", delimiter=schema.DELIMITER):
+def write_candle_csv(cells, path, name, mode="append", delimiter=schema.DELIMITER, options=STATIC):
     """Text cells as candle files below `stock_name=/current_year=` folders.
 
     `name` starts the file names, which the readers match with a glob such as `*Bid*`.
@@ -72,11 +76,11 @@ def write_candle_csv(cells, path, name, mode="append", delimiter=schema.DELIMITE
     header = dict(zip(schema.RAW_CANDLES.names, schema.HEADER_LINE.split(";")))
     columns = [F.col(c).alias(header.get(c, c)) for c in cells.columns]
     partitions = list(schema.PARTITIONS.names)
-    options = {"sep": delimiter, "header": "true", "mapreduce.output.basename": name}
+    written = {"sep": delimiter, "header": "true", "mapreduce.output.basename": name}
     (
         cells.select(*columns)
         .hint("rebalance", *partitions)
-        .write.options(**options)
+        .write.options(**written, **options)
         .partitionBy(*partitions)
         .mode(mode)
         .csv(path)

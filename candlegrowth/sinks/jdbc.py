@@ -37,11 +37,13 @@ def write_table(df, table, conn, mode="append", connections=4, batch_size=10000)
     )
 
 
-def read_table(spark, table, conn, partition_column=None, lower=None, upper=None, parts=1):
-    """Read a table, split over a numeric column where one is named."""
-    reader = spark.read.format("jdbc").options(dbtable=table, **conn)
-    if partition_column:
-        reader = reader.options(
-            partitionColumn=partition_column, lowerBound=lower, upperBound=upper, numPartitions=parts
+def read_table(spark, table, conn, partition_column, lower, upper, parts):
+    """Read a table, split over a numeric column."""
+    return (
+        spark.read.format("jdbc")
+        .options(
+            dbtable=table, partitionColumn=partition_column, lowerBound=lower, upperBound=upper,
+            numPartitions=parts, **conn,
         )
-    return reader.load()
+        .load()
+    )

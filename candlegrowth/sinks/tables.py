@@ -30,10 +30,6 @@ def create_text_table(spark, table, table_schema, delimiter=schema.DELIMITER):
     )
 
 
-def drop_table(spark, table):
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-
-
 def create_tables(spark, database, location):
     """The destination tables of the reports."""
     create_database(spark, database, location)

@@ -11,17 +11,19 @@ NO_AGE_LIMIT = "36500d"
 
 def _reader(reader, delimiter, glob):
     return reader.options(
-        sep=delimiter, header="true", pathGlobFilter=glob, mode="PERMISSIVE",
+        sep=delimiter, header="false", pathGlobFilter=glob, mode="PERMISSIVE",
         ignoreLeadingWhiteSpace="true", ignoreTrailingWhiteSpace="true",
+        columnNameOfCorruptRecord=schema.CORRUPT,
     )
 
 
 def _raw_schema(partitioned):
-    fields = list(schema.RAW_CANDLES.fields)
+    fields = [*schema.RAW_CANDLES.fields, T.StructField(schema.CORRUPT, T.StringType())]
     return T.StructType(fields + list(schema.PARTITIONS.fields) if partitioned else fields)
 
 
 def _finish(raw, layout):
+    """Header lines are known by their content, so a file without one loses nothing."""
     raw = raw.withColumn("file_path", F.col("_metadata.file_path"))
     is_header = F.col("time_text").eqNullSafe(schema.HEADER_CELL)
     return with_path_columns(raw, layout).where(~is_header)
@@ -43,19 +45,29 @@ def with_path_columns(raw, layout="file_name"):
     elif layout == "file_name":
         added["stock_name"] = parse.stock_of_name(path)
         added["current_year"] = parse.year_of_name(path)
-    elif layout != "partitions":
+    elif layout == "partitions":
+        if "stock_name" not in raw.columns:  # a listed file: partition discovery made no columns
+            added["stock_name"] = F.substring_index(parse.path_part(path, 3), "stock_name=", -1)
+            year = F.substring_index(parse.path_part(path, 2), "current_year=", -1)
+            added["current_year"] = year.try_cast("int")
+    else:
         raise ValueError(f"unknown layout: {layout}")
     return raw.withColumns(added)
 
 
-def read_candles(spark, path, delimiter=schema.DELIMITER, glob=schema.BID_GLOB, layout="file_name"):
-    """Candle rows as text cells, with the columns that the path carries.
+def read_candles(
+    spark, path, delimiter=schema.DELIMITER, glob=schema.BID_GLOB, layout="file_name", base=None
+):
+    """Candle rows as text cells, with the columns that the path carries. `path` may be a list of
+    files; `base` is then the folder below which partition folders count.
 
     The schema is fixed: inference would scan the files twice and turn the time into a date.
     """
     reader = _reader(spark.read, delimiter, glob)
     if layout != "partitions":
         reader = reader.option("recursiveFileLookup", "true")
+    elif base:
+        reader = reader.option("basePath", base)
     raw = reader.schema(_raw_schema(layout == "partitions")).csv(path)
     return _finish(raw, layout)
 
@@ -80,7 +92,8 @@ def stream_candles(
 def read_lines(spark, path, delimiter=schema.DELIMITER, glob="*"):
     """Candle files as lines: headers dropped wherever they stand, then split by position.
 
-    A last empty field keeps its place, so a line always has the same positions.
+    A last empty field keeps its place, so a line always has the same positions. A line with more
+    or fewer than six fields is no candle; `corrupt_line` then holds it whole.
     """
     lines = spark.read.option("pathGlobFilter", glob).text(path)
     cells = F.split(F.col("value"), rf"\Q{delimiter}\E", -1)
@@ -90,6 +103,7 @@ def read_lines(spark, path, delimiter=schema.DELIMITER, glob="*"):
         F.get(cells, F.lit(0)).alias("time_text"),
         F.get(cells, F.lit(1)).alias("open_text"),
         F.get(cells, F.lit(4)).alias("close_text"),
+        F.when(F.size(cells) != len(schema.RAW_CANDLES), F.col("value")).alias(schema.CORRUPT),
     )
 
 
@@ -102,6 +116,7 @@ def list_files(spark, path, glob="*"):
         .select(
             F.col("_metadata.file_path").alias("file_path"),
             parse.path_part(F.col("_metadata.file_path"), 1).alias("file_name"),
+            "path",
             "length",
             "modificationTime",
         )

@@ -65,6 +65,7 @@ def order_cells_with_errors(spark, folder):
     bad_price = F.col("o_orderstatus") == "P"
     bad_time = (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "2-HIGH")
     time = parse.time_to_text(F.col("o_orderdate"))
+    odd_time = (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "3-MEDIUM")
     other_form = F.concat_ws(
         "/", F.dayofmonth("o_orderdate"), F.month("o_orderdate"), F.year("o_orderdate")
     )
@@ -73,7 +74,8 @@ def order_cells_with_errors(spark, folder):
         F.col("o_orderkey").alias("seq"),
         F.col("o_orderpriority").alias("stock_name"),
         F.year("o_orderdate").alias("current_year"),
-        F.when(bad_time, other_form).otherwise(time).alias("time_text"),
+        F.when(bad_time, other_form).when(odd_time, F.concat(F.substring(time, 1, 11), F.lit("9:00:00Z")))
+        .otherwise(time).alias("time_text"),
         F.when(bad_price, F.lit("n/a")).otherwise(price).alias("open_text"),
         price.alias("high_text"),
         price.alias("low_text"),
@@ -82,6 +84,39 @@ def order_cells_with_errors(spark, folder):
     )
 
 
+def odd_lines(spark, folder):
+    """Lines of which some have a cell too many, some one too few: by the key's remainder of 7."""
+    cells = order_cells_with_errors(spark, folder)
+    line = F.concat_ws(schema.DELIMITER, *schema.RAW_CANDLES.names)
+    turn = F.col("seq") % 7
+    return cells.select(
+        "stock_name", "current_year",
+        F.when(turn == 0, F.concat(line, F.lit(";1;2")))
+        .when(turn == 1, F.substring_index(line, schema.DELIMITER, 5)).otherwise(line).alias("value"),
+    )
+
+
+def chunk_lines(spark, folder):
+    """Order lines in three chunks per stock and year, of which only the first has a header."""
+    cells = order_cells(spark, folder)
+    line = F.concat_ws(schema.DELIMITER, *schema.RAW_CANDLES.names)
+    lines = cells.select(
+        "stock_name", "current_year", (F.col("volume_text").cast("bigint") % 3).alias("chunk"), line.alias("value")
+    )
+    headers = cells.select("stock_name", "current_year").distinct().select(
+        "*", F.lit(0).cast("bigint").alias("chunk"), F.lit(schema.HEADER_LINE).alias("value")
+    )
+    return lines.unionByName(headers)
+
+
+def large_cells(spark, folder):
+    """Cells with prices over a million and five decimals."""
+    candles = order_candles(spark, folder).withColumn("open_price", F.col("open_price") * 100 + 0.12345)
+    return candles.select(
+        "seq", parse.decimal_to_text(F.col("open_price")).alias("open_text"),
+    )
+
+
 def order_lines(spark, folder):
     """Order candles as lines of a file, with one header line per stock and year among them."""
     cells = order_cells(spark, folder)

@@ -1,63 +1,75 @@
-"""Incremental load: candle files arrive, month boundaries merge, reports follow.
+"""Incremental load: candle files arrive or change, month boundaries merge, reports follow.
 
 Tables below one root folder:
 
-  staging    typed rows and rejects of each load, by load and `rejected`
-  audit      one row per file of each load, with its fingerprint and whether it was taken
-  destination_audit   one row per stock, algorithm and year that a load reported again
-  delta      month boundaries that one load added, by load and stock bucket
-  base       merged boundaries up to a load, by load and stock bucket
-  known      fingerprints of all files taken up to a load
+  staging    typed rows and rejects of each load, by load
+  audit      one row per file of each load: size and time of change, fingerprint, rows
+  delta      month boundaries of each file of one load, by load and stock bucket
+  base       those of the current files up to a load, by load and stock bucket
+  known      the current files up to a load
   report, averages   the current reports, by stock bucket
-  epoch      the name of the stream's checkpoint, new whenever the tables are emptied
+  destination_audit  one row per stock, algorithm and year that a load reported again
+  settings   what the tables were made with
 
-A load writes only its own `load_id` folders and the report buckets it touches, each by
-overwrite, and reads only folders of earlier loads. A batch that is retried after a failure
-therefore gives the same tables. The state is one row per stock and month, not per bar.
+A run lists the files and takes those that no load has seen with this path, size and time of change.
+A file that comes again with other content replaces what it held; of several current files with
+equal content one counts. A load writes only its own `load_id` folders and the report buckets it
+touches, each by overwrite, and its audit is written when its boundaries are there. A run that
+follows a failure takes up the load that was not finished. The state is one row per file and month.
 
-Carry and lag rules look across month and year edges, so a new bar can change later months too:
-all months of the touched stocks are reported again, from the small state.
+Carry and lag rules look across month and year edges, so a new bar can change later months too: all
+months of the touched buckets are reported again, from the small state.
 """
 
 import datetime
-import uuid
+import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlegrowth import schema
-from candlegrowth.functions import parse
 from candlegrowth.operators import audit as audits
 from candlegrowth.operators import boundary as boundaries
 from candlegrowth.operators import clean, report
+from candlegrowth.sinks.files import STATIC
+from candlegrowth.sources import files as sources
 
 BUCKETS = 64
 MERGE_EVERY = 32
+MAX_FILES = 1000
 
+FILE_KEY = ["file_path", "length", "modified"]
+VERSION = schema.struct("file_path string, length bigint, modified bigint, md5_sum string, version int")
 AUDIT = schema.struct(
-    "file_path string, file_name string, file_type string, md5_sum string, "
-    "number_of_processed_rows bigint, load_with_error boolean, is_new boolean, "
-    "start_load_date timestamp, end_load_date timestamp"
+    "file_path string, file_name string, stock_name string, current_year int, file_type string, "
+    "length bigint, modified bigint, md5_sum string, number_of_processed_rows bigint, "
+    "load_with_error boolean, is_new boolean, start_load_date timestamp, end_load_date timestamp"
 )
-CELLS = list(schema.RAW_CANDLES.names)
+CELLS = [*schema.RAW_CANDLES.names, schema.CORRUPT]
 STAGED = schema.struct(
     "file_path string, stock_name string, time_utc timestamp_ntz, "
-    "open_price price, high_price price, low_price price, close_price price, "
-    "volume volume, seq bigint, row_hash bigint, "
+    "open_price double, high_price double, low_price double, close_price double, "
+    "volume double, seq bigint, row_hash bigint, "
     "rejected boolean, reject_reason string, " + ", ".join(f"{name} string" for name in CELLS)
 )
-
-EPOCH = schema.struct("name string, settings string")
+SETTINGS = schema.struct("settings string")
+_FILE_BOUNDARY = [T.StructField("file_path", T.StringType()), *schema.BOUNDARY.fields]
+NEWEST = ("version", "modified")  # where times of two files tie, the newer load, then file wins
+_SUMS = ["sum_low", "sum_high"]
+DELTA = T.StructType([
+    *_FILE_BOUNDARY, T.StructField("rejected", T.BooleanType()), *[T.StructField(c, T.LongType()) for c in _SUMS],
+])
+BASE = T.StructType([*_FILE_BOUNDARY, T.StructField("version", T.IntegerType())])
 
 # Columns and partition columns of each table.
 TABLES = {
     "staging": (STAGED, "load_id int"),
     "audit": (AUDIT, "load_id int"),
     "destination_audit": (schema.DESTINATION_AUDIT, "load_id int"),
-    "delta": (schema.BOUNDARY, "load_id int, stock_bucket int"),
-    "base": (schema.BOUNDARY, "load_id int, stock_bucket int"),
-    "known": (schema.struct("md5_sum string"), "load_id int"),
+    "delta": (DELTA, "load_id int, stock_bucket int"),
+    "base": (BASE, "load_id int, stock_bucket int"),
+    "known": (VERSION, "load_id int"),
     "report": (schema.REPORT, "stock_bucket int"),
     "averages": (schema.AVERAGES, "stock_bucket int"),
 }
@@ -68,23 +80,30 @@ def _full_schema(table):
     return T.StructType([*columns.fields, *schema.struct(partitions).fields])
 
 
-def bucket_of(stock):
+def bucket_of(stock, buckets=BUCKETS):
     """A fixed number of groups of stocks, so partitions do not grow with the stocks."""
-    return F.pmod(F.xxhash64(stock), F.lit(BUCKETS)).cast("int")
+    return F.pmod(F.xxhash64(stock), F.lit(buckets)).cast("int")
 
 
 class IncrementalLoad:
     """The tables below `root`, and the loads that maintain them.
 
-    `tie_break` names an integer column of the parsed rows that orders bars of equal time.
+    `tie_break` names an integer column of the parsed rows that orders bars of equal time; with
+    `dense_ties` (many bars per time) the bars of one time are merged first, by hash aggregates.
     """
 
-    def __init__(self, spark, root, rules="pairs", algorithm_types=("o-c", "c-c"), tie_break=None):
+    def __init__(
+        self, spark, root, rules="pairs", algorithm_types=("o-c", "c-c"), tie_break=None,
+        dense_ties=False, buckets=BUCKETS, merge_every=MERGE_EVERY,
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.rules = rules
         self.algorithm_types = tuple(algorithm_types)
         self.tie_break = tie_break
+        self.dense_ties = dense_ties
+        self.buckets = buckets
+        self.merge_every = merge_every
 
     def path(self, table, load_id=None):
         folder = f"{self.root}/{table}"
@@ -93,33 +112,46 @@ class IncrementalLoad:
     # Tables
 
     def initialise(self, replace=False):
-        """Create empty tables; with `replace` an earlier content is dropped."""
-        if not replace and self._epoch():
-            raise ValueError(f"{self.root} holds tables already")
-        for table, (_, partitions) in TABLES.items():
-            empty = self.spark.createDataFrame([], _full_schema(table))
-            names = schema.struct(partitions).names
-            empty.write.partitionBy(*names).mode("overwrite").parquet(self.path(table))
-        epoch = self.spark.createDataFrame([(uuid.uuid4().hex, self._settings())], EPOCH)
-        epoch.write.mode("overwrite").parquet(self.path("epoch"))
+        """Make the tables known; they are written by the first load. With `replace` an earlier
+        content is dropped."""
+        if self._settings_there() is not None:
+            if not replace:
+                raise ValueError(f"{self.root} holds tables already")
+            for table, (_, partitions) in TABLES.items():
+                if self._exists(table):
+                    empty = self.spark.createDataFrame([], _full_schema(table))
+                    names = schema.struct(partitions).names
+                    empty.write.options(**STATIC).partitionBy(*names).mode("overwrite").parquet(self.path(table))
+        settings = self.spark.createDataFrame([(self._settings(),)], SETTINGS)
+        settings.write.options(**STATIC).mode("overwrite").parquet(self.path("settings"))
 
     def _settings(self):
-        return f"{self.rules} {' '.join(self.algorithm_types)}"
-
-    def _epoch(self):
-        """Name of the stream's checkpoint, or None before the tables exist.
+        return f"{self.rules} {' '.join(self.algorithm_types)} {self.buckets} {self.merge_every}"
 
-        Reports of untouched stocks are kept, so all loads must follow the same rules.
-        """
+    def _settings_there(self):
         try:
-            name, settings = self.spark.read.schema(EPOCH).parquet(self.path("epoch")).head()
+            return self.spark.read.schema(SETTINGS).parquet(self.path("settings")).head()[0]
         except AnalysisException:
             return None
-        if settings != self._settings():
-            raise ValueError(f"the tables were made with {settings}, not {self._settings()}")
-        return name
+
+    def _exists(self, table, load_id=None):
+        try:
+            self._reader(table).parquet(self.path(table, load_id))
+        except AnalysisException:
+            return False
+        return True
+
+    def _check(self):
+        """Reports of untouched stocks are kept, so all loads must follow the same settings."""
+        found = self._settings_there()
+        if found is None:
+            raise ValueError(f"{self.root} holds no tables yet")
+        if found != self._settings():
+            raise ValueError(f"the tables were made with {found}, not {self._settings()}")
 
     def table(self, table):
+        if not self._exists(table):
+            return self.spark.createDataFrame([], _full_schema(table))
         return self._reader(table).parquet(self.path(table))
 
     def _reader(self, table):
@@ -132,12 +164,12 @@ class IncrementalLoad:
             return self.spark.createDataFrame([], _full_schema(table))
         return self._reader(table).option("basePath", self.path(table)).parquet(*paths)
 
-    def _since_base(self, base, table, load_id, last):
-        """Rows of the newest base before a load, and of the loads from there to `last`."""
-        base_id = load_id // MERGE_EVERY * MERGE_EVERY - 1
+    def _since_base(self, base, table, load_id):
+        """Rows of the newest base before a load, and of the loads from there to it."""
+        base_id = load_id // self.merge_every * self.merge_every - 1
         return (
             self._loads(base, [base_id] if base_id >= 0 else []),
-            self._loads(table, range(base_id + 1, last + 1)),
+            self._loads(table, range(base_id + 1, load_id + 1)),
         )
 
     def report(self):
@@ -146,25 +178,68 @@ class IncrementalLoad:
     def averages(self):
         return self.table("averages")
 
+    def months(self):
+        """The month boundaries of all current files."""
+        last = self.table("audit").agg(F.max("load_id")).first()[0]
+        return boundaries.merge_boundaries(self._state(-1 if last is None else last), versions=NEWEST)
+
     def rejects(self):
         return self.table("staging").where("rejected")
 
-    def _write_boundary(self, rows, table, load_id):
-        bucketed = rows.select(*schema.BOUNDARY.names, bucket_of("stock_name").alias("stock_bucket"))
-        bucketed.hint("rebalance", "stock_bucket").write.partitionBy("stock_bucket").mode(
-            "overwrite"
-        ).parquet(self.path(table, load_id))
+    def _write(self, rows, table, load_id, bucketed=False):
+        writer = rows
+        if bucketed:
+            writer = rows.withColumn("stock_bucket", bucket_of("stock_name", self.buckets)).hint("rebalance", "stock_bucket")
+        writer = writer.write.options(**STATIC).mode("overwrite")
+        if bucketed:
+            writer = writer.partitionBy("stock_bucket")
+        writer.parquet(self.path(table, load_id))
 
     # Loads
 
-    def load(self, raw, load_id):
-        """Take one batch of raw rows in. Loads count from 0 without gaps, as stream batches do."""
+    def run(
+        self, path, delimiter=schema.DELIMITER, glob=schema.BID_GLOB, layout="file_name", max_files=None,
+        withdraw=False,
+    ):
+        """Take in the files that are new or changed since the last run, `max_files` in a load. With
+        `withdraw` a file that is no longer there counts as taken back; by default it stays, as
+        files are moved away after a load."""
+        self._check()
+        last = self.table("audit").agg(F.max("load_id")).first()[0]
+        load_id = 0 if last is None else last + 1
+        if last is not None and not self._exists("destination_audit", last):
+            self._finish(last)
+        listed = sources.list_files(self.spark, path, glob).withColumn("modified", F.unix_micros("modificationTime"))
+        while True:
+            seen = self._versions(load_id - 1).select(*FILE_KEY)
+            fresh = listed.join(seen, FILE_KEY, "left_anti").orderBy("modified", "file_path")
+            rows = fresh.select("path", *FILE_KEY).limit(max_files or MAX_FILES).collect()
+            gone = []
+            if withdraw:
+                there = self._versions(load_id - 1).where("length is not null")
+                gone = there.join(listed, "file_path", "left_anti").select("file_path").limit(MAX_FILES).collect()
+            if not rows and not gone:
+                return
+            files = self.spark.createDataFrame(
+                [tuple(row)[1:] for row in rows] + [(row[0], None, None) for row in gone],
+                "file_path string, length bigint, modified bigint",
+            )
+            names = [re.sub(r"([\[\]{}*?\\])", r"\\\1", row["path"]) for row in rows]
+            if names:
+                raw = sources.read_candles(self.spark, names, delimiter, glob, layout, base=path)
+            else:
+                raw = sources.read_candles(self.spark, path, delimiter, glob, layout).where("false")
+            self.load(raw, files, load_id, layout)
+            load_id += 1
+
+    def load(self, raw, files, load_id, layout="file_name"):
+        """Take one batch of files in: their raw rows, and file_path, length and modified of each.
+        Loads count from 0 without gaps."""
         start = datetime.datetime.now()
         staged = self._stage(raw, load_id)
-        new_files = self._audit(staged, load_id, start)
-        self._add_boundaries(staged, new_files, load_id)
-        self._merge_if_due(load_id)
-        self._refresh_reports(load_id, start)
+        self._add_boundaries(staged, load_id)
+        self._audit(files, load_id, layout, start)
+        self._finish(load_id)
 
     def _stage(self, raw, load_id):
         """Parse the text once; everything later reads the columns it needs from parquet.
@@ -178,101 +253,117 @@ class IncrementalLoad:
             "file_path", "stock_name", "time_utc",
             "open_price", "high_price", "low_price", "close_price", "volume",
             seq.cast("bigint").alias("seq"),
-            audits.row_hash(["stock_name", *CELLS]).alias("row_hash"),
+            audits.row_hash(["stock_name", *schema.RAW_CANDLES.names]).alias("row_hash"),
             rejected.alias("rejected"), "reject_reason",
             *[F.when(rejected, F.col(c)).alias(c) for c in CELLS],
         )
-        path = self.path("staging", load_id)
-        staged.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(STAGED).parquet(path)
-
-    def _audit(self, staged, load_id, start):
-        """Fingerprint the files and mark those whose content is new.
-
-        Of several copies, in one load or over time, the first counts and the others are skipped.
-        """
-        sums = staged.groupBy("file_path").agg(
-            audits.fingerprint("row_hash").alias("md5_sum"),
-            F.count(F.lit(1)).alias("number_of_processed_rows"),
-            F.bool_or(F.col("rejected")).alias("load_with_error"),
+        self._write(staged, "staging", load_id)
+        return self.spark.read.schema(STAGED).parquet(self.path("staging", load_id))
+
+    def _add_boundaries(self, staged, load_id):
+        """Boundaries and hash sums per file and month, in one scan; rejected rows have a row of
+        their own, for the sums."""
+        time = F.when(~F.col("rejected"), F.col("time_utc"))
+        keys = ["file_path", "stock_name", F.year(time).alias("year"), F.month(time).alias("month"), "rejected"]
+        sums = [x.alias(c) for c, x in zip(_SUMS, audits.hash_sums("row_hash"))]
+        if self.tie_break and self.dense_ties:
+            staged = staged.groupBy("file_path", "stock_name", "time_utc", "rejected").agg(
+                *boundaries.bar_prices(F.col("seq"), "seq"), *sums
+            ).withColumns({"first_time": F.col("time_utc"), "last_time": F.col("time_utc")})
+            edges = boundaries.merged_edges(F.col("first_time"), F.col("last_time"))
+            sums = [F.sum(c).alias(c) for c in _SUMS]
+        else:
+            order = F.struct("time_utc", "seq") if self.tie_break else F.col("time_utc")
+            edges = boundaries.edge_aggregates(order, tie_break="seq")
+        rows = staged.groupBy(*keys).agg(*edges, *sums).withColumnsRenamed(boundaries.MERGED_TIMES)
+        self._write(rows.select(*DELTA.names), "delta", load_id, bucketed=True)
+
+    def _audit(self, files, load_id, layout, start):
+        """One row per file, also of those without rows, with a fingerprint of its rows. is_new marks
+        content that no current file had before; of several copies in a load the first."""
+        per_file = self._loads("delta", [load_id]).groupBy("file_path").agg(
+            *[F.sum(c).alias(c) for c in _SUMS], F.sum("n").alias("n"),
+            F.bool_or("rejected").alias("load_with_error"),
+        )
+        none = F.lit(0).cast("bigint")
+        rows = files.join(per_file, "file_path", "left").withColumns(
+            {c: F.coalesce(c, none) for c in (*_SUMS, "n")}
+        ).withColumns({
+            "md5_sum": audits.fingerprint_of(*map(F.col, _SUMS), F.col("n")),
+            "number_of_processed_rows": F.col("n"),
+            "load_with_error": F.coalesce("load_with_error", F.lit(False)),
+        })
+        before = self._versions(load_id - 1).select("md5_sum").distinct()
+        firsts = audits.new_files_only(rows, before, ["md5_sum"]).groupBy("md5_sum").agg(
+            F.min("file_path").alias("first_path")
         )
-        firsts = (
-            audits.new_files_only(sums, self._known(load_id, load_id - 1), ["md5_sum"])
-            .groupBy("md5_sum")
-            .agg(F.min("file_path").alias("first_path"))
+        rows = rows.join(firsts, "md5_sum", "left").withColumns({
+            "is_new": F.coalesce(F.col("file_path") == F.col("first_path"), F.lit(False)),
+            "start_load_date": F.lit(start), "end_load_date": F.lit(datetime.datetime.now()),
+        })
+        named = sources.with_path_columns(rows, layout)
+        self._write(named.select(*AUDIT.names), "audit", load_id)
+
+    def _versions(self, load_id):
+        """The current files after a load: the newest version of each path."""
+        if load_id < 0:
+            return self.spark.createDataFrame([], VERSION)
+        known, audit = self._since_base("known", "audit", load_id)
+        rows = known.select(*VERSION.names).unionByName(
+            audit.select(*VERSION.names[:-1], F.col("load_id").alias("version"))
         )
-        rows = sums.join(firsts, "md5_sum", "left").withColumns(
-            {
-                "is_new": F.coalesce(F.col("file_path") == F.col("first_path"), F.lit(False)),
-                "file_name": parse.path_part(F.col("file_path"), 1),
-                "file_type": parse.quote_side_of_name(F.col("file_path")),
-                "start_load_date": F.lit(start),
-                "end_load_date": F.current_timestamp(),
-            }
+        newest = F.max_by(F.struct(*VERSION.names[1:]), "version").alias("newest")
+        return rows.groupBy("file_path").agg(newest).select("file_path", "newest.*")
+
+    def _state(self, load_id, buckets=None):
+        """Boundaries of the current files after a load; of equal ones the first path's only."""
+        base, delta = self._since_base("base", "delta", load_id)
+        if buckets is not None:
+            base, delta = (x.where(F.col("stock_bucket").isin(buckets)) for x in (base, delta))
+        rows = base.select(*BASE.names).unionByName(
+            delta.where(~F.col("rejected")).select(*BASE.names[:-1], F.col("load_id").alias("version"))
         )
-        path = self.path("audit", load_id)
-        rows.select(*AUDIT.names).write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(AUDIT).parquet(path).where("is_new").select("file_path")
-
-    def _add_boundaries(self, staged, new_files, load_id):
-        """Boundaries per file first, so only months, not bars, are joined and shuffled."""
-        good = staged.where(~F.col("rejected"))
-        order = F.struct("time_utc", "seq") if self.tie_break else F.col("time_utc")
-        per_file = good.groupBy(
-            "file_path", "stock_name", F.year("time_utc").alias("year"),
-            F.month("time_utc").alias("month"),
-        ).agg(*boundaries.edge_aggregates(order, tie_break="seq"))
-        taken = per_file.join(new_files, "file_path", "left_semi")
-        self._write_boundary(boundaries.merge_boundaries(taken), "delta", load_id)
-
-    def _known(self, load_id, last):
-        """Fingerprints of the files taken up to the load `last`."""
-        base, audit = self._since_base("known", "audit", load_id, last)
-        return base.select("md5_sum").unionByName(audit.where("is_new").select("md5_sum"))
-
-    def _state(self, load_id):
-        """Boundaries after a load."""
-        base, delta = self._since_base("base", "delta", load_id, load_id)
-        return base.unionByName(delta)
-
-    def _merge_if_due(self, load_id):
-        """Write a merged base now and then, so the number of loads to read stays small."""
-        if (load_id + 1) % MERGE_EVERY == 0:
-            merged = boundaries.merge_boundaries(self._state(load_id))
-            self._write_boundary(merged, "base", load_id)
-            known = self._known(load_id, load_id)
-            known.write.mode("overwrite").parquet(self.path("known", load_id))
-
-    def _refresh_reports(self, load_id, start):
-        delta = self._loads("delta", [load_id])
-        touched = [row[0] for row in delta.select("stock_bucket").distinct().collect()]
-        if not touched:
-            return
-        # At most BUCKETS numbers: they prune the folders of the state that are read.
-        state = self._state(load_id).where(F.col("stock_bucket").isin(touched))
-        months = boundaries.merge_boundaries(state)
+        versions = self._versions(load_id)
+        file = F.struct("file_path", "version", "modified")
+        one = versions.groupBy("md5_sum").agg(F.min_by(file, "file_path").alias("one")).select("one.*")
+        return rows.join(one, ["file_path", "version"])
+
+    def _finish(self, load_id):
+        """Merge the state now and then, so the number of loads to read stays small, and report."""
+        if (load_id + 1) % self.merge_every == 0:
+            rows = self._since_base("base", "delta", load_id)
+            current = self._versions(load_id)
+            parts = rows[0].select(*BASE.names).unionByName(
+                rows[1].where(~F.col("rejected")).select(*BASE.names[:-1], F.col("load_id").alias("version"))
+            )
+            kept = parts.join(current.select("file_path", "version"), ["file_path", "version"], "left_semi")
+            self._write(kept.select(*BASE.names), "base", load_id, bucketed=True)
+            self._write(current, "known", load_id)
+        self._refresh_reports(load_id)
+
+    def _refresh_reports(self, load_id):
+        start = datetime.datetime.now()
+        stocks = self._loads("audit", [load_id]).select("stock_name").where("stock_name is not null")
+        stocks = stocks.unionByName(self._loads("delta", [load_id]).select("stock_name"))
+        bucket = bucket_of("stock_name", self.buckets)
+        # At most `buckets` numbers: they prune the folders of the state that are read.
+        touched = [row[0] for row in stocks.select(bucket).distinct().collect()]
+        state = self._state(load_id, touched)
+        months = boundaries.merge_boundaries(state, versions=NEWEST)
         years = report.report_algorithms(months, self.algorithm_types, self.rules)
-        self._write_report(years, "report")
+        self._write_report(years, "report", touched)
         current = self.report().where(F.col("stock_bucket").isin(touched))
-        self._write_report(report.averages_by_rules(current, self.rules), "averages")
+        self._write_report(report.averages_by_rules(current, self.rules), "averages", touched)
         done = audits.destination_audit(current, "year_report", start, datetime.datetime.now())
-        done.write.mode("overwrite").parquet(self.path("destination_audit", load_id))
+        self._write(done, "destination_audit", load_id)
 
-    def _write_report(self, rows, table):
-        bucketed = rows.withColumn("stock_bucket", bucket_of("stock_name"))
+    def _write_report(self, rows, table, touched):
+        bucketed = rows.withColumn("stock_bucket", bucket_of("stock_name", self.buckets))
         bucketed.hint("rebalance", "stock_bucket").write.partitionBy("stock_bucket").option(
             "partitionOverwriteMode", "dynamic"
         ).mode("overwrite").parquet(self.path(table))
-
-    def run_stream(self, stream):
-        """Load what has arrived since the last run, then stop."""
-        epoch = self._epoch()
-        if not epoch:
-            raise ValueError(f"{self.root} holds no tables yet")
-        query = (
-            stream.writeStream.foreachBatch(lambda batch, batch_id: self.load(batch, batch_id))
-            .option("checkpointLocation", f"{self.root}/checkpoint/{epoch}")
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
+        # dynamic overwrite leaves a bucket alone whose last row is gone
+        left = set(touched) - {row[0] for row in bucketed.select("stock_bucket").distinct().collect()}
+        for bucket in left:
+            empty = self.spark.createDataFrame([], TABLES[table][0])
+            empty.write.mode("overwrite").parquet(f"{self.path(table)}/stock_bucket={bucket}")

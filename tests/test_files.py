@@ -10,7 +10,6 @@ from candlegrowth.plans import job
 from candlegrowth.sinks import files as sinks
 from candlegrowth.sinks import jdbc
 from candlegrowth.sources import files as sources
-from candlegrowth.streaming import incremental
 from candlegrowth.streaming.incremental import IncrementalLoad
 
 NAME = "XAUUSD_10 Secs_Bid_{year}.01.01_{year}.12.31.csv"
@@ -34,7 +33,8 @@ def _sorted(df):
 
 @pytest.mark.parametrize("text, value", [
     ("1282,455", 1282.455), ("1282.455", 1282.455), ("0", 0.0), ("bad", None), ("", None),
-    ("1,2,3", None), ("99999999", None),
+    ("1,2,3", None), ("99999999", 99999999.0), ("1,12345", 1.12345), ("-2,5", -2.5), ("NaN", None),
+    ("Infinity", None), ("1e400", None), (" 1", None),
 ])
 def test_decimal_comma(spark, text, value):
     found = spark.range(1).select(parse.parse_decimal(F.lit(text))).first()[0]
@@ -44,6 +44,7 @@ def test_decimal_comma(spark, text, value):
 @pytest.mark.parametrize("text, ok", [
     ("2020-01-31 23:59:50", True), ("2020-02-30 00:00:00", False), ("31/01/2020", False),
     ("2020-01-31", False), ("2020-01-31T23:59:50", False), ("", False),
+    ("2019-01-02 9:00:00Z", False), ("2019-01-02 09:00:0Z", False),
 ])
 def test_time(spark, text, ok):
     found = spark.range(1).select(parse.parse_time(F.lit(text))).first()[0]
@@ -126,6 +127,7 @@ def test_bad_cells_are_set_apart(spark, tmp_path):
         "2020-05-01 00:00:10;1;1;1\n"
         "2020-05-01 00:00:20;1;x;y;2;z\n"
         "2020-05-01 00:00:30;1;;;2;\n"
+        "2020-05-01 00:00:40;1;1;1;1;1;7;8\n"
     )
     (tmp_path / NAME.format(year="2020")).write_text(text)
     parsed = clean.parse_candles(sources.read_candles(spark, str(tmp_path)))
@@ -133,7 +135,8 @@ def test_bad_cells_are_set_apart(spark, tmp_path):
     assert rejects == {
         "2020-05-01 00:00:00": "open",
         "01.05.2020": "time",
-        "2020-05-01 00:00:10": "close",
+        "2020-05-01 00:00:10": "close,cells",
+        "2020-05-01 00:00:40": "cells",
         "2020-05-01 00:00:20": "high,low,volume",
     }
     assert clean.valid_rows(parsed).count() == 11
@@ -165,20 +168,38 @@ def test_global_boundary_rows(spark):
     }
 
 
-def test_md5_and_fingerprint(spark, tmp_path):
-    import hashlib
+def test_files_without_a_header_lose_nothing(spark, tmp_path):
+    text = fixtures.candle_lines(header=False)
+    (tmp_path / NAME.format(year="2019")).write_text(text)
+    (tmp_path / NAME.format(year="2020")).write_text(fixtures.candle_lines())
+    raw = sources.read_candles(spark, str(tmp_path))
+    assert raw.groupBy("current_year").count().orderBy("current_year").collect() == [(2019, 10), (2020, 10)]
+    stream = sources.stream_candles(spark, str(tmp_path)).writeStream.format("memory").queryName("headerless")
+    stream.option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start().awaitTermination()
+    assert spark.table("headerless").count() == 20
 
+
+def test_lines_with_other_than_six_fields(spark, tmp_path):
+    text = fixtures.candle_lines(fixtures.BARS[:2]) + "2020-05-01 00:00:00;1;1;1;1;1;1\n2020-05-01 00:00:10;1\n"
+    (tmp_path / NAME.format(year="2020")).write_text(text)
+    lines = sources.read_lines(spark, str(tmp_path))
+    assert lines.where("corrupt_line IS NULL").count() == 2
+    assert lines.where("corrupt_line IS NOT NULL").count() == 2
+
+
+def test_fingerprints_of_files(spark, tmp_path):
+    """Copies are alike, other files are not; a file with a header only has a row as well."""
     folder = _year_files(tmp_path / "in")
-    found = {r["file_name"]: r["md5_sum"] for r in audit.file_md5(spark, str(folder)).collect()}
-    assert found == {p.name: hashlib.md5(p.read_bytes()).hexdigest() for p in folder.iterdir()}
-    assert audit.file_md5(spark, str(folder), max_bytes=10).count() == 0
-    (folder / NAME.format(year="2021")).write_bytes(
-        (folder / NAME.format(year="2020")).read_bytes()
-    )
-    raw = sources.read_candles(spark, str(folder))
-    columns = ["time_text", "open_text", "close_text"]
-    prints = [r["md5_sum"] for r in audit.content_fingerprint(raw, columns).collect()]
-    assert len(prints) == 3 and len(set(prints)) == 2
+    (folder / NAME.format(year="2021")).write_bytes((folder / NAME.format(year="2020")).read_bytes())
+    (folder / NAME.format(year="2022")).write_text(fixtures.candle_lines([]))
+    parsed = clean.parse_candles(sources.read_candles(spark, str(folder)))
+    files = sources.list_files(spark, str(folder)).select("file_path")
+    found = {r["file_path"][-14:-10]: r for r in audit.file_fingerprints(files, parsed).collect()}
+    assert len(found) == 4 and len({r["md5_sum"] for r in found.values()}) == 3
+    assert found["2020"]["md5_sum"] == found["2021"]["md5_sum"]
+    assert found["2022"]["number_of_processed_rows"] == 0
+    rows = audit.staging_audit(files, parsed, None, None).where("current_year = 2022").collect()
+    assert [(r["stock_name"], r["number_of_processed_rows"]) for r in rows] == [("XAUUSD", 0)]
 
 
 def test_fingerprint_keeps_the_place_of_empty_cells(spark):
@@ -194,6 +215,9 @@ def test_upsert(spark):
     )
     found = upsert.upsert(old, new, ["k"], "version")
     assert _sorted(found.select("k", "v")) == [("a", 1), ("b", 4), ("c", 5)]
+    tied = spark.createDataFrame([("b", 7, 1), ("b", 6, 1)], "k string, v int, version int")
+    for version in ("version", None):
+        assert _sorted(upsert.upsert(old, tied, ["k"], version).select("k", "v")) == [("a", 1), ("b", 7)]
 
 
 def test_report_csv_keeps_missing_values(spark, tmp_path):
@@ -245,31 +269,82 @@ def _round(tables):
 
 
 @pytest.mark.parametrize("rules", ["carry"])
-def test_late_files_give_the_same_report_as_a_full_load(spark, tmp_path, rules, monkeypatch):
+def test_late_files_give_the_same_report_as_a_full_load(spark, tmp_path, rules):
     """Newest bars come first, one file per run, with a merge of the state in between."""
-    monkeypatch.setattr(incremental, "MERGE_EVERY", 3)
     folder = tmp_path / "in"
     folder.mkdir()
-    load = IncrementalLoad(spark, str(tmp_path / "out"), rules)
+    load = IncrementalLoad(spark, str(tmp_path / "out"), rules, merge_every=3)
     load.initialise()
     for i in range(0, len(fixtures.BARS), 2):
         rows = fixtures.BARS[::-1][i:i + 2]
         (folder / f"XAUUSD_10 Secs_Bid_{rows[0][0][:4]}.part{i}.csv").write_text(
-            fixtures.candle_lines(rows)
+            fixtures.candle_lines(rows, header=i % 4 == 0)
         )
-        load.run_stream(sources.stream_candles(spark, str(folder), max_files=1))
+        load.run(str(folder), max_files=1)
     assert _round(_reports(load)) == _round(_expected(fixtures.bars(spark), rules))
     assert load.table("base").select("load_id").distinct().count() == 1
+    assert load.months().agg(F.sum("n")).first()[0] == 10
 
 
-def test_loads_follow_the_rules_of_the_tables(spark, tmp_path):
-    folder = _year_files(tmp_path / "in")
-    stream = sources.stream_candles(spark, str(folder))
+def test_loads_follow_the_settings_of_the_tables(spark, tmp_path):
+    folder = str(_year_files(tmp_path / "in"))
     with pytest.raises(ValueError, match="no tables"):
-        IncrementalLoad(spark, str(tmp_path / "out")).run_stream(stream)
+        IncrementalLoad(spark, str(tmp_path / "out")).run(folder)
     IncrementalLoad(spark, str(tmp_path / "out")).initialise()
     with pytest.raises(ValueError, match="made with"):
-        IncrementalLoad(spark, str(tmp_path / "out"), "carry").run_stream(stream)
+        IncrementalLoad(spark, str(tmp_path / "out"), "carry").run(folder)
+    with pytest.raises(ValueError, match="made with"):
+        IncrementalLoad(spark, str(tmp_path / "out"), buckets=8).run(folder)
+
+
+def _prices(rows, factor):
+    return [(time, open_price, close * factor) for time, open_price, close in rows]
+
+
+@pytest.mark.parametrize("merge_every", [2, 32])
+def test_a_corrected_file_replaces_what_it_held(spark, tmp_path, merge_every):
+    """Under its old name, under a new one beside it, with a bar less, and emptied."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    name = folder / NAME.format(year="2019")
+    load = IncrementalLoad(spark, str(tmp_path / "out"), "carry", merge_every=merge_every)
+    load.initialise()
+
+    def loaded(text):
+        name.write_text(text)
+        load.run(str(folder))
+        return [(r["month"], r["n"], r["last_close"]) for r in load.months().orderBy("month").collect()]
+
+    bars = fixtures.BARS[:4]
+    assert loaded(fixtures.candle_lines(bars)) == [(11, 2, 110.0), (12, 2, 121.0)]
+    assert loaded(fixtures.candle_lines(_prices(bars, 2))) == [(11, 2, 220.0), (12, 2, 242.0)]
+    assert loaded(fixtures.candle_lines(bars[:3])) == [(11, 2, 110.0), (12, 1, 112.0)]
+    other = folder / NAME.format(year="2019.new")
+    other.write_text(fixtures.candle_lines(_prices(bars[:2], 3)))
+    load.run(str(folder))
+    assert [r["last_close"] for r in load.months().orderBy("month").collect()] == [330.0, 112.0]
+    assert load.months().agg(F.sum("n")).first()[0] == 5
+    assert loaded(fixtures.candle_lines([])) == [(11, 2, 330.0)]
+    other.unlink()
+    load.run(str(folder))
+    assert load.months().count() == 1
+    load.run(str(folder), withdraw=True)
+    assert load.months().count() == 0 and load.report().count() == 0
+    last = load.table("audit").orderBy(F.desc("load_id")).first()
+    assert (last["stock_name"], last["number_of_processed_rows"]) == ("XAUUSD", 0)
+
+
+def test_a_load_that_was_not_finished_is_taken_up(spark, tmp_path, monkeypatch):
+    folder = str(_year_files(tmp_path / "in"))
+    load = IncrementalLoad(spark, str(tmp_path / "out"))
+    load.initialise()
+    with monkeypatch.context() as patch:
+        patch.setattr(IncrementalLoad, "_finish", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            load.run(folder)
+    load.run(folder)
+    assert _round(_reports(load)) == _round(_expected(fixtures.bars(spark), "pairs"))
+    assert load.table("audit").select("load_id").distinct().count() == 1
 
 
 def test_lines_by_month_stay_as_they_are(spark, tmp_path):
@@ -285,53 +360,59 @@ def test_lines_by_month_stay_as_they_are(spark, tmp_path):
     assert found.where("year IS NULL").count() == 1
 
 
-def test_copies_and_bad_rows(spark, tmp_path, monkeypatch):
+def test_copies_and_bad_rows(spark, tmp_path):
     """The last copy comes after the known files were merged into a base."""
-    monkeypatch.setattr(incremental, "MERGE_EVERY", 2)
     folder = _year_files(tmp_path / "in")
     (folder / "XAUUSD_10 Secs_Bid_2020.copy.csv").write_bytes(
         (folder / NAME.format(year="2020")).read_bytes()
     )
-    load = IncrementalLoad(spark, str(tmp_path / "out"))
+    load = IncrementalLoad(spark, str(tmp_path / "out"), merge_every=2)
     load.initialise()
-    load.run_stream(sources.stream_candles(spark, str(folder)))
+    load.run(str(folder))
     (folder / "XAUUSD_10 Secs_Bid_2019.again.csv").write_bytes(
         (folder / NAME.format(year="2019")).read_bytes()
     )
     (folder / "OTHER_10 Secs_Bid_2019.csv").write_text(
         fixtures.candle_lines(fixtures.BARS[:4]) + "bad;1;1;1;1;1\n"
     )
-    load.run_stream(sources.stream_candles(spark, str(folder)))
+    (folder / "EMPTY_10 Secs_Bid_2019.csv").write_text(fixtures.candle_lines([]))
+    load.run(str(folder))
     (folder / "XAUUSD_10 Secs_Bid_2020.third.csv").write_bytes(
         (folder / NAME.format(year="2020")).read_bytes()
     )
-    load.run_stream(sources.stream_candles(spark, str(folder)))
+    load.run(str(folder))
     files = load.table("audit").collect()
-    assert len(files) == 6 and sum(r["is_new"] for r in files) == 3
+    assert len(files) == 7 and sum(r["is_new"] for r in files) == 4
     assert {r["load_id"] for r in files} == {0, 1, 2}
-    assert load.table("known").where("load_id = 1").count() == 3
+    assert {(r["stock_name"], r["current_year"]) for r in files} == {
+        ("XAUUSD", 2019), ("XAUUSD", 2020), ("OTHER", 2019), ("EMPTY", 2019)
+    }
+    assert [r["number_of_processed_rows"] for r in files if r["stock_name"] == "EMPTY"] == [0]
+    assert load.table("known").where("load_id = 1").count() == 6
     assert [r["file_name"] for r in files if r["load_with_error"]] == ["OTHER_10 Secs_Bid_2019.csv"]
     assert load.rejects().select("time_text").first()[0] == "bad"
     other = fixtures.bars(spark, "OTHER").where("year(time_utc) = 2019")
     bars = fixtures.bars(spark).unionByName(other)
     assert _round(_reports(load)) == _round(_expected(bars, "pairs"))
-    assert load.table("delta").agg(F.sum("n")).first()[0] == 14
+    assert load.months().agg(F.sum("n")).first()[0] == 14
     reported = load.table("destination_audit")
     assert reported.where("load_id = 0").count() == 4
     assert reported.where("load_id = 1 AND stock_name = 'OTHER'").count() == 2
 
 
 def test_a_repeated_load_changes_nothing(spark, tmp_path):
-    folder = _year_files(tmp_path / "in")
+    folder = str(_year_files(tmp_path / "in"))
     load = IncrementalLoad(spark, str(tmp_path / "out"))
     load.initialise()
-    raw = sources.read_candles(spark, str(folder))
-    load.load(raw, 0)
+    load.run(folder)
     before = _reports(load)
-    load.load(raw, 0)
-    assert _reports(load) == before
-    load.load(raw, 1)
-    assert _reports(load) == before
+    load.run(folder)
+    assert load.table("audit").select("load_id").distinct().count() == 1
+    files = load.table("audit").select("file_path", "length", "modified")
+    files = spark.createDataFrame(files.collect(), files.schema)
+    for load_id in (0, 1):
+        load.load(sources.read_candles(spark, folder), files, load_id)
+        assert _reports(load) == before
 
 
 def test_job_modes(spark, tmp_path, capsys):
@@ -345,7 +426,14 @@ def test_job_modes(spark, tmp_path, capsys):
     (folder / "OTHER_10 Secs_Bid_2019.csv").write_text(fixtures.candle_lines(fixtures.BARS[:4]))
     second = _reports(job.run(spark, job.parser().parse_args([*arguments, "--mode", "incremental"])))
     assert len(second[0]) == len(first[0]) + 2
-    third = _reports(job.run(spark, job.parser().parse_args([*arguments, "--mode", "full"])))
-    assert _round(third) == _round(second)
+    (folder / "OTHER_10 Secs_Bid_2019.csv").unlink()
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    spark.conf.set(mode, "dynamic")
+    try:
+        full = job.run(spark, job.parser().parse_args([*arguments, "--mode", "full"]))
+    finally:
+        spark.conf.unset(mode)
+    assert _round(_reports(full)) == _round(first)
+    assert full.table("audit").count() == 2
     with pytest.raises(SystemExit):
         job.parser().parse_args([*arguments, "--mode", "other"])
