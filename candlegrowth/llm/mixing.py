@@ -22,6 +22,7 @@ SEED = 20240607
 ROUNDS = 8  # even, so that the halves end where they began
 WALKS = 48
 CELL = 64
+MOST_SENT = 100_000  # sources whose plan is sent to all tasks; more are joined by a shuffle
 
 
 def n_words(text_column="text"):
@@ -111,8 +112,18 @@ def plan(sizes, block=BLOCK, **shares):
     )
 
 
-def _with_source(left, right, how="inner"):
-    """Joins on equal sources, NULL included; right's columns come behind left's."""
+def _few(planned):
+    return planned.count() <= MOST_SENT
+
+
+def _with_source(left, right, how="inner", few=None):
+    """Joins on equal sources, NULL included; right's columns come behind left's.
+
+    `few` tells whether right, with a row per source, may be sent to all tasks. Left may be made from
+    a few counts and look small to the planner, which must not send it instead.
+    """
+    if few is not None:
+        right = F.broadcast(right) if few else right.hint("merge")
     right = right.withColumnRenamed("source", "_source")
     return left.join(right, F.col("source").eqNullSafe(F.col("_source")), how).drop("_source")
 
@@ -166,9 +177,10 @@ def draws(planned, seed=SEED, shard_slots=SHARD_SLOTS):
     totals = _with_source(planned.select("source", "slots"), had, "left").fillna(0, "drawn")
     over = _intervals(totals.withColumn("over", F.greatest(F.col("drawn") - F.col("slots"), F.lit(0))), "over")
     under = _intervals(totals.withColumn("under", F.greatest(F.col("slots") - F.col("drawn"), F.lit(0))), "under")
-    limited = _with_source(numbered, totals.select("source", "slots"))
+    few = _few(planned)
+    limited = _with_source(numbered, totals.select("source", "slots"), few=few)
     kept = limited.where("number < slots").select("source", "number", "shard")
-    moved = _with_source(limited.where("number >= slots"), over.select("source", "first")).select(
+    moved = _with_source(limited.where("number >= slots"), over.select("source", "first"), few=few).select(
         "shard", (F.col("first") + F.col("number") - F.col("slots")).alias("rank")
     )
     moved = _look_up(moved, under.select("source", "first", "end", "drawn"), "rank").select(
@@ -209,7 +221,7 @@ def permuted(number, size, *key):
 
 def takes(planned, drawn, block=BLOCK, seed=SEED):
     """(source, number, shard, block, take): the block of each slot and how many of its words."""
-    slots = _with_source(drawn, planned).withColumn(
+    slots = _with_source(drawn, planned, few=_few(planned)).withColumn(
         "pass", F.floor(F.col("number") / F.col("blocks"))
     ).withColumn("turn", F.col("number") % F.col("blocks"))
     chosen = permuted(F.col("turn"), F.col("full"), F.lit(seed), F.col("source"), F.col("pass"))
@@ -260,7 +272,7 @@ def mix(documents, id_column="doc_id", text_column="text", source_column="source
             F.col("take") > F.col("at"), F.least(F.col("length"), F.col("take") - F.col("at"))
         ).otherwise(0).alias("words"),
     )
-    return _with_source(joined, planned.select("source", "source_size", "target"))
+    return _with_source(joined, planned.select("source", "source_size", "target"), few=_few(planned))
 
 
 def taken(documents, id_column="doc_id", text_column="text", source_column="source", block=BLOCK, seed=SEED):
