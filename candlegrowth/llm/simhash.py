@@ -188,9 +188,14 @@ def near_duplicates(documents, id_column="doc_id", text_column="text", width=3,
     their own with equal results; an empty table gives no rows; other columns are never read.
     """
     docs = stored(fingerprints(documents, id_column, text_column, width), "simhash")
+    return labelled(docs, components(links(docs.select("fp").distinct(), threshold)))
+
+
+def labelled(docs, labels):
+    """The documents (doc_id, text_key, fp) with root, component_id and keep by the labels (node,
+    root) of their fingerprints."""
     prints = docs.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    labels = components(links(prints.select("fp"), threshold)).withColumnRenamed("node", "fp")
-    linked = stored(labels.join(prints, "fp"), "simhash-linked")
+    linked = stored(labels.withColumnRenamed("node", "fp").join(prints, "fp"), "simhash-linked")
     best = linked.groupBy("root").agg(F.min("first").alias("component_id"))
     named = prints.join(linked.join(best, "root").select("fp", "root", "component_id"), "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"),
@@ -208,13 +213,18 @@ def keep_first(documents, id_column="doc_id", text_column="text", width=3, thres
     Of rows of one component that share the smallest id one stays.
     """
     found = near_duplicates(documents, id_column, text_column, width, threshold)
-    kept = (
+    return kept(documents, found, id_column, text_column)
+
+
+def kept(documents, found, id_column="doc_id", text_column="text"):
+    """The documents, all columns, that are the first of their component in `found`."""
+    first = (
         found.where("keep").groupBy("root", "doc_id").agg(F.min("text_key").alias("text_key"))
         .select(F.col("doc_id").alias("_kept_id"), F.col("text_key").alias("_kept_key"))
     )
     keyed = documents.withColumn("_kept_key", F.xxhash64(F.col(text_column)))
-    same = (keyed[id_column].eqNullSafe(kept["_kept_id"])) & (keyed["_kept_key"] == kept["_kept_key"])
-    return keyed.join(kept, same, "left_semi").dropDuplicates([id_column, "_kept_key"]).drop("_kept_key")
+    same = (keyed[id_column].eqNullSafe(first["_kept_id"])) & (keyed["_kept_key"] == first["_kept_key"])
+    return keyed.join(first, same, "left_semi").dropDuplicates([id_column, "_kept_key"]).drop("_kept_key")
 
 
 def op6_simhash(spark, folder):

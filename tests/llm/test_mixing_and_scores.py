@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from candlegrowth.llm import katz, mixing, queries
+from candlegrowth.llm import katz, mixing, near, queries
 
 DOCS = "doc_id long, text string, source string"
 
@@ -221,3 +221,32 @@ def test_pipeline(spark, tmp_path):
     whole = corpus_pipeline.run(spark, str(tmp_path))
     assert sorted(map(str, whole.collect())) == sorted(map(str, docs.collect()))
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+@pytest.mark.parametrize("small", [3, 16])
+def test_pipeline_drops_copies_of_similarity_four_fifths(spark, monkeypatch, small):
+    """The near-duplicate stage against exact Jaccard similarity of five-word shingles, in groups
+    of near copies of 0.8 to 0.95 and of somewhat less."""
+    monkeypatch.setattr(near, "SMALL", small)
+    rng = random.Random(9)
+    rows = []
+    for group in range(12):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+        for edits in (0, 2, 4, 6, 7, 8, 8, 10, 14, 20):
+            copy = list(words)
+            for at in rng.sample(range(400), edits):
+                copy[at] = f"x{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(copy)))
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
+    first, similar = list(range(len(rows))), []
+    for i in range(len(rows)):
+        for j in range(i):
+            likeness = len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+            if likeness >= 0.8:
+                similar.append(likeness)
+                a, b = first[i], first[j]
+                first = [min(a, b) if x in (a, b) else x for x in first]
+    assert sum(0.8 <= x <= 0.95 for x in similar) > 50 and len(set(first)) > 12
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    kept = corpus_pipeline.dedup_documents(spark, docs, "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(first))
