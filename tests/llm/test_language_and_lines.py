@@ -244,3 +244,23 @@ def test_long_texts_are_searched_in_pieces(monkeypatch):
     texts = [" ".join(f"q{i}" for i in range(200)) + " " + item + " tail" for item in items]
     found = decontaminate.Matcher(items).find(texts)
     assert [[(v[0], v[1], v[3]) for v in x.values()] for x in found] == [[(i, 200, 0)] for i in range(5)]
+
+
+@pytest.mark.parametrize("n", [100, 150, 300, 500, 1000])
+@pytest.mark.parametrize("kind", ["sub", "ins", "del", "start", "end"])
+def test_long_items_are_found_at_the_allowed_edits(n, kind):
+    """Items of which a fifth of the words are replaced, put in or taken out, or whose first or
+    last fifth is missing."""
+    rng = random.Random(n)
+    items = [[f"w{rng.randrange(10**6)}" for _ in range(n)] for _ in range(20)]
+    texts, k = [], decontaminate.allowed(n)
+    for number, item in enumerate(items):
+        words = list(item)
+        if kind in ("start", "end"):
+            words = words[k:] if kind == "start" else words[:-k]
+        else:
+            for at in sorted(rng.sample(range(n), k), reverse=True):
+                words[at:at + (kind != "ins")] = [] if kind == "del" else [f"x{rng.randrange(10**6)}"]
+        texts.append(" ".join([f"y{number}"] * 30 + words + ["z"] * 30))
+    found = decontaminate.Matcher([" ".join(x) for x in items]).find(texts)
+    assert sum(i in x for i, x in enumerate(found)) >= 19
