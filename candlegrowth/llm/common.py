@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import functions as F
 
@@ -37,6 +38,21 @@ def word_chunks(data, size=PIECE):
             yield words
 
 
+SLICE = 8 << 20  # bytes of texts that stand as Python objects at a time
+
+
+def slices(batch, column, size=SLICE):
+    """An Arrow batch in parts of about `size` bytes of a text or binary column, or of one row."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    start = 0
+    while start < batch.num_rows:
+        done = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + size, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def text_bytes(column="text"):
     """The text as UTF-8 bytes; NULL stays NULL."""
     return F.col(column).cast("string").cast("binary")
