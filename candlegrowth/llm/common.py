@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import functions as F
@@ -53,6 +54,21 @@ def slices(batch, column, size=SLICE):
         start = stop
 
 
+def release():
+    """Gives back what Arrow keeps of freed batches; called when a task has read its rows."""
+    pa.default_memory_pool().release_unused()
+
+
+def free_names(rows, count):
+    """So many column names that the rows do not have."""
+    taken, found, number = {x.lower() for x in rows.columns}, [], 0
+    while len(found) < count:
+        if f"_own_{number}" not in taken:
+            found.append(f"_own_{number}")
+        number += 1
+    return found
+
+
 def text_bytes(column="text"):
     """The text as UTF-8 bytes; NULL stays NULL."""
     return F.col(column).cast("string").cast("binary")

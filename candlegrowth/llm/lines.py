@@ -1,9 +1,11 @@
 """Removal of repeated and nearly repeated lines, by a segment-partition edit join.
 
-Unlike lines are compared once. Two lines are alike within k edits, k being one per EDIT_CHARS
-characters of the shorter line and MOST_EDITS at most. Cut the shorter one into k + 1 segments: one
-of them stands unchanged in the longer line, shifted by no more than the edits before and after it
-allow. So every line is indexed by its segments, and probed with the substrings of its own that may
+Unlike lines are compared once. The threshold of the join is a number of edits, as the segments follow
+from it: two lines are alike within MOST_EDITS edits, and within fewer if the shorter line has not
+EDIT_CHARS characters for each (`edits_of`). Larger thresholds are asked for with `most`; a line is
+probed with about most^3 substrings, so the default is small. Cut the shorter one into k + 1 segments:
+one of them stands unchanged in the longer line, shifted by no more than the edits before and after
+it allow. So every line is indexed by its segments, and probed with the substrings of its own that may
 equal a segment of a line of each length in reach. Lines that meet are verified by a banded
 bit-parallel edit distance.
 
@@ -17,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from candlegrowth.llm.common import components, runs, stored, whole_runs
+from candlegrowth.llm.common import components, free_names, release, runs, slices, stored, whole_runs
 
 EDIT_CHARS = 20
 MOST_EDITS = 2
@@ -123,37 +125,53 @@ def _probes(text_size, edit_chars, most):
     return [x[:3] for x in found], np.array([x[3] for x in found], dtype=bool)
 
 
+PROBES = 50_000  # substrings that are hashed at a time
+
+
 def _first_keys(edit_chars, most):
     """The keys of each line, where nothing is matched yet."""
 
+    def some(texts):
+        """(start, stop) of the lines whose substrings are hashed together."""
+        start, total = 0, 0
+        for i, text in enumerate(texts):
+            total += len(text) // 100 + 2 * (most + 1) ** 2
+            if total > PROBES:
+                yield start, i + 1
+                start, total = i + 1, 0
+        if start < len(texts):
+            yield start, len(texts)
+
     def keys(batches):
         plans = {}
-        for batch in batches:
-            lines, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
-            for s in range(0, len(texts), 4096):
-                blocks = [x.encode("utf-32-le", "replace") for x in texts[s:s + 4096]]
-                long = np.flatnonzero([len(x) >= 4 * edit_chars for x in blocks])
-                blocks = [blocks[i] for i in long.tolist()]
-                if not blocks:
-                    continue
-                found, homes, sizes = [], [], []
-                for data in blocks:
-                    plan = plans.get(len(data))
-                    if plan is None:
-                        if len(plans) > 20_000:
-                            plans.clear()
-                        plan = plans[len(data)] = _probes(len(data) // 4, edit_chars, most)
-                    found += [xxhash.xxh3_64_intdigest(data[a:b], seed) for seed, a, b in plan[0]]
-                    homes.append(plan[1])
-                    sizes.append(len(plan[1]))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.array(found, dtype=np.uint64).view("<i8")),
-                        pa.array(np.repeat(lines[s:s + 4096][long], sizes)),
-                        pa.array(np.repeat(_signs(blocks), sizes)), pa.array(np.concatenate(homes)),
-                    ],
-                    ["key", "line", "sign", "home"],
-                )
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                lines, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
+                for s, e in some(texts):
+                    blocks = [x.encode("utf-32-le", "replace") for x in texts[s:e]]
+                    long = np.flatnonzero([len(x) >= 4 * edit_chars for x in blocks])
+                    blocks = [blocks[i] for i in long.tolist()]
+                    if not blocks:
+                        continue
+                    found, homes, sizes = [], [], []
+                    for data in blocks:
+                        plan = plans.get(len(data))
+                        if plan is None:
+                            if len(plans) > 2_000:
+                                plans.clear()
+                            plan = plans[len(data)] = _probes(len(data) // 4, edit_chars, most)
+                        found += [xxhash.xxh3_64_intdigest(data[a:b], seed) for seed, a, b in plan[0]]
+                        homes.append(plan[1])
+                        sizes.append(len(plan[1]))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.array(found, dtype=np.uint64).view("<i8")),
+                            pa.array(np.repeat(lines[s:e][long], sizes)),
+                            pa.array(np.repeat(_signs(blocks), sizes)), pa.array(np.concatenate(homes)),
+                        ],
+                        ["key", "line", "sign", "home"],
+                    )
+        release()
 
     return keys
 
@@ -241,28 +259,31 @@ def _meet(most, hot):
     return meet
 
 
-def candidates(lines, edit_chars=EDIT_CHARS, most=MOST_EDITS, hot=HOT, levels=LEVELS):
+def candidates(texts, edit_chars=EDIT_CHARS, most=MOST_EDITS, hot=HOT, levels=LEVELS):
     """(a, b): pairs of line numbers that may be within the allowed edits.
 
-    `lines` has line (long) and text; a line may come several times. Keys with over `hot` lines are
-    refined, at most `levels` times or until there is too little left to cut; what still meets is
-    compared in blocks.
+    `texts` has a column text, of which each line is taken; a line may come several times. Keys with
+    over `hot` lines are refined, at most `levels` times or until there is too little left to cut;
+    what still meets is compared in blocks.
     """
-    parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def met(keyed, limit):
         dealt = keyed.select("key", "line", "sign", "home").repartition(parts, "key")
         ordered = dealt.sortWithinPartitions("key", "line", F.desc("home"))
         return stored(ordered.mapInArrow(_meet(most, limit), "a long, b long"), "line-pairs")
 
-    found = met(lines.mapInArrow(_first_keys(edit_chars, most), _LIGHT), hot if levels else 0)
+    # Lines and keys are made in one step, so that a task holds one Python worker.
+    keys = _first_keys(edit_chars, most)
+    found = met(texts.mapInArrow(lambda batches: keys(_texts(batches)), _LIGHT), hot if levels else 0)
     pairs, states = found.where("b is not null"), None
     for level in range(1, levels + 1):
         busy = found.where("b is null").select(F.col("a").alias("key"))
         if busy.isEmpty():
             break
         if level == 1:
-            states = lines.mapInArrow(_started(edit_chars, most), _STATE)
+            start = _started(edit_chars, most)
+            states = texts.mapInArrow(lambda batches: start(_texts(batches)), _STATE)
         rest = stored(
             states.mapInArrow(_refined(most, level == 1), _STATE).join(busy, "key", "left_semi").distinct(), "hot-lines"
         )
@@ -274,13 +295,17 @@ def candidates(lines, edit_chars=EDIT_CHARS, most=MOST_EDITS, hot=HOT, levels=LE
 
 
 def _alike(edit_chars, most):
-    @F.pandas_udf("boolean")
-    def alike(a: pd.Series, b: pd.Series) -> pd.Series:
-        out = []
-        for x, y in zip(a, b):
-            k = edits_of(min(len(x), len(y)), edit_chars, most)
-            out.append(k > 0 and distance(x, y, k) <= k)
-        return pd.Series(out, dtype=bool)
+    """Of pairs (a, b, text_a, text_b) those that are within the edits."""
+
+    def alike(batches):
+        for whole in batches:
+            for batch in slices(whole, "text_a"):
+                kept = []
+                for x, y in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()):
+                    k = edits_of(min(len(x), len(y)), edit_chars, most)
+                    kept.append(k > 0 and distance(x, y, k) <= k)
+                yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+        release()
 
     return alike
 
@@ -292,31 +317,35 @@ def _hashed(text):
 
 def _places(batches):
     """The place of each line that is not blank, with two hashes of the trimmed text."""
-    for batch in batches:
-        rows, docs, numbers = [], [], []
-        for doc, text in enumerate(batch.column(2).to_pylist()):
-            for number, line in enumerate((text or "").split("\n")):
-                line = line.strip()
-                if line:
-                    rows.append(_hashed(line))
-                    docs.append(doc)
-                    numbers.append(number)
-        hashes = np.array(rows, dtype=np.uint64).reshape(-1, 2).view("<i8")
-        docs = pa.array(docs, pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(hashes[:, 0]), pa.array(hashes[:, 1]), batch.column(0).take(docs), batch.column(1).take(docs),
-             pa.array(numbers, pa.int32())],
-            ["line", "check", "doc_id", "text_key", "number"],
-        )
+    for whole in batches:
+        for batch in slices(whole, "text"):
+            rows, docs, numbers = [], [], []
+            for doc, text in enumerate(batch.column("text").to_pylist()):
+                for number, line in enumerate((text or "").split("\n")):
+                    line = line.strip()
+                    if line:
+                        rows.append(_hashed(line))
+                        docs.append(doc)
+                        numbers.append(number)
+            hashes = np.array(rows, dtype=np.uint64).reshape(-1, 2).view("<i8")
+            docs = pa.array(docs, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hashes[:, 0]), pa.array(hashes[:, 1]), batch.column(0).take(docs),
+                 batch.column(1).take(docs), pa.array(numbers, pa.int32())],
+                ["line", "check", "doc_id", "text_key", "number"],
+            )
+    release()
 
 
 def _texts(batches):
-    """The different lines that are not blank of each batch of texts."""
-    for batch in batches:
-        lines = {x.strip() for text in batch.column(0).to_pylist() if text for x in text.split("\n")}
-        lines = [x for x in lines if x]
-        numbers = np.array([_hashed(x)[0] for x in lines], dtype=np.uint64).view("<i8")
-        yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(lines, pa.string())], ["line", "text"])
+    """The different lines that are not blank of each few megabytes of texts."""
+    for whole in batches:
+        for batch in slices(whole, "text"):
+            lines = {x.strip() for text in batch.column("text").to_pylist() if text for x in text.split("\n")}
+            lines = [x for x in lines if x]
+            numbers = np.array([_hashed(x)[0] for x in lines], dtype=np.uint64).view("<i8")
+            yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(lines, pa.string())], ["line", "text"])
+    release()
 
 
 def classes(texts, edit_chars=EDIT_CHARS, most=MOST_EDITS, hot=HOT, levels=LEVELS):
@@ -331,13 +360,14 @@ def classes(texts, edit_chars=EDIT_CHARS, most=MOST_EDITS, hot=HOT, levels=LEVEL
         "line-wanted",
     )
     few = wanted.count() <= MOST_SENT
-    some = texts.join(F.broadcast(wanted) if few else wanted.hint("merge"), "line", "left_semi")
+    lines = texts.mapInArrow(_texts, "line long, text string")
+    some = lines.join(F.broadcast(wanted) if few else wanted.hint("merge"), "line", "left_semi")
     some = stored(some.dropDuplicates(["line"]), "line-texts")
     near = pairs.join(some.select(F.col("line").alias("a"), F.col("text").alias("text_a")), "a").join(
         some.select(F.col("line").alias("b"), F.col("text").alias("text_b")), "b"
     )
-    near = near.withColumn("alike", _alike(edit_chars, most)("text_a", "text_b"))
-    return components(near.where("alike").select("a", "b")).withColumnRenamed("node", "line")
+    near = near.select("a", "b", "text_a", "text_b").mapInArrow(_alike(edit_chars, most), "a long, b long")
+    return components(near).withColumnRenamed("node", "line")
 
 
 def repeated_lines(documents, id_column="doc_id", text_column="text", **options):
@@ -350,7 +380,7 @@ def repeated_lines(documents, id_column="doc_id", text_column="text", **options)
         .mapInArrow(_places, f"line long, check long, doc_id {kind}, text_key long, number int"),
         "line-places",
     )
-    texts = documents.select(text.alias("text")).mapInArrow(_texts, "line long, text string")
+    texts = documents.select(text.alias("text"))
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "number")
     first = stored(
         lines.groupBy("line", "check").agg(F.min(place).alias("first"), F.count("*").alias("n")),
@@ -391,26 +421,39 @@ def drop_repeated_lines(documents, id_column="doc_id", text_column="text", **opt
     n_lines and n_dropped.
 
     Blanks round a line do not count; blank lines stay. A NULL text stays NULL and has no lines.
-    Rows equal in id and text count as one document.
+    Rows equal in id and text count as one document. Of lines of equal rank (same id and text) the one
+    with the smaller number is the earlier. Very long lines are compared whole. An empty table gives
+    none. Columns of any other name stay, but for `_lines`, which is replaced.
     """
+    line_id, line_key, gone, text_key = free_names(documents, 4)
     found = repeated_lines(documents, id_column, text_column, **options).select(
-        F.col("doc_id").alias("_line_id"), F.col("text_key").alias("_line_key"), F.col("drops").alias("_drops")
+        F.col("doc_id").alias(line_id), F.col("text_key").alias(line_key), F.col("drops").alias(gone)
     )
-    keyed = documents.withColumn("_text_key", F.xxhash64(F.col(text_column)))
-    same = keyed[id_column].eqNullSafe(found["_line_id"]) & (keyed["_text_key"] == found["_line_key"])
+    keyed = documents.withColumn(text_key, F.xxhash64(F.col(text_column)))
+    same = keyed[id_column].eqNullSafe(found[line_id]) & (keyed[text_key] == found[line_key])
     joined = keyed.join(found, same, "left")
-    return joined.withColumn("_lines", _cutter()(F.col(text_column).cast("string"), "_drops")).drop(
-        "_text_key", "_line_id", "_line_key", "_drops"
+    return joined.withColumn("_lines", _cutter()(F.col(text_column).cast("string"), gone)).drop(
+        text_key, line_id, line_key, gone
     )
 
 
 def keep_unrepeated(documents, id_column="doc_id", text_column="text", **options):
-    """The documents, all columns, with the text that is left; one whose every line repeats goes."""
-    found = drop_repeated_lines(documents, id_column, text_column, **options)
+    """The documents, all columns, with the text that is left; one whose every line repeats goes.
+
+    NULL, empty and blank texts stay; of repeated rows all stay or go, as they count as one document;
+    the first of equal lines stays. An empty table gives none. A column of the user named `_lines`
+    stays as it is.
+    """
+    named = documents
+    if "_lines" in documents.columns:
+        (held,) = free_names(documents, 1)
+        named = documents.withColumnRenamed("_lines", held)
+    found = drop_repeated_lines(named, id_column, text_column, **options)
     empty = (F.col("_lines.n_dropped") > 0) & (F.trim("_lines.text") == "")
-    return found.where(~F.coalesce(empty, F.lit(False))).withColumn(
+    found = found.where(~F.coalesce(empty, F.lit(False))).withColumn(
         text_column, F.col("_lines.text")
     ).drop("_lines")
+    return found.toDF(*documents.columns)
 
 
 def op2_line_dedup(spark, folder):
