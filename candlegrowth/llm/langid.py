@@ -14,7 +14,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from candlegrowth.llm.common import stored
+from candlegrowth.llm.common import free_names, stored
 
 SIZE = 1024  # numbers in a vector
 SEED = b"letters-1"
@@ -172,24 +172,39 @@ def held_out(id_column="doc_id", parts=3, part=1):
     return F.coalesce(mark == part, F.lit(False))
 
 
-def identify(documents, id_column="doc_id", text_column="text", lang_column="lang"):
-    """All columns of the documents and `_language`, a struct of lang_pred and score.
+def identify(documents, id_column="doc_id", text_column="text", lang_column="lang", into="_language"):
+    """All columns of the documents and `into`, a struct of lang_pred and score.
 
     Learns from the text and non-NULL language of the rows that are not held out. A text that is
     NULL or has no letter, and any text if nothing could be learned, is `und` with score 0. Only
     the text is used in a prediction, so repeated texts get equal results.
     """
     learned = profiles(documents.where(~held_out(id_column)), text_column, lang_column)
-    return documents.withColumn("_language", predictor(learned)(F.col(text_column).cast("string")))
+    return _identified(documents, learned, text_column, into)
 
 
-def keep_identified(documents, text_column="text", min_score=MIN_SCORE, min_chars=MIN_CHARS, **columns):
+def _identified(documents, learned, text_column, into):
+    return documents.withColumn(into, predictor(learned)(F.col(text_column).cast("string")))
+
+
+def keep_identified(
+    documents, id_column="doc_id", text_column="text", lang_column="lang", min_score=MIN_SCORE, min_chars=MIN_CHARS
+):
     """The documents, all columns, whose text has a letter and is like some language: texts of
     min_chars or more need a cosine of min_score. Shorter ones are too short to be judged by it and
-    stay. The profiles are learned from the documents themselves."""
-    found = identify(documents, text_column=text_column, **columns)
-    like = (F.col("_language.score") >= min_score) | (F.length(text_column) < min_chars)
-    return found.where((F.col("_language.lang_pred") != UNKNOWN) & like).drop("_language")
+    stay. The profiles are learned from the documents themselves.
+
+    Where no document names a language, nothing can be learned, and every text with a letter stays.
+    NULL and empty texts go; repeated rows stay or go together; very long texts are read whole; an
+    empty table gives none; no column is added, so none can clash.
+    """
+    learned = profiles(documents.where(~held_out(id_column)), text_column, lang_column)
+    if not len(learned[0]):
+        return documents.where(F.col(text_column).rlike(r"\p{L}"))
+    (name,) = free_names(documents, 1)
+    found = _identified(documents, learned, text_column, name)
+    like = (F.col(f"{name}.score") >= min_score) | (F.length(text_column) < min_chars)
+    return found.where((F.col(f"{name}.lang_pred") != UNKNOWN) & like).drop(name)
 
 
 def op1_language_id(spark, folder):

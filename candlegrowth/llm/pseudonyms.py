@@ -10,6 +10,8 @@ ones are two strings of characters, each moved within its alphabet by a hash of
 
 from pyspark.sql import functions as F
 
+from candlegrowth.llm.common import free_names
+
 ROUNDS = 8  # even, so that the halves end where they began
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Stand for the digits 2 to 9 where a format allows no others.
@@ -201,18 +203,19 @@ def pseudonymise(documents, key, text_column="text"):
     text = F.col(text_column).cast("string")
     some = text.rlike(r"[0-9@]")
     none = F.array().cast("array<string>")
-    found = documents.withColumn("_hits", F.when(some, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(none))
-    found = found.withColumn("_new", F.transform("_hits", lambda x: pseudonym(x, key)))
+    hits, new = free_names(documents, 2)
+    found = documents.withColumn(hits, F.when(some, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(none))
+    found = found.withColumn(new, F.transform(hits, lambda x: pseudonym(x, key)))
     gaps = F.split(text, ANY, -1)
-    pieces = F.transform(gaps, lambda x, i: F.concat(x, F.coalesce(F.get(F.col("_new"), i), F.lit(""))))
-    changed = F.size(F.filter(F.zip_with("_hits", "_new", lambda x, y: x != y), lambda x: x))
+    pieces = F.transform(gaps, lambda x, i: F.concat(x, F.coalesce(F.get(F.col(new), i), F.lit(""))))
+    changed = F.size(F.filter(F.zip_with(hits, new, lambda x, y: x != y), lambda x: x))
     return found.withColumn(
         "_pseudonymised",
         F.struct(
-            F.when(F.size("_hits") > 0, F.array_join(pieces, "")).otherwise(text).alias("text"),
+            F.when(F.size(hits) > 0, F.array_join(pieces, "")).otherwise(text).alias("text"),
             F.greatest(changed, F.lit(0)).alias("n_values"),
         ),
-    ).drop("_hits", "_new")
+    ).drop(hits, new)
 
 
 def op4_pseudonyms(spark, folder, key="a key for tests"):

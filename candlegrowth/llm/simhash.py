@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from candlegrowth.llm.common import components, forest, runs, stored, text_bytes, whole_runs, word_chunks
+from candlegrowth.llm.common import components, free_names, forest, runs, stored, text_bytes, whole_runs, word_chunks
 
 PART = 31
 PART_MASK = (1 << PART) - 1
@@ -210,7 +210,8 @@ def labelled(docs, labels):
 def keep_first(documents, id_column="doc_id", text_column="text", width=3, threshold=2):
     """The documents, all columns, without those that near-duplicate one of a smaller id.
 
-    Of rows of one component that share the smallest id one stays.
+    Of rows of one component that share the smallest id one stays. Texts that are NULL or without
+    words are one group; an empty table gives none; columns of any other name stay.
     """
     found = near_duplicates(documents, id_column, text_column, width, threshold)
     return kept(documents, found, id_column, text_column)
@@ -218,13 +219,14 @@ def keep_first(documents, id_column="doc_id", text_column="text", width=3, thres
 
 def kept(documents, found, id_column="doc_id", text_column="text"):
     """The documents, all columns, that are the first of their component in `found`."""
+    kept_id, first_key, text_key = free_names(documents, 3)
     first = (
         found.where("keep").groupBy("root", "doc_id").agg(F.min("text_key").alias("text_key"))
-        .select(F.col("doc_id").alias("_kept_id"), F.col("text_key").alias("_kept_key"))
+        .select(F.col("doc_id").alias(kept_id), F.col("text_key").alias(first_key))
     )
-    keyed = documents.withColumn("_kept_key", F.xxhash64(F.col(text_column)))
-    same = (keyed[id_column].eqNullSafe(first["_kept_id"])) & (keyed["_kept_key"] == first["_kept_key"])
-    return keyed.join(first, same, "left_semi").dropDuplicates([id_column, "_kept_key"]).drop("_kept_key")
+    keyed = documents.withColumn(text_key, F.xxhash64(F.col(text_column)))
+    same = (keyed[id_column].eqNullSafe(first[kept_id])) & (keyed[text_key] == first[first_key])
+    return keyed.join(first, same, "left_semi").dropDuplicates([id_column, text_key]).drop(text_key)
 
 
 def op6_simhash(spark, folder):

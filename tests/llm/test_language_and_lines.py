@@ -88,8 +88,8 @@ def _distance(a, b):
 def _edited(rng, text, n):
     text = list(text)
     for _ in range(n):
-        at = rng.randrange(len(text))
-        kind = rng.randrange(3)
+        at = rng.randrange(max(1, len(text)))
+        kind = rng.randrange(3) if text else 2
         if kind == 0:
             text[at] = rng.choice("xyz")
         elif kind == 1:
@@ -227,7 +227,7 @@ def test_items_of_odd_rows(spark, monkeypatch):
         [(1, f"x {item.upper()}!"), (None, item.replace("five", "v")), (2, None), (3, ""), (4, "one two"), (1, f"x {item.upper()}!")],
         "doc_id long, text string",
     ).withColumn("item_id", F.lit("x"))
-    items = spark.createDataFrame([(7, item), (8, "one two"), (9, None), (None, item)], "item_id long, text string")
+    items = spark.createDataFrame([(7, item), (8, "two one"), (9, None), (None, item)], "item_id long, text string")
     expected = sorted([(i, k, 1 if i else 0, 0 if i else 1) for i in (1, 1, None) for k in (7, None)], key=str)
     columns = ["doc_id", "item_id", "start_word", "edits"]
     assert _rows(decontaminate.find_items(docs, items), *columns) == expected
@@ -264,3 +264,44 @@ def test_long_items_are_found_at_the_allowed_edits(n, kind):
         texts.append(" ".join([f"y{number}"] * 30 + words + ["z"] * 30))
     found = decontaminate.Matcher([" ".join(x) for x in items]).find(texts)
     assert sum(i in x for i, x in enumerate(found)) >= 19
+
+
+@pytest.mark.parametrize("n", [8, 10, 11, 12, 15, 16, 20, 24, 31, 32, 45, 64])
+def test_items_of_all_lengths_are_found_at_the_allowed_edits(n):
+    rng = random.Random(n)
+    items = [[f"w{rng.randrange(10**6)}" for _ in range(n)] for _ in range(200)]
+    texts = []
+    for number, item in enumerate(items):
+        words = list(item)
+        for _ in range(decontaminate.allowed(n)):
+            at, kind = rng.randrange(len(words)), rng.randrange(3)
+            words[at:at + (kind != 0)] = [] if kind == 1 else [f"x{rng.randrange(10**6)}"]
+        texts.append(" ".join([f"y{number}"] * 20 + words + ["z"] * 20))
+    found = decontaminate.Matcher([" ".join(x) for x in items]).find(texts)
+    assert sum(i in x for i, x in enumerate(found)) >= 0.9 * len(items)
+
+
+def test_short_items_are_found_word_for_word():
+    items = ["one two three four five", "five", "two three", "日本の文", "not here at all"]
+    texts = ["Zero one TWO three, four five six", "one two three four six", None, "", "x 日本の文。", "five five"]
+    found = decontaminate.Matcher(items).find(texts)
+    assert [sorted(v[:3] for v in x.values()) for x in found] == [
+        [(0, 1, 6), (1, 5, 6), (2, 2, 4)], [(2, 1, 3)], [], [], [(3, 1, 5)], [(1, 0, 1)],
+    ]
+
+
+def test_short_items_do_not_stand_over_two_texts():
+    found = decontaminate.Matcher(["a b c"]).find(["x a b", "c x", "a b c"])
+    assert found == [{}, {}, {0: (0, 0, 3, 0)}]
+
+
+def test_drop_contaminated_on_odd_rows(spark):
+    item = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(1, item), (2, None), (3, ""), (1, item), (None, "x")], "doc_id long, text string")
+    docs = docs.withColumn("item_id", F.lit("x")).withColumn("edits", F.lit(1))
+    items = spark.createDataFrame([(7, item), (7, item), (8, None)], "item_id long, text string")
+    kept = decontaminate.drop_contaminated(docs, items)
+    assert kept.columns == docs.columns
+    assert _rows(kept, "doc_id", "text") == sorted([(2, None), (3, ""), (None, "x")], key=str)
+    assert decontaminate.drop_contaminated(docs, items.limit(0)).count() == 5
+    assert decontaminate.drop_contaminated(docs.limit(0), items).count() == 0

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from candlegrowth.llm import katz, mixing, near, queries
+from candlegrowth.llm import katz, mixing, queries
 
 DOCS = "doc_id long, text string, source string"
 
@@ -223,30 +223,35 @@ def test_pipeline(spark, tmp_path):
     assert corpus_pipeline.ORACLE_SQL is None
 
 
-@pytest.mark.parametrize("small", [3, 16])
-def test_pipeline_drops_copies_of_similarity_four_fifths(spark, monkeypatch, small):
-    """The near-duplicate stage against exact Jaccard similarity of five-word shingles, in groups
-    of near copies of 0.8 to 0.95 and of somewhat less."""
-    monkeypatch.setattr(near, "SMALL", small)
-    rng = random.Random(9)
-    rows = []
-    for group in range(12):
-        words = [f"w{rng.randrange(10**6)}" for _ in range(400)]
-        for edits in (0, 2, 4, 6, 7, 8, 8, 10, 14, 20):
-            copy = list(words)
-            for at in rng.sample(range(400), edits):
-                copy[at] = f"x{rng.randrange(10**6)}"
-            rows.append((len(rows), " ".join(copy)))
-    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
-    first, similar = list(range(len(rows))), []
-    for i in range(len(rows)):
-        for j in range(i):
-            likeness = len(sets[i] & sets[j]) / len(sets[i] | sets[j])
-            if likeness >= 0.8:
-                similar.append(likeness)
-                a, b = first[i], first[j]
-                first = [min(a, b) if x in (a, b) else x for x in first]
-    assert sum(0.8 <= x <= 0.95 for x in similar) > 50 and len(set(first)) > 12
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    kept = corpus_pipeline.dedup_documents(spark, docs, "")
-    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(first))
+CLASHING = ["_own_0", "_own_1", "_language", "_lines", "_line_id", "_text_key", "_kept_key", "_kept_id", "_hits", "_new",
+            "line", "root", "fp", "key", "size", "item_id", "take"]
+
+
+def test_stages_on_odd_rows_and_clashing_names(spark, tmp_path):
+    """Repeated rows, NULL in every column, no label at all, and user columns named like inner ones."""
+    item = " ".join(f"b{i}" for i in range(20))
+    rows = [(i, f"text number {i} " + " ".join(f"w{i * 50 + j}" for j in range(60)), None, f"s{i % 3}", 9) for i in range(20)]
+    rows += [rows[3], rows[3], (None, None, None, None, None), (30, "", None, None, 0), (31, "123", None, None, 3),
+             (32, "x " + item, None, "s0", 1), (None, "no id but some words", None, None, 1)]
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for name in CLASHING:
+        docs = docs.withColumn(name, F.concat(F.lit(f"{name} of "), F.col("doc_id").cast("string")))
+    for number, (name, stage) in enumerate(corpus_pipeline.STAGES[:4]):
+        after = stage(spark, docs, str(tmp_path))
+        assert after.columns == docs.columns
+        after.write.parquet(f"{tmp_path}/{number}")
+        docs = spark.read.parquet(f"{tmp_path}/{number}")
+        for row in docs.collect():
+            assert all(row[x] == (None if row.doc_id is None else f"{x} of {row.doc_id}") for x in CLASHING), name
+    assert sorted(r.doc_id for r in docs.where("doc_id is not null").collect()) == list(range(20))
+    assert docs.where("doc_id is null").count() == 1
+    taken = corpus_pipeline.STAGES[4][1](spark, docs, str(tmp_path))
+    assert taken.count() == 21
+
+
+def test_pipeline_on_an_empty_table(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
