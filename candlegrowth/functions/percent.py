@@ -8,6 +8,9 @@ def growth_percent(last, base):
     return (last - base) * 100 / F.nullif(base, F.lit(0.0))
 
 
+GROWTH_SQL = "(last_close - base) * 100 / nullif(base, 0D)"  # the same in SQL
+
+
 def nan_to_null(value):
     return F.when(~F.isnan(value), value)
 

@@ -13,6 +13,7 @@ DELIMITER = ";"
 BID_GLOB = "*Bid*"
 NULL_TEXT = "NULL"
 BARS_PER_DAY = 8640
+CHUNK_LINES = 8641  # a day's bars and a header line
 FIRST_BASE_CONSTANT = 1569.093
 
 CORRUPT = "corrupt_line"  # the whole line where it has more or fewer cells than the header

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from candlegrowth import schema
 from candlegrowth.functions import parse
+from candlegrowth.operators import positions
 
 
 # A session may ask for dynamic partition overwrite; a whole folder is then not emptied.
@@ -57,6 +58,22 @@ def split_by_day(candles, path, mode="overwrite", max_records=schema.BARS_PER_DA
     write_partitioned(parts, path, ["day"], mode, max_records)
 
 
+def split_by_lines(lines, path, chunk_lines=schema.CHUNK_LINES, keys=None, mode="overwrite"):
+    """Files cut into chunks of so many lines, header lines counted, each chunk a text file of its lines
+    in their order; a chunk is written by one task, a file by many.
+
+    `lines` are those of `spark.read.text`. `keys` names the folders above `chunk=` and how to make
+    them from the column `file_path`, by default `file` from the file's name; they should tell the
+    files apart. An empty file has no chunk, and the last one may be short.
+    """
+    numbered = positions.numbered_lines(lines)
+    keys = keys or {"file": parse.path_part(F.col("file_path"), 1)}
+    named = numbered.withColumns({**keys, "chunk": F.floor(F.col("line") / chunk_lines).cast("long")})
+    folders = [*keys, "chunk"]
+    ordered = named.repartition("file_path", "chunk").sortWithinPartitions(*folders, "file_path", "line")
+    ordered.select(*folders, "value").write.options(**STATIC).mode(mode).partitionBy(*folders).text(path)
+
+
 def write_report_csv(df, path, delimiter=schema.DELIMITER, mode="overwrite"):
     """Delimited text with a header; a missing value is written as NULL."""
     options = {"sep": delimiter, "header": "true", "nullValue": schema.NULL_TEXT}

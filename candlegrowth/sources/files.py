@@ -22,11 +22,14 @@ def _raw_schema(partitioned):
     return T.StructType(fields + list(schema.PARTITIONS.fields) if partitioned else fields)
 
 
-def _finish(raw, layout):
+def is_header_row():
     """Header lines are known by their content, so a file without one loses nothing."""
+    return F.col("time_text").eqNullSafe(schema.HEADER_CELL)
+
+
+def _finish(raw, layout):
     raw = raw.withColumn("file_path", F.col("_metadata.file_path"))
-    is_header = F.col("time_text").eqNullSafe(schema.HEADER_CELL)
-    return with_path_columns(raw, layout).where(~is_header)
+    return with_path_columns(raw, layout).where(~is_header_row())
 
 
 def with_path_columns(raw, layout="file_name"):
@@ -73,9 +76,11 @@ def read_candles(
 
 
 def stream_candles(
-    spark, path, delimiter=schema.DELIMITER, glob=schema.BID_GLOB, layout="file_name", max_files=None
+    spark, path, delimiter=schema.DELIMITER, glob=schema.BID_GLOB, layout="file_name", max_files=None,
+    headers=False,
 ):
-    """The same rows as a stream over files as they arrive.
+    """The same rows as a stream over files as they arrive; with `headers` also the header lines, and
+    length and modified of each row's file.
 
     By default a stream passes over files that are a week older than the newest; here no file is
     too old.
@@ -86,7 +91,11 @@ def stream_candles(
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     raw = reader.schema(_raw_schema(layout == "partitions")).csv(path)
-    return _finish(raw, layout)
+    if not headers:
+        return _finish(raw, layout)
+    file = {"file_path": "file_path", "length": "file_size", "modified": "file_modification_time"}
+    raw = raw.withColumns({name: F.col(f"_metadata.{field}") for name, field in file.items()})
+    return with_path_columns(raw.withColumn("modified", F.unix_micros("modified")), layout)
 
 
 def read_lines(spark, path, delimiter=schema.DELIMITER, glob="*"):

@@ -1,21 +1,21 @@
 """Incremental load: candle files arrive or change, month boundaries merge, reports follow.
 
-Tables below one root folder:
+Tables below one root folder, in a folder per epoch (an epoch is what `initialise` begins):
 
   staging    typed rows and rejects of each load, by load
   audit      one row per file of each load: size and time of change, fingerprint, rows
   delta      month boundaries of each file of one load, by load and stock bucket
   base       those of the current files up to a load, by load and stock bucket
   known      the current files up to a load
-  report, averages   the current reports, by stock bucket
+  report, averages   the reports of the stock buckets that a load touched, by load and bucket
   destination_audit  one row per stock, algorithm and year that a load reported again
-  settings   what the tables were made with
+  pointers   one file per load: which load's folder holds the report of each bucket; settings
 
 A run lists the files and takes those that no load has seen with this path, size and time of change.
 A file that comes again with other content replaces what it held; of several current files with
-equal content one counts. A load writes only its own `load_id` folders and the report buckets it
-touches, each by overwrite, and its audit is written when its boundaries are there. A run that
-follows a failure takes up the load that was not finished. The state is one row per file and month.
+equal content one counts. A load writes only its own `load_id` folders. Its pointer file is put in
+place last, so readers see all of a load or nothing of it, and can read the state after any load; a
+load that broke off left no pointer and is done again. The state is one row per file and month.
 
 Carry and lag rules look across month and year edges, so a new bar can change later months too: all
 months of the touched buckets are reported again, from the small state.
@@ -23,16 +23,18 @@ months of the touched buckets are reported again, from the small state.
 
 import datetime
 import re
+from itertools import islice
 
-from pyspark.errors import AnalysisException
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlegrowth import schema
 from candlegrowth.operators import audit as audits
 from candlegrowth.operators import boundary as boundaries
-from candlegrowth.operators import clean, report
+from candlegrowth.operators import clean, metrics, report
 from candlegrowth.sinks.files import STATIC
+from candlegrowth.sinks.pointer import Pointers
 from candlegrowth.sources import files as sources
 
 BUCKETS = 64
@@ -46,6 +48,7 @@ AUDIT = schema.struct(
     "length bigint, modified bigint, md5_sum string, number_of_processed_rows bigint, "
     "load_with_error boolean, is_new boolean, start_load_date timestamp, end_load_date timestamp"
 )
+WORK = schema.struct("path string, file_path string, length bigint, modified bigint")
 CELLS = [*schema.RAW_CANDLES.names, schema.CORRUPT]
 STAGED = schema.struct(
     "file_path string, stock_name string, time_utc timestamp_ntz, "
@@ -53,7 +56,6 @@ STAGED = schema.struct(
     "volume double, seq bigint, row_hash bigint, "
     "rejected boolean, reject_reason string, " + ", ".join(f"{name} string" for name in CELLS)
 )
-SETTINGS = schema.struct("settings string")
 _FILE_BOUNDARY = [T.StructField("file_path", T.StringType()), *schema.BOUNDARY.fields]
 NEWEST = ("version", "modified")  # where times of two files tie, the newer load, then file wins
 _SUMS = ["sum_low", "sum_high"]
@@ -70,8 +72,8 @@ TABLES = {
     "delta": (DELTA, "load_id int, stock_bucket int"),
     "base": (BASE, "load_id int, stock_bucket int"),
     "known": (VERSION, "load_id int"),
-    "report": (schema.REPORT, "stock_bucket int"),
-    "averages": (schema.AVERAGES, "stock_bucket int"),
+    "report": (schema.REPORT, "load_id int, stock_bucket int"),
+    "averages": (schema.AVERAGES, "load_id int, stock_bucket int"),
 }
 
 
@@ -104,55 +106,62 @@ class IncrementalLoad:
         self.dense_ties = dense_ties
         self.buckets = buckets
         self.merge_every = merge_every
+        self.pointers = Pointers(spark, f"{self.root}/pointers")
 
     def path(self, table, load_id=None):
-        folder = f"{self.root}/{table}"
+        folder = f"{self.root}/epoch={self._current()['epoch']}/{table}"
         return folder if load_id is None else f"{folder}/load_id={load_id}"
 
     # Tables
 
     def initialise(self, replace=False):
-        """Make the tables known; they are written by the first load. With `replace` an earlier
-        content is dropped."""
-        if self._settings_there() is not None:
-            if not replace:
-                raise ValueError(f"{self.root} holds tables already")
-            for table, (_, partitions) in TABLES.items():
-                if self._exists(table):
-                    empty = self.spark.createDataFrame([], _full_schema(table))
-                    names = schema.struct(partitions).names
-                    empty.write.options(**STATIC).partitionBy(*names).mode("overwrite").parquet(self.path(table))
-        settings = self.spark.createDataFrame([(self._settings(),)], SETTINGS)
-        settings.write.options(**STATIC).mode("overwrite").parquet(self.path("settings"))
+        """Begin an epoch: tables without rows. With `replace` it takes the place of an earlier one,
+        whose readers keep what they read until `clean_up`."""
+        newest = self.pointers.newest()
+        if newest and not replace:
+            raise ValueError(f"{self.root} holds tables already")
+        number, epoch = (newest[0] + 1, newest[1]["epoch"] + 1) if newest else (0, 0)
+        self.pointers.publish(number, {
+            "epoch": epoch, "load_id": -1, "settings": self._settings(), "report": {}, "averages": {},
+            "batches": {},
+        })
 
     def _settings(self):
         return f"{self.rules} {' '.join(self.algorithm_types)} {self.buckets} {self.merge_every}"
 
-    def _settings_there(self):
-        try:
-            return self.spark.read.schema(SETTINGS).parquet(self.path("settings")).head()[0]
-        except AnalysisException:
-            return None
-
-    def _exists(self, table, load_id=None):
-        try:
-            self._reader(table).parquet(self.path(table, load_id))
-        except AnalysisException:
-            return False
-        return True
+    def _current(self, as_of=None):
+        """The newest pointer, or the one of an earlier load of its epoch."""
+        newest = self.pointers.newest()
+        if newest is None:
+            raise ValueError(f"{self.root} holds no tables yet")
+        number, content = newest
+        if as_of is None:
+            return content
+        if not -1 <= as_of <= content["load_id"]:
+            raise ValueError(f"there is no load {as_of}")
+        return self.pointers.read(number - content["load_id"] + as_of)
 
     def _check(self):
         """Reports of untouched stocks are kept, so all loads must follow the same settings."""
-        found = self._settings_there()
-        if found is None:
-            raise ValueError(f"{self.root} holds no tables yet")
+        found = self._current()["settings"]
         if found != self._settings():
             raise ValueError(f"the tables were made with {found}, not {self._settings()}")
 
     def table(self, table):
-        if not self._exists(table):
+        """The rows of a table that published loads wrote."""
+        last = self._current()["load_id"]
+        if last < 0 or not self.pointers.children(self.path(table)):
             return self.spark.createDataFrame([], _full_schema(table))
-        return self._reader(table).parquet(self.path(table))
+        return self._reader(table).parquet(self.path(table)).where(F.col("load_id") <= last)
+
+    def _published(self, table, as_of=None):
+        """The rows of the folders that a pointer names."""
+        content = self._current(as_of)
+        base = f"{self.root}/epoch={content['epoch']}/{table}"
+        paths = [f"{base}/load_id={load}/stock_bucket={bucket}" for bucket, load in content[table].items()]
+        if not paths:
+            return self.spark.createDataFrame([], _full_schema(table)).drop("load_id")
+        return self._reader(table).option("basePath", base).parquet(*paths).drop("load_id")
 
     def _reader(self, table):
         return self.spark.read.schema(_full_schema(table))
@@ -172,16 +181,20 @@ class IncrementalLoad:
             self._loads(table, range(base_id + 1, load_id + 1)),
         )
 
-    def report(self):
-        return self.table("report")
+    def report(self, as_of=None):
+        """The report, or the report as it was after an earlier load."""
+        return self._published("report", as_of)
 
-    def averages(self):
-        return self.table("averages")
+    def averages(self, as_of=None):
+        return self._published("averages", as_of)
 
     def months(self):
         """The month boundaries of all current files."""
-        last = self.table("audit").agg(F.max("load_id")).first()[0]
-        return boundaries.merge_boundaries(self._state(-1 if last is None else last), versions=NEWEST)
+        return boundaries.merge_boundaries(self._state(self._current()["load_id"]), versions=NEWEST)
+
+    def load_metrics(self, as_of=None):
+        """Rows, rejects by reason and hash sums of a load, the last one by default."""
+        return self._current(as_of)["metrics"]
 
     def rejects(self):
         return self.table("staging").where("rejected")
@@ -205,26 +218,14 @@ class IncrementalLoad:
         `withdraw` a file that is no longer there counts as taken back; by default it stays, as
         files are moved away after a load."""
         self._check()
-        last = self.table("audit").agg(F.max("load_id")).first()[0]
-        load_id = 0 if last is None else last + 1
-        if last is not None and not self._exists("destination_audit", last):
-            self._finish(last)
-        listed = sources.list_files(self.spark, path, glob).withColumn("modified", F.unix_micros("modificationTime"))
-        while True:
-            seen = self._versions(load_id - 1).select(*FILE_KEY)
-            fresh = listed.join(seen, FILE_KEY, "left_anti").orderBy("modified", "file_path")
-            rows = fresh.select("path", *FILE_KEY).limit(max_files or MAX_FILES).collect()
-            gone = []
-            if withdraw:
-                there = self._versions(load_id - 1).where("length is not null")
-                gone = there.join(listed, "file_path", "left_anti").select("file_path").limit(MAX_FILES).collect()
-            if not rows and not gone:
-                return
+        load_id = self._current()["load_id"] + 1
+        size = max_files or MAX_FILES
+        work = iter(self._work(path, glob, load_id - 1, withdraw).toLocalIterator())
+        while rows := list(islice(work, size)):
             files = self.spark.createDataFrame(
-                [tuple(row)[1:] for row in rows] + [(row[0], None, None) for row in gone],
-                "file_path string, length bigint, modified bigint",
+                [tuple(row)[1:4] for row in rows], "file_path string, length bigint, modified bigint"
             )
-            names = [re.sub(r"([\[\]{}*?\\])", r"\\\1", row["path"]) for row in rows]
+            names = [re.sub(r"([\[\]{}*?\\])", r"\\\1", row["path"]) for row in rows if row["path"]]
             if names:
                 raw = sources.read_candles(self.spark, names, delimiter, glob, layout, base=path)
             else:
@@ -232,19 +233,82 @@ class IncrementalLoad:
             self.load(raw, files, load_id, layout)
             load_id += 1
 
+    def _work(self, path, glob, load_id, withdraw):
+        """The files to load in order, listed once for a run and written, as the loads change what is
+        known: path, file_path, length, modified, and for files to take back a NULL path."""
+        listed = sources.list_files(self.spark, path, glob).withColumn("modified", F.unix_micros("modificationTime"))
+        versions = self._versions(load_id)
+        rows = listed.join(versions.select(*FILE_KEY), FILE_KEY, "left_anti").select("path", *FILE_KEY)
+        if withdraw:
+            there = versions.where("length is not null")
+            gone = there.join(listed, "file_path", "left_anti").selectExpr(
+                "CAST(NULL AS string) path", "file_path", "CAST(NULL AS bigint) length", "CAST(NULL AS bigint) modified"
+            )
+            rows = rows.unionByName(gone)
+        self._write(rows, "work", load_id + 1)
+        work = self.spark.read.schema(WORK).parquet(self.path("work", load_id + 1))
+        return work.orderBy(F.col("path").isNull(), "modified", "file_path")
+
+    def run_stream(
+        self, path, checkpoint, delimiter=schema.DELIMITER, glob=schema.BID_GLOB, layout="file_name", max_files=None
+    ):
+        """The same as a stream: take in what has arrived since the last run by this checkpoint, then end.
+
+        Each micro-batch is one load. Spark may run a micro-batch again after a failure; the pointer
+        keeps the number of the last one of each checkpoint, so a batch that was published changes nothing.
+        A stream takes files by path once, so corrected files need a new name or `run`; a file
+        without any line is not seen. Settings and tables are those of `run`, and both may be used.
+        """
+        self._check()
+        raw = sources.stream_candles(
+            self.spark, path, delimiter, glob, layout, max_files or MAX_FILES, headers=True
+        )
+        query = (
+            raw.writeStream.foreachBatch(lambda rows, batch: self.take_batch(rows, batch, checkpoint, layout))
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+
+    def take_batch(self, rows, batch_id, stream, layout="file_name"):
+        """One micro-batch of a stream as a load, unless a load of this batch was published. The
+        files, at most those of a batch, are gathered while the rows are staged."""
+        content = self._current()
+        if content["batches"].get(stream, -1) >= batch_id:
+            return
+        seen = Observation()
+        file = F.struct("file_path", "length", "modified")
+        watched = rows.observe(seen, F.collect_set(file).alias("files")).where(~sources.is_header_row())
+        start, load_id = datetime.datetime.now(), content["load_id"] + 1
+        staged = self._stage(watched, load_id)
+        found = [tuple(x) for x in seen.get["files"]]
+        files = self.spark.createDataFrame(found, "file_path string, length bigint, modified bigint")
+        self._take(staged, files, load_id, layout, start, {stream: batch_id})
+
+    # One load
+
     def load(self, raw, files, load_id, layout="file_name"):
         """Take one batch of files in: their raw rows, and file_path, length and modified of each.
-        Loads count from 0 without gaps."""
+        Loads count from 0 without gaps; one that is published already changes nothing."""
+        last = self._current()["load_id"]
+        if load_id <= last:
+            return
+        if load_id > last + 1:
+            raise ValueError(f"load {load_id} follows load {last}")
         start = datetime.datetime.now()
-        staged = self._stage(raw, load_id)
+        self._take(self._stage(raw, load_id), files, load_id, layout, start)
+
+    def _take(self, staged, files, load_id, layout, start, batches=None):
         self._add_boundaries(staged, load_id)
         self._audit(files, load_id, layout, start)
-        self._finish(load_id)
+        if (load_id + 1) % self.merge_every == 0:
+            self._merge(load_id)
+        self._publish(load_id, self._report(load_id), batches or {})
 
     def _stage(self, raw, load_id):
         """Parse the text once; everything later reads the columns it needs from parquet.
 
-        Text cells are kept for rejected rows only. The hash of all cells serves the audit.
+        Text cells are kept for rejected rows only. The hash of all cells serves the audit. The numbers
+        of the load are taken as the rows are written.
         """
         parsed = clean.parse_candles(raw)
         seq = F.col(self.tie_break) if self.tie_break else F.lit(None)
@@ -257,7 +321,9 @@ class IncrementalLoad:
             rejected.alias("rejected"), "reject_reason",
             *[F.when(rejected, F.col(c)).alias(c) for c in CELLS],
         )
+        staged, seen = metrics.observed(staged)
         self._write(staged, "staging", load_id)
+        self._numbers = metrics.numbers(seen)
         return self.spark.read.schema(STAGED).parquet(self.path("staging", load_id))
 
     def _add_boundaries(self, staged, load_id):
@@ -328,42 +394,58 @@ class IncrementalLoad:
         one = versions.groupBy("md5_sum").agg(F.min_by(file, "file_path").alias("one")).select("one.*")
         return rows.join(one, ["file_path", "version"])
 
-    def _finish(self, load_id):
-        """Merge the state now and then, so the number of loads to read stays small, and report."""
-        if (load_id + 1) % self.merge_every == 0:
-            rows = self._since_base("base", "delta", load_id)
-            current = self._versions(load_id)
-            parts = rows[0].select(*BASE.names).unionByName(
-                rows[1].where(~F.col("rejected")).select(*BASE.names[:-1], F.col("load_id").alias("version"))
-            )
-            kept = parts.join(current.select("file_path", "version"), ["file_path", "version"], "left_semi")
-            self._write(kept.select(*BASE.names), "base", load_id, bucketed=True)
-            self._write(current, "known", load_id)
-        self._refresh_reports(load_id)
+    def _merge(self, load_id):
+        """Merge the state now and then, so the number of loads to read stays small."""
+        rows = self._since_base("base", "delta", load_id)
+        current = self._versions(load_id)
+        parts = rows[0].select(*BASE.names).unionByName(
+            rows[1].where(~F.col("rejected")).select(*BASE.names[:-1], F.col("load_id").alias("version"))
+        )
+        kept = parts.join(current.select("file_path", "version"), ["file_path", "version"], "left_semi")
+        self._write(kept.select(*BASE.names), "base", load_id, bucketed=True)
+        self._write(current, "known", load_id)
 
-    def _refresh_reports(self, load_id):
+    def _report(self, load_id):
+        """Report the touched buckets again; returns their numbers."""
         start = datetime.datetime.now()
         stocks = self._loads("audit", [load_id]).select("stock_name").where("stock_name is not null")
         stocks = stocks.unionByName(self._loads("delta", [load_id]).select("stock_name"))
-        bucket = bucket_of("stock_name", self.buckets)
         # At most `buckets` numbers: they prune the folders of the state that are read.
-        touched = [row[0] for row in stocks.select(bucket).distinct().collect()]
+        touched = [row[0] for row in stocks.select(bucket_of("stock_name", self.buckets)).distinct().collect()]
         state = self._state(load_id, touched)
         months = boundaries.merge_boundaries(state, versions=NEWEST)
         years = report.report_algorithms(months, self.algorithm_types, self.rules)
-        self._write_report(years, "report", touched)
-        current = self.report().where(F.col("stock_bucket").isin(touched))
-        self._write_report(report.averages_by_rules(current, self.rules), "averages", touched)
-        done = audits.destination_audit(current, "year_report", start, datetime.datetime.now())
+        self._write(years, "report", load_id, bucketed=True)
+        written = self._loads("report", [load_id])
+        self._write(report.averages_by_rules(written, self.rules), "averages", load_id, bucketed=True)
+        done = audits.destination_audit(written, "year_report", start, datetime.datetime.now())
         self._write(done, "destination_audit", load_id)
-
-    def _write_report(self, rows, table, touched):
-        bucketed = rows.withColumn("stock_bucket", bucket_of("stock_name", self.buckets))
-        bucketed.hint("rebalance", "stock_bucket").write.partitionBy("stock_bucket").option(
-            "partitionOverwriteMode", "dynamic"
-        ).mode("overwrite").parquet(self.path(table))
-        # dynamic overwrite leaves a bucket alone whose last row is gone
-        left = set(touched) - {row[0] for row in bucketed.select("stock_bucket").distinct().collect()}
-        for bucket in left:
-            empty = self.spark.createDataFrame([], TABLES[table][0])
-            empty.write.mode("overwrite").parquet(f"{self.path(table)}/stock_bucket={bucket}")
+        return touched
+
+    def _publish(self, load_id, touched, batches):
+        """Point to this load's folders for the buckets it touched. A bucket whose last row is gone
+        has no folder and is no longer pointed to."""
+        number, content = self.pointers.newest()
+        for table in ("report", "averages"):
+            kept = {b: load for b, load in content[table].items() if int(b) not in touched}
+            names = self.pointers.children(self.path(table, load_id))
+            own = {name.split("=")[1]: load_id for name in names if name.startswith("stock_bucket=")}
+            content[table] = kept | own
+        content["batches"] |= batches
+        self.pointers.publish(number + 1, content | {"load_id": load_id, "metrics": self._numbers})
+
+    def clean_up(self, keep=1):
+        """Remove what only pointers before the last `keep` name: their files, report folders that no
+        kept pointer names, and earlier epochs. Readers of an older state must have ended."""
+        numbers = self.pointers.numbers()
+        kept = [self.pointers.read(n) for n in numbers[-keep:]]
+        for number in numbers[:-keep]:
+            old = self.pointers.read(number)
+            if old["epoch"] not in {x["epoch"] for x in kept}:
+                self.pointers.delete_folder(f"{self.root}/epoch={old['epoch']}")
+            else:
+                for table in ("report", "averages"):
+                    used = {load for x in kept for load in x[table].values()}
+                    for load in set(old[table].values()) - used:
+                        self.pointers.delete_folder(f"{self.root}/epoch={old['epoch']}/{table}/load_id={load}")
+            self.pointers.delete(number)

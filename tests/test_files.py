@@ -334,17 +334,126 @@ def test_a_corrected_file_replaces_what_it_held(spark, tmp_path, merge_every):
     assert (last["stock_name"], last["number_of_processed_rows"]) == ("XAUUSD", 0)
 
 
-def test_a_load_that_was_not_finished_is_taken_up(spark, tmp_path, monkeypatch):
-    folder = str(_year_files(tmp_path / "in"))
-    load = IncrementalLoad(spark, str(tmp_path / "out"))
+WRITES = ["staging", "audit", "known", "report", "destination_audit", "pointer"]
+
+
+@pytest.mark.parametrize("broken", WRITES)
+def test_readers_see_the_old_or_the_new_state_only(spark, tmp_path, monkeypatch, broken):
+    """The second load breaks off after each of its writes; then it is done again."""
+    folder = _year_files(tmp_path / "in")
+    load = IncrementalLoad(spark, str(tmp_path / "out"), merge_every=2)
     load.initialise()
+    load.run(str(folder))
+    before = _reports(load)
+    held = load.report()
+    (folder / NAME.format(year="2020")).write_text(fixtures.candle_lines(_prices(fixtures.BARS[4:], 3)))
+    (folder / "OTHER_10 Secs_Bid_2019.csv").write_text(fixtures.candle_lines(fixtures.BARS[:4]))
+    write = IncrementalLoad._write
+
+    def broken_write(self, rows, table, *more, **options):
+        write(self, rows, table, *more, **options)
+        if table == broken:
+            raise RuntimeError("lost")
+
     with monkeypatch.context() as patch:
-        patch.setattr(IncrementalLoad, "_finish", lambda *_: 1 / 0)
-        with pytest.raises(ZeroDivisionError):
-            load.run(folder)
-    load.run(folder)
-    assert _round(_reports(load)) == _round(_expected(fixtures.bars(spark), "pairs"))
-    assert load.table("audit").select("load_id").distinct().count() == 1
+        patch.setattr(IncrementalLoad, "_write", broken_write)
+        if broken == "pointer":
+            patch.setattr(load.pointers, "publish", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            load.run(str(folder))
+    reader = IncrementalLoad(spark, str(tmp_path / "out"), merge_every=2)
+    assert _reports(reader) == before
+    assert reader.table("audit").select("load_id").distinct().count() == 1
+    load.run(str(folder))
+    bars = fixtures.bars(spark)
+    late = F.when(F.year("time_utc") == 2020, F.col("close_price") * 3).otherwise(F.col("close_price"))
+    bars = bars.withColumn("close_price", late).unionByName(fixtures.bars(spark, "OTHER").where("year(time_utc) = 2019"))
+    assert _round(_reports(load)) == _round(_expected(bars, "pairs"))
+    # Earlier states stay readable, also by a reader that planned its query before.
+    assert _sorted(load.report(as_of=0).drop("stock_bucket")) == before[0]
+    assert _sorted(held.drop("stock_bucket")) == before[0]
+    assert load.report(as_of=-1).count() == 0
+    with pytest.raises(ValueError, match="no load"):
+        load.report(as_of=2)
+
+
+def test_clean_up_leaves_what_is_pointed_to(spark, tmp_path):
+    folder = _year_files(tmp_path / "in")
+    load = IncrementalLoad(spark, str(tmp_path / "out"))
+    load.initialise()
+    load.run(str(folder))
+    (folder / "OTHER_10 Secs_Bid_2019.csv").write_text(fixtures.candle_lines(fixtures.BARS[:4]))
+    load.run(str(folder))
+    after = _reports(load)
+    load.clean_up()
+    assert _reports(load) == after and len(load.pointers.numbers()) == 1
+    (folder / NAME.format(year="2019")).write_text(fixtures.candle_lines(_prices(fixtures.BARS[:4], 2)))
+    load.run(str(folder))
+    after = _reports(load)
+    load.clean_up(keep=1)
+    assert _reports(load) == after
+    load.initialise(replace=True)
+    assert load.report().count() == 0 and load.table("audit").count() == 0
+    load.clean_up()
+    assert not (tmp_path / "out" / "epoch=0").exists()
+
+
+def test_two_loads_cannot_publish_the_same_number(spark, tmp_path):
+    from candlegrowth.sinks.pointer import Pointers
+
+    pointers = Pointers(spark, str(tmp_path / "pointers"))
+    assert pointers.newest() is None
+    pointers.publish(3, {"x": "é"})
+    with pytest.raises(ValueError, match="another load"):
+        pointers.publish(3, {"x": 2})
+    assert pointers.newest() == (3, {"x": "é"}) and pointers.numbers() == [3]
+
+
+def test_stream_of_chunks_in_any_order(spark, tmp_path, monkeypatch):
+    """Loads by micro-batches; one is broken off before its pointer, one after it, and the stream
+    starts again from its checkpoint."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    where = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    load = IncrementalLoad(spark, where[0], "carry")
+    load.initialise()
+    order = [6, 0, 8, 2, 4]
+    for i in order[:3]:
+        rows = fixtures.BARS[i:i + 2]
+        (folder / f"XAUUSD_10 Secs_Bid_{rows[0][0][:4]}.part{i}.csv").write_text(fixtures.candle_lines(rows, header=i % 4 == 0))
+    publish = IncrementalLoad._publish
+    for after in (False, True):
+        def broken(self, *arguments, after=after):
+            if after:
+                publish(self, *arguments)
+            raise RuntimeError("lost")
+
+        with monkeypatch.context() as patch:
+            patch.setattr(IncrementalLoad, "_publish", broken)
+            with pytest.raises(Exception, match="lost"):
+                load.run_stream(str(folder), where[1], max_files=1)
+        assert load._current()["load_id"] == (0 if after else -1)
+    load.run_stream(str(folder), where[1], max_files=1)
+    assert load._current()["load_id"] == 2
+    for i in order[3:]:
+        rows = fixtures.BARS[i:i + 2]
+        (folder / f"XAUUSD_10 Secs_Bid_{rows[0][0][:4]}.part{i}.csv").write_text(fixtures.candle_lines(rows))
+    IncrementalLoad(spark, where[0], "carry").run_stream(str(folder), where[1])
+    assert _round(_reports(load)) == _round(_expected(fixtures.bars(spark), "carry"))
+    assert load.months().agg(F.sum("n")).first()[0] == 10
+    load.run_stream(str(folder), where[1])
+    assert load._current()["load_id"] == 3
+    assert load.table("audit").count() == 5
+
+
+def test_a_batch_that_comes_again_changes_nothing(spark, tmp_path):
+    folder = _year_files(tmp_path / "in")
+    load = IncrementalLoad(spark, str(tmp_path / "out"))
+    load.initialise()
+    load.run_stream(str(folder), str(tmp_path / "checkpoint"))
+    before, number = _reports(load), load.pointers.numbers()
+    load.take_batch(sources.read_candles(spark, str(folder)), 0, str(tmp_path / "checkpoint"))
+    assert _reports(load) == before and load.pointers.numbers() == number
 
 
 def test_lines_by_month_stay_as_they_are(spark, tmp_path):
