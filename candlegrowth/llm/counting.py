@@ -14,6 +14,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from candlegrowth.llm.common import runs
+
 
 SHARD_KEYS = 1_000_000  # keys that a shard gets on the average at most
 
@@ -44,6 +46,11 @@ def shards_of(spark, keys):
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(keys or 0) // SHARD_KEYS))
 
 
+def parts_of(spark, count):
+    """Partitions for so many shards or batches: each is large enough for a task of its own."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(count or 0))
+
+
 def shard_bounds(shards):
     """The first hashes of all shards but the first, as unsigned numbers."""
     return np.array([(i << 64) // shards for i in range(1, shards)], dtype=np.uint64)
@@ -56,10 +63,11 @@ def _deal(shards):
             rows = []
             for batch, words, counts in zip(*(x.to_pylist() for x in part.columns)):
                 words, counts = unpack_rising(words).view(np.uint64), unpack(counts)
-                cuts = [0, *np.searchsorted(words, bounds).tolist(), len(words)]
-                for shard, (s, e) in enumerate(zip(cuts, cuts[1:])):
-                    if e > s:
-                        rows.append((shard, batch, pack_rising(words[s:e]), pack(counts[s:e])))
+                if not len(words):
+                    continue
+                owner = np.searchsorted(bounds, words, side="right")  # only shards that occur are visited
+                for s, e in zip(*(x.tolist() for x in runs(owner))):
+                    rows.append((int(owner[s]), batch, pack_rising(words[s:e]), pack(counts[s:e])))
             columns = list(zip(*rows)) if rows else [[]] * 4
             kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
@@ -99,7 +107,7 @@ def totals(counted, shards):
     dealt = counted.select("batch", "words", "counts").mapInArrow(
         _deal(shards), "shard int, batch long, words binary, counts binary"
     )
-    return dealt.groupBy("shard").applyInPandas(
+    return dealt.repartition(parts_of(counted.sparkSession, shards), "shard").groupBy("shard").applyInPandas(
         _add, "shard int, batch long, ranks binary, totals binary, types long, seen long, sum long"
     )
 

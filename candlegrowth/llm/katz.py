@@ -20,9 +20,9 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from candlegrowth.llm.common import WordHashes, mixed, stored, text_bytes, word_chunks
+from candlegrowth.llm.common import WordHashes, mixed, runs, stored, text_bytes, word_chunks
 from candlegrowth.llm.counting import (
-    by_batch, merged, pack, pack_rising, shards_of, totals, unpack, unpack_rising,
+    by_batch, merged, pack, pack_rising, parts_of, shards_of, totals, unpack, unpack_rising,
 )
 
 TURING = 5
@@ -117,13 +117,14 @@ class _Batch:
         shard = _shard_of(self.ids, self.totals, self.history, self.word, model["shards"], model["hot_over"])
         order = np.lexsort((self.word, self.history, shard))  # global numbers rise with these
         self.order = order.astype(np.int32)
-        self.cuts = np.searchsorted(shard[self.order], np.arange(model["shards"] + 1))
+        shard = shard[self.order]
+        starts, ends = runs(shard)  # only shards that occur are visited
+        self.cuts = list(zip(shard[starts].tolist(), starts.tolist(), ends.tolist()))
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]])
 
     def blocks(self):
-        for shard, (s, e) in enumerate(zip(self.cuts, self.cuts[1:])):
-            if e > s:
-                yield shard, self.order[s:e]
+        for shard, s, e in self.cuts:
+            yield shard, self.order[s:e]
 
 
 def _rows(batch):
@@ -274,24 +275,26 @@ def katz_scores(documents, id_column="doc_id", text_column="text", held=None):
         ),
         "katz-texts",
     )
-    shards = shards_of(spark, batches.agg(F.sum("n_words")).first()[0])
+    words, count = batches.agg(F.sum("n_words"), F.count("*")).first()
+    shards, parts = shards_of(spark, words), parts_of(spark, count)
     uni = stored(totals(batches, shards), "katz-words")
-    parts = uni.groupBy("shard").agg(F.max("types"), F.max("seen"), F.max("sum")).collect()
+    sizes = uni.groupBy("shard").agg(F.max("types"), F.max("seen"), F.max("sum")).collect()
     types = np.zeros(shards + 1, dtype=np.int64)
-    for shard, number, *_ in parts:
+    for shard, number, *_ in sizes:
         types[shard + 1] = number
-    n, v = sum(x[3] for x in parts), sum(x[2] for x in parts)
+    n, v = sum(x[3] for x in sizes), sum(x[2] for x in sizes)
     if types.sum() >= 1 << 31:
         raise ValueError("more than two billion distinct words")
     pairs_ = shards_of(spark, (n or 1) // 2)
     model = {"offsets": np.cumsum(types), "n": n, "v": v, "shards": pairs_, "hot_over": max(n // HOT, 1)}
-    known = by_batch(uni, "ranks", "totals", name="uni")
-    texts = batches.select("batch", "ids", "held", "uids", "sizes", "numbers").join(known, "batch")
+    known = by_batch(uni.repartition(parts, "batch"), "ranks", "totals", name="uni")
+    texts = batches.select("batch", "ids", "held", "uids", "sizes", "numbers").repartition(parts, "batch")
+    texts = texts.join(known, "batch")
     sent = texts.mapInArrow(
         _send_pairs(model), "shard int, batch long, pairs binary, counts binary, words binary, hot binary"
     )
     bi = stored(
-        sent.groupBy("shard").applyInPandas(
+        sent.repartition(parts_of(spark, pairs_), "shard").groupBy("shard").applyInPandas(
             _add_pairs,
             "shard int, batch long, totals binary, sums binary, times array<long>, hot array<long>, hot_sums array<array<long>>",
         ),
@@ -306,7 +309,7 @@ def katz_scores(documents, id_column="doc_id", text_column="text", held=None):
         "hot": np.array([x[0] for x in warm], dtype=np.int64),
         "hot_sums": np.array([x[1:] for x in warm], dtype=np.int64).reshape(-1, TURING + 2),
     }
-    scored = texts.join(by_batch(bi, "totals", "sums", name="bi"), "batch").mapInArrow(
+    scored = texts.join(by_batch(bi.repartition(parts, "batch"), "totals", "sums", name="bi"), "batch").mapInArrow(
         _score(model, id_type),
         f"doc_id {name}, held_out boolean, uid long, n_tokens long, n_known long, base_score double, score double",
     )

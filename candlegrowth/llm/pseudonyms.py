@@ -16,13 +16,15 @@ ROUNDS = 8  # even, so that the halves end where they began
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Stand for the digits 2 to 9 where a format allows no others.
 LEADING, LEADING_MARKS = "23456789", "αβγδεζηθ"
+LOW, LOW_MARKS = "01", "κλ"  # area codes of this class stay in it
 KINDS = ("email", "address", "date", "ssn", "phone", "card")
 PATTERNS = {
     "email": r"[0-9A-Za-z](?:[0-9A-Za-z._%+-]{0,62}[0-9A-Za-z])?@[0-9A-Za-z-]+(?:\.[0-9A-Za-z-]+)+",
     "address": r"(?<!\.)(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9A-Za-z])",
     "date": r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?![0-9A-Za-z])",
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
-    "phone": r"(?:\+1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9A-Za-z])",
+    # Area codes that begin with 0 or 1 belong to no region; they are taken after +1 or in brackets.
+    "phone": r"(?:(?:\+1[ .-]?)?\([0-9]{3}\) ?|\+1[ .-]?[0-9]{3}[ .-]|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9A-Za-z])",
     "card": r"[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
 }
 ANY = r"(?<![0-9A-Za-z])(?:" + "|".join(PATTERNS[k] for k in KINDS) + ")"
@@ -55,7 +57,7 @@ def permute_number(number, split, key, kind):
 def _moved(c, by):
     """A character moved on within its alphabet."""
     out = c
-    for alphabet in (DIGITS, LOWER, UPPER, LEADING_MARKS):
+    for alphabet in (DIGITS, LOWER, UPPER, LEADING_MARKS, LOW_MARKS):
         at = F.call_function("instr", F.lit(alphabet), c)
         to = F.pmod(at - 1 + by, F.lit(len(alphabet))) + 1
         out = F.when(at > 0, F.call_function("substr", F.lit(alphabet), to.cast("int"), F.lit(1))).otherwise(out)
@@ -136,9 +138,9 @@ def _phone(text, key):
     digits = _only(text)
     own = F.when(country, F.call_function("substr", digits, F.lit(2))).otherwise(digits)
     part = lambda s, n: F.call_function("substr", own, F.lit(s), F.lit(n))
-    lead = lambda s: F.translate(part(s, 1), LEADING, LEADING_MARKS)
+    lead = lambda s: F.translate(part(s, 1), LEADING + LOW, LEADING_MARKS + LOW_MARKS)
     new = permute_text(F.concat(lead(1), part(2, 2), lead(4), part(5, 6)), key, "phone")
-    new = F.translate(new, LEADING_MARKS, LEADING)
+    new = F.translate(new, LEADING_MARKS + LOW_MARKS, LEADING + LOW)
     return _refilled(text, F.when(country, F.concat(F.lit("1"), new)).otherwise(new))
 
 

@@ -180,7 +180,7 @@ def test_discounts():
 
 def test_each_operator_has_one_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11)) and set(queries.SQL) <= set(queries.QUERIES)
+    assert numbers == list(range(1, 14)) and set(queries.SQL) <= set(queries.QUERIES)
 
 
 def test_sql_of_queries(spark, data):
@@ -255,3 +255,25 @@ def test_pipeline_on_an_empty_table(spark, tmp_path):
     spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_only_shards_that_occur_are_visited():
+    """The blocks that are sent grow with the words, not with the shards."""
+    import numpy as np
+    import pyarrow as pa
+
+    from candlegrowth.llm import counting
+
+    words = np.sort(np.random.default_rng(1).integers(1 << 63, size=50, dtype=np.uint64) * np.uint64(2))
+    part = pa.RecordBatch.from_arrays(
+        [pa.array([7, 8]), pa.array([counting.pack_rising(words), counting.pack_rising(words[:0])]),
+         pa.array([counting.pack(np.arange(50)), counting.pack(np.arange(0))])], ["batch", "words", "counts"],
+    )
+    for shards in (1, 7, 1_000_000):
+        (sent,) = counting._deal(shards)([part])
+        assert sent.num_rows <= min(shards, 50)
+        rows = sorted(sent.to_pylist(), key=lambda x: x["shard"])
+        found = np.concatenate([counting.unpack_rising(x["words"]) for x in rows]).view(np.uint64)
+        assert (found == words).all() and {x["batch"] for x in rows} == {7}
+        owner = {w: x["shard"] for x in rows for w in counting.unpack_rising(x["words"]).view(np.uint64).tolist()}
+        assert all(owner[w] == w * shards >> 64 for w in owner)
