@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from candlegrowth.llm.common import slices
 
 SPACE = "▁"  # stands for a blank in pieces
-MOST_KEPT = 300_000  # words, parts and pairs of pieces whose result is kept in a task, each
+MOST_KEPT = 300_000  # words and parts, and pairs of pieces, whose result is kept in a task
 KEPT_CHARS = 64  # characters of the longest word that is kept
 
 
@@ -62,7 +62,8 @@ class Encoder:
         self.joined = {p[i:i + 2] for p in self.score for i in range(len(p) - 1)}
         # Blanks begin words where no piece has one behind another character.
         self.words = not any(j[1] == SPACE != j[0] for j in self.joined)
-        self.suits, self.parts, self.found = {}, {}, {}
+        self.suits, self.found, self.older = {}, {}, {}
+        self.numbers = [str(i) for i in range(model.get_piece_size())]
 
     def merge(self, text):
         """The symbols that merging leaves of a short text."""
@@ -129,32 +130,33 @@ class Encoder:
         cuts = [i for i, (a, b) in enumerate(zip(word, word[1:]), 1) if a + b not in joined]
         return [word[i:j] for i, j in zip([0, *cuts], [*cuts, len(word)])]
 
-    def _part(self, part):
+    def _ids(self, part):
         """The ids of what stands between two cuts."""
-        known = self.parts.get(part)
-        if known is None:
-            if len(self.parts) >= MOST_KEPT:
-                self.parts.clear()
-            ids = self.ids
-            known = []
-            for piece in self.split(part) if len(part) > 1 else [part]:
-                known.extend(ids.get(piece) or self._number(piece))
-            if len(part) <= KEPT_CHARS:
-                self.parts[part] = known
-        return known
+        known, out = self.ids, []
+        for piece in self.split(part) if len(part) > 1 else [part]:
+            out.extend(known.get(piece) or self._number(piece))
+        return out
 
     def word(self, word):
-        """The ids of a word, and the same as text."""
-        known = self.found.get(word)
+        """The ids of a word. Those of the last MOST_KEPT words and parts, and of the as many before
+        them, are kept."""
+        known = self.older.get(word)
         if known is None:
+            if word[1:].isalpha():
+                known = self._ids(word)
+            else:
+                known = []
+                for part in self._cut(word):
+                    ids = self.found.get(part) or self.older.get(part)
+                    if ids is None:
+                        ids = self._ids(part)
+                        if len(part) <= KEPT_CHARS:
+                            self.found[part] = ids
+                    known = known + ids
+        if len(word) <= KEPT_CHARS:
             if len(self.found) >= MOST_KEPT:
-                self.found.clear()
-            ids = []
-            for part in self._cut(word):
-                ids.extend(self._part(part))
-            known = ids, ",".join(map(str, ids))
-            if len(word) <= KEPT_CHARS:
-                self.found[word] = known
+                self.older, self.found = self.found, {}
+            self.found[word] = known
         return known
 
     def _words(self, text):
@@ -178,12 +180,14 @@ class Encoder:
 
     def encode(self, text):
         """The ids of a text, without begin and end."""
-        return list(chain.from_iterable([self.word(w)[0] for w in self._words(text)]))
+        out = []
+        for word in self._words(text):
+            out += self.found.get(word) or self.word(word)
+        return out
 
-    def encode_joined(self, text):
-        """The ids, and the same as decimal numbers joined by commas."""
-        found = [self.word(w) for w in self._words(text)]
-        return list(chain.from_iterable([x[0] for x in found])), ",".join([x[1] for x in found])
+    def joined_ids(self, ids):
+        """The ids as decimal numbers joined by commas."""
+        return ",".join(map(self.numbers.__getitem__, ids))
 
 
 def encode(documents, path):
@@ -228,9 +232,9 @@ def digests(documents, path):
             for part in slices(batch, "text"):
                 rows = []
                 for text in part.column("text").to_pylist():
-                    ids, joined = encoder.encode_joined(text or "")
+                    ids = encoder.encode(text or "")
                     rows.append((
-                        len(ids), hashlib.sha256(joined.encode()).hexdigest(),
+                        len(ids), hashlib.sha256(encoder.joined_ids(ids).encode()).hexdigest(),
                         hashlib.sha256(encoder.library.decode(ids).encode()).hexdigest(),
                     ))
                 n, ids, decoded = zip(*rows)
