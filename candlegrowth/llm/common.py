@@ -1,5 +1,6 @@
 """Helpers of the training-data operators: words, row keys, stored steps, connected components."""
 
+import ctypes
 import re
 import zlib
 
@@ -55,8 +56,12 @@ def slices(batch, column, size=SLICE):
 
 
 def release():
-    """Gives back what Arrow keeps of freed batches; called when a task has read its rows."""
+    """Gives back the memory of freed batches and arrays, which Arrow and the C library otherwise keep
+    in a worker from task to task."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
 
 
 def free_names(rows, count):

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from candlegrowth.llm.common import WordHashes, mixed, runs, stored, text_bytes, word_chunks
+from candlegrowth.llm.common import WordHashes, mixed, release, runs, stored, text_bytes, word_chunks
 from candlegrowth.llm.counting import (
     by_batch, merged, pack, pack_rising, parts_of, shards_of, totals, unpack, unpack_rising,
 )
@@ -149,6 +149,8 @@ def _send_pairs(model):
                     [pa.array(x, kind) for x, kind in zip(columns, kinds)],
                     ["shard", "batch", "pairs", "counts", "words", "hot"],
                 )
+                del batch, rows, columns
+                release()
 
     return send
 
@@ -166,6 +168,7 @@ def _sums(history, count, word_total):
 
 
 def _add_pairs(group: pd.DataFrame) -> pd.DataFrame:
+    release()
     blocks = [unpack_rising(x) for x in group["pairs"]]
     distinct, total, places = merged(blocks, [unpack(x) for x in group["counts"]])
     word = np.zeros(len(distinct), dtype=np.int64)
@@ -246,6 +249,8 @@ def _score(model, id_type):
                     ],
                     ["doc_id", "held_out", "uid", "n_tokens", "n_known", "base_score", "score"],
                 )
+                del batch, row, count, norm, alpha, low, cut, value, token, base, known
+                release()
 
     return score
 
