@@ -37,36 +37,41 @@ def content_fingerprint(rows, columns, keys=("file_path",)):
     """Fingerprint per file from its rows."""
     hashed = rows.select(*keys, row_hash(columns).alias("row_hash"))
     return hashed.groupBy(*keys).agg(
-        fingerprint("row_hash").alias("md5_sum"), F.count(F.lit(1)).alias("n")
+        fingerprint("row_hash").alias("row_fingerprint"), F.count(F.lit(1)).alias("n")
     )
 
 
 def file_fingerprints(files, parsed):
-    """One row per listed file: md5_sum over its rows' cells, number of rows, whether any was
+    """One row per listed file: row_fingerprint over its rows' cells, number of rows, whether any was
     rejected. A file without rows, as one with a header only, has 0 rows."""
     hashed = parsed.select(
         "file_path", (F.col("reject_reason") != "").alias("rejected"),
         row_hash(["stock_name", *schema.RAW_CANDLES.names]).alias("row_hash"),
     )
     sums = hashed.groupBy("file_path").agg(
-        fingerprint("row_hash").alias("md5_sum"),
+        fingerprint("row_hash").alias("row_fingerprint"),
         F.count(F.lit(1)).alias("number_of_processed_rows"),
         F.bool_or("rejected").alias("load_with_error"),
     )
     empty = F.md5(F.lit("0|0|0"))
     return files.join(sums, "file_path", "left").withColumns({
-        "md5_sum": F.coalesce("md5_sum", empty),
+        "row_fingerprint": F.coalesce("row_fingerprint", empty),
         "number_of_processed_rows": F.coalesce("number_of_processed_rows", F.lit(0)),
         "load_with_error": F.coalesce("load_with_error", F.lit(False)),
     })
 
 
-def staging_audit(files, parsed, start, end, layout="file_name"):
+def staging_audit(files, parsed, start, end, layout="file_name", digests=None):
     """One row per listed file: who, what, how many rows, and whether any row was rejected.
 
-    `files` has file_path; stock and year are taken from it as for the rows.
+    `files` has file_path; stock and year are taken from it as for the rows. `digests` are those of
+    `digest.content_md5`; without them md5_sum is NULL.
     """
     found = file_fingerprints(files.select("file_path"), parsed)
+    if digests is None:
+        found = found.withColumn("md5_sum", F.lit(None).cast("string"))
+    else:
+        found = found.join(digests.select("file_path", "md5_sum"), "file_path", "left")
     return with_path_columns(found, layout).withColumns(
         {"start_load_date": F.lit(start), "end_load_date": F.lit(end)}
     ).select(*schema.STAGING_AUDIT.names)

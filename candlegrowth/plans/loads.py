@@ -144,7 +144,7 @@ def file_md5(spark, folder):
     files, parsed = _parsed_files(spark, folder, "md5")
     found = audit.file_fingerprints(files.select("file_path"), parsed)
     return sources.with_path_columns(found, "partitions").select(
-        "stock_name", "current_year", "md5_sum", "number_of_processed_rows"
+        "stock_name", "current_year", "row_fingerprint", "number_of_processed_rows"
     )
 
 
@@ -158,7 +158,7 @@ def staging_audit(spark, folder):
     end = datetime.datetime.now()
     rows = audit.staging_audit(files, spark.read.schema(parsed.schema).parquet(path), start, end, "partitions")
     return rows.select(
-        "stock_name", "current_year", "file_type", "md5_sum", "number_of_processed_rows", "load_with_error",
+        "stock_name", "current_year", "file_type", "row_fingerprint", "number_of_processed_rows", "load_with_error",
         (F.col("end_load_date") > F.col("start_load_date")).alias("in_order"),
     )
 
@@ -171,7 +171,7 @@ def staging_audit_counts(spark, folder):
     return rows.groupBy("stock_name", "current_year", "file_type").agg(
         F.sum("number_of_processed_rows").alias("number_of_processed_rows"),
         F.bool_or("load_with_error").alias("load_with_error"),
-        F.bool_and(F.length("md5_sum") == 32).alias("has_md5"),
+        F.bool_and(F.length("row_fingerprint") == 32).alias("has_md5"),
     )
 
 
@@ -322,7 +322,7 @@ _FILES = f"""WITH cells AS (
   FROM cells
 ), files AS (
   SELECT stock_name, current_year, 'Bid' AS file_type,
-         md5(concat_ws('|', sum(h & ((1 << 30) - 1)), sum(h >> 30), count(*))) AS md5_sum,
+         md5(concat_ws('|', sum(h & ((1 << 30) - 1)), sum(h >> 30), count(*))) AS row_fingerprint,
          count(*) AS number_of_processed_rows, bool_or(bad) AS load_with_error
   FROM hashed GROUP BY 1, 2
   UNION ALL SELECT 'NONE', 1990, 'Bid', md5('0|0|0'), 0, false
@@ -357,9 +357,9 @@ FROM events""",
     ),
     "table_truncate": _report_sql("open_close"),
     "text_table": _both(sqltext.candles(), _BOTH_COLUMNS),
-    "file_md5": _FILES + "SELECT stock_name, current_year, md5_sum, number_of_processed_rows FROM files",
+    "file_md5": _FILES + "SELECT stock_name, current_year, row_fingerprint, number_of_processed_rows FROM files",
     "staging_audit": _FILES + "SELECT *, true AS in_order FROM files",
-    "staging_audit_counts": _FILES + "SELECT * EXCLUDE (md5_sum), true AS has_md5 FROM files",
+    "staging_audit_counts": _FILES + "SELECT * EXCLUDE (row_fingerprint), true AS has_md5 FROM files",
     "destination_audit": _both(
         sqltext.candles(),
         "SELECT stock_name, algorithm_type, current_year, 'Bid' AS file_type, "

@@ -5,17 +5,21 @@ from pyspark.sql import functions as F
 from candlegrowth import schema
 from candlegrowth.functions import parse, procedures
 from candlegrowth.functions.percent import rounded
-from candlegrowth.operators import audit, boundary, clean, growth, metrics, positions, report
+from candlegrowth.operators import audit, boundary, clean, digest, growth, metrics, positions, report
 from candlegrowth.plans import loads, sqltext
 from candlegrowth.plans.bars import order_months
 from candlegrowth.session import scratch_path
+from candlegrowth.sinks import buckets, tables
 from candlegrowth.sinks import files as sinks
+from candlegrowth.sources import files as sources
 from candlegrowth.sources import mapped
 from candlegrowth.streaming.incremental import IncrementalLoad
 
 FIRST_YEARS = 1996  # the years before it come with the first load
 STOCK = "2-HIGH"
 LINES = 1000  # of a chunk
+MENDED_FROM = 1997
+TABLE_BUCKETS = 8
 
 
 def _load(spark, name):
@@ -123,7 +127,81 @@ def report_for_touched(spark, folder):
     return rounded(report.year_report(growth.month_growth(months)))
 
 
+def _named_files(spark, cells, path):
+    """Cells with `seq` as one file per stock and year, a header and the lines by seq; under the same name
+    whenever it is written, so that it takes the place of the file before it."""
+    key = ["stock_name", "current_year"]
+    lines = cells.select(*key, "seq", F.concat_ws(schema.DELIMITER, *schema.RAW_CANDLES.names).alias("value"))
+    header = cells.select(*key).distinct().select(
+        *key, F.lit(-1).cast("bigint").alias("seq"), F.lit(schema.HEADER_LINE).alias("value")
+    )
+    ordered = lines.unionByName(header).repartition(*key).sortWithinPartitions(*key, "seq")
+    ordered.select(*key, "value").write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(
+        *key
+    ).text(path)
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = store.listFiles(root, True)
+    while found.hasNext():
+        file = found.next().getPath()
+        if file.getName().startswith("part-"):
+            store.rename(file, spark._jvm.org.apache.hadoop.fs.Path(file.getParent(), f"{loads.BID_NAME}.csv"))
+
+
+def reject_ledger(spark, folder):
+    """The lines set apart over two loads: all files, and then those of the years from 1997 on with their
+    prices mended, their times not."""
+    path, load = scratch_path(spark, "rejects-in"), _load(spark, "ledger")
+    cells = mapped.order_cells_with_errors(spark, folder)
+    _named_files(spark, cells, path)
+    load.run(path, layout="partitions")
+    mended = cells.where(f"current_year >= {MENDED_FROM}").withColumn(
+        "open_text", F.when(F.col("open_text") == "n/a", F.col("high_text")).otherwise(F.col("open_text"))
+    )
+    _named_files(spark, mended, path)
+    load.run(path, layout="partitions")
+    return sources.with_path_columns(load.reject_ledger(), "partitions").select(
+        "stock_name", "current_year", "version", "line", "reason", "status", "closed_by"
+    )
+
+
+def file_content_md5(spark, folder):
+    """Length and MD5 of the bytes of one file per stock and year."""
+    path = scratch_path(spark, "md5-in")
+    cells = mapped.order_cells(spark, folder).withColumn("seq", F.col("volume_text").cast("bigint"))
+    _named_files(spark, cells, path)
+    found = digest.content_md5(sources.list_files(spark, path, schema.BID_GLOB))
+    return sources.with_path_columns(found, "partitions").select("stock_name", "current_year", "length", "md5_sum")
+
+
+def _bucketed_tables(spark, folder, name):
+    """The report and a newer one for later years, bucketed alike by the keys of the report."""
+    path = scratch_path(spark, name)
+    database = path.rsplit("/", 1)[1].replace("-", "_")
+    tables.create_database(spark, database, path)
+    months_path = f"{path}/months_of_orders"
+    order_months(spark, folder).write.parquet(months_path)
+    months = spark.read.parquet(months_path)
+    current = report.report_by_rules(months, "c-c", "lag_open").withColumn("version", F.lit(0))
+    newer = report.report_by_rules(months, "c-c", "carry").withColumn("version", F.lit(1))
+    incoming = current.unionByName(newer).where(F.col("current_year") >= 1999)
+    names = [f"`{database}`.{table}" for table in ("current_report", "incoming_report", "next_report")]
+    for rows, table in zip((current, incoming), names):
+        buckets.write_bucketed(rows, table, report.REPORT_KEYS, TABLE_BUCKETS)
+    return names
+
+
+def bucketed_upsert(spark, folder):
+    """The same as `upsert_report` on bucketed tables, merged without a shuffle."""
+    current, incoming, target = _bucketed_tables(spark, folder, "bucketed")
+    buckets.upsert_bucketed(spark, current, incoming, target, report.REPORT_KEYS, TABLE_BUCKETS, "version")
+    return rounded(spark.table(target).drop("version"))
+
+
 QUERIES = {
+    "reject_ledger": reject_ledger,
+    "file_content_md5": file_content_md5,
+    "bucketed_upsert": bucketed_upsert,
     "report_as_of_load": report_as_of_load,
     "stream_equals_batch": stream_equals_batch,
     "split_by_lines": split_by_lines,
@@ -138,6 +216,31 @@ _EARLY = loads._FILE_CANDLES.replace("FROM orders", f"FROM orders WHERE year(o_o
 _ORDERS = sqltext.candles()
 
 SQL = {
+    "reject_ledger": f"""
+WITH placed AS (
+  SELECT o_orderpriority AS stock_name, {loads._YEAR} AS current_year, o_orderstatus AS s,
+         row_number() OVER (PARTITION BY o_orderpriority, year(o_orderdate) ORDER BY o_orderkey) AS line
+  FROM orders
+), bad AS (
+  SELECT *, CASE WHEN s = 'P' THEN 'open' ELSE 'time' END AS reason FROM placed
+  WHERE s = 'P' OR (s = 'F' AND stock_name IN ('2-HIGH', '3-MEDIUM'))
+)
+SELECT stock_name, current_year, 0 AS version, line, reason,
+       CASE WHEN current_year < {MENDED_FROM} THEN 'open' WHEN s = 'P' THEN 'mended' ELSE 'repeated' END AS status,
+       CASE WHEN current_year >= {MENDED_FROM} THEN 1 END AS closed_by
+FROM bad
+UNION ALL
+SELECT stock_name, current_year, 1, line, reason, 'open', NULL FROM bad
+WHERE current_year >= {MENDED_FROM} AND s = 'F'""",
+    "file_content_md5": f"""
+WITH files AS (
+  SELECT o_orderpriority AS stock_name, {loads._YEAR} AS current_year,
+         '{schema.HEADER_LINE}' || chr(10) || string_agg(
+           concat_ws(';', {loads._GOOD_CELLS}) || chr(10), '' ORDER BY o_orderkey) AS content
+  FROM orders GROUP BY 1, 2
+)
+SELECT stock_name, current_year, strlen(content) AS length, md5(content) AS md5_sum FROM files""",
+    "bucketed_upsert": loads.SQL["upsert_report"],
     "report_as_of_load": f"""
 SELECT *, 0 AS as_of FROM ({loads._both(_EARLY, loads._BOTH_COLUMNS)})
 UNION ALL SELECT *, 1 AS as_of FROM ({loads._both(loads._FILE_CANDLES, loads._BOTH_COLUMNS)})""",

@@ -62,6 +62,6 @@ DESTINATION_AUDIT = struct(
 )
 STAGING_AUDIT = struct(
     "file_name string, stock_name string, current_year int, file_type string, md5_sum string, "
-    "start_load_date timestamp, end_load_date timestamp, number_of_processed_rows bigint, "
+    "row_fingerprint string, start_load_date timestamp, end_load_date timestamp, number_of_processed_rows bigint, "
     "load_with_error boolean"
 )

@@ -117,7 +117,8 @@ def read_lines(spark, path, delimiter=schema.DELIMITER, glob="*"):
 
 
 def list_files(spark, path, glob="*"):
-    """Files below a folder with their sizes. Contents are not read: the columns are pruned."""
+    """Files below a folder with their sizes, but for files of no bytes. Contents are not read: the columns
+    are pruned."""
     return (
         spark.read.format("binaryFile")
         .options(pathGlobFilter=glob, recursiveFileLookup="true")

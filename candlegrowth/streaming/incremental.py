@@ -4,6 +4,7 @@ Tables below one root folder, in a folder per epoch (an epoch is what `initialis
 
   staging    typed rows and rejects of each load, by load
   audit      one row per file of each load: size and time of change, fingerprint, rows
+  rejects    the lines of each load's files that were set apart, by load, with their place and reason
   delta      month boundaries of each file of one load, by load and stock bucket
   base       those of the current files up to a load, by load and stock bucket
   known      the current files up to a load
@@ -24,6 +25,7 @@ months of the touched buckets are reported again, from the small state.
 import datetime
 import re
 from itertools import islice
+from urllib.parse import unquote
 
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
@@ -32,7 +34,7 @@ from pyspark.sql import types as T
 from candlegrowth import schema
 from candlegrowth.operators import audit as audits
 from candlegrowth.operators import boundary as boundaries
-from candlegrowth.operators import clean, metrics, report
+from candlegrowth.operators import clean, ledger, metrics, report
 from candlegrowth.sinks.files import STATIC
 from candlegrowth.sinks.pointer import Pointers
 from candlegrowth.sources import files as sources
@@ -42,10 +44,10 @@ MERGE_EVERY = 32
 MAX_FILES = 1000
 
 FILE_KEY = ["file_path", "length", "modified"]
-VERSION = schema.struct("file_path string, length bigint, modified bigint, md5_sum string, version int")
+VERSION = schema.struct("file_path string, length bigint, modified bigint, row_fingerprint string, version int")
 AUDIT = schema.struct(
     "file_path string, file_name string, stock_name string, current_year int, file_type string, "
-    "length bigint, modified bigint, md5_sum string, number_of_processed_rows bigint, "
+    "length bigint, modified bigint, row_fingerprint string, number_of_processed_rows bigint, "
     "load_with_error boolean, is_new boolean, start_load_date timestamp, end_load_date timestamp"
 )
 WORK = schema.struct("path string, file_path string, length bigint, modified bigint")
@@ -56,6 +58,7 @@ STAGED = schema.struct(
     "volume double, seq bigint, row_hash bigint, "
     "rejected boolean, reject_reason string, " + ", ".join(f"{name} string" for name in CELLS)
 )
+REJECTS = schema.struct("file_path string, line bigint, reason string, value string")
 _FILE_BOUNDARY = [T.StructField("file_path", T.StringType()), *schema.BOUNDARY.fields]
 NEWEST = ("version", "modified")  # where times of two files tie, the newer load, then file wins
 _SUMS = ["sum_low", "sum_high"]
@@ -67,6 +70,7 @@ BASE = T.StructType([*_FILE_BOUNDARY, T.StructField("version", T.IntegerType())]
 # Columns and partition columns of each table.
 TABLES = {
     "staging": (STAGED, "load_id int"),
+    "rejects": (REJECTS, "load_id int"),
     "audit": (AUDIT, "load_id int"),
     "destination_audit": (schema.DESTINATION_AUDIT, "load_id int"),
     "delta": (DELTA, "load_id int, stock_bucket int"),
@@ -87,6 +91,11 @@ def bucket_of(stock, buckets=BUCKETS):
     return F.pmod(F.xxhash64(stock), F.lit(buckets)).cast("int")
 
 
+def _literal(path):
+    """A path that Spark takes as it stands, not as a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 class IncrementalLoad:
     """The tables below `root`, and the loads that maintain them.
 
@@ -199,6 +208,16 @@ class IncrementalLoad:
     def rejects(self):
         return self.table("staging").where("rejected")
 
+    def reject_ledger(self, as_of=None):
+        """Every line that a load set apart and what became of it, as `ledger.entries` says; with
+        `as_of` as it stood after an earlier load."""
+        last = self._current(as_of)["load_id"]
+        rows = {
+            name: self.table(name).where(F.col("load_id") <= last).withColumnRenamed("load_id", "version")
+            for name in ("rejects", "audit")
+        }
+        return ledger.entries(rows["rejects"], rows["audit"])
+
     def _write(self, rows, table, load_id, bucketed=False):
         writer = rows
         if bucketed:
@@ -225,12 +244,12 @@ class IncrementalLoad:
             files = self.spark.createDataFrame(
                 [tuple(row)[1:4] for row in rows], "file_path string, length bigint, modified bigint"
             )
-            names = [re.sub(r"([\[\]{}*?\\])", r"\\\1", row["path"]) for row in rows if row["path"]]
+            names = [_literal(row["path"]) for row in rows if row["path"]]
             if names:
                 raw = sources.read_candles(self.spark, names, delimiter, glob, layout, base=path)
             else:
                 raw = sources.read_candles(self.spark, path, delimiter, glob, layout).where("false")
-            self.load(raw, files, load_id, layout)
+            self.load(raw, files, load_id, layout, delimiter)
             load_id += 1
 
     def _work(self, path, glob, load_id, withdraw):
@@ -264,12 +283,14 @@ class IncrementalLoad:
             self.spark, path, delimiter, glob, layout, max_files or MAX_FILES, headers=True
         )
         query = (
-            raw.writeStream.foreachBatch(lambda rows, batch: self.take_batch(rows, batch, checkpoint, layout))
+            raw.writeStream.foreachBatch(
+                lambda rows, batch: self.take_batch(rows, batch, checkpoint, layout, delimiter)
+            )
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
         )
         query.awaitTermination()
 
-    def take_batch(self, rows, batch_id, stream, layout="file_name"):
+    def take_batch(self, rows, batch_id, stream, layout="file_name", delimiter=schema.DELIMITER):
         """One micro-batch of a stream as a load, unless a load of this batch was published. The
         files, at most those of a batch, are gathered while the rows are staged."""
         content = self._current()
@@ -282,11 +303,11 @@ class IncrementalLoad:
         staged = self._stage(watched, load_id)
         found = [tuple(x) for x in seen.get["files"]]
         files = self.spark.createDataFrame(found, "file_path string, length bigint, modified bigint")
-        self._take(staged, files, load_id, layout, start, {stream: batch_id})
+        self._take(staged, files, load_id, layout, delimiter, start, {stream: batch_id})
 
     # One load
 
-    def load(self, raw, files, load_id, layout="file_name"):
+    def load(self, raw, files, load_id, layout="file_name", delimiter=schema.DELIMITER):
         """Take one batch of files in: their raw rows, and file_path, length and modified of each.
         Loads count from 0 without gaps; one that is published already changes nothing."""
         last = self._current()["load_id"]
@@ -295,10 +316,11 @@ class IncrementalLoad:
         if load_id > last + 1:
             raise ValueError(f"load {load_id} follows load {last}")
         start = datetime.datetime.now()
-        self._take(self._stage(raw, load_id), files, load_id, layout, start)
+        self._take(self._stage(raw, load_id), files, load_id, layout, delimiter, start)
 
-    def _take(self, staged, files, load_id, layout, start, batches=None):
+    def _take(self, staged, files, load_id, layout, delimiter, start, batches=None):
         self._add_boundaries(staged, load_id)
+        self._add_rejects(load_id, delimiter)
         self._audit(files, load_id, layout, start)
         if (load_id + 1) % self.merge_every == 0:
             self._merge(load_id)
@@ -344,6 +366,18 @@ class IncrementalLoad:
         rows = staged.groupBy(*keys).agg(*edges, *sums).withColumnsRenamed(boundaries.MERGED_TIMES)
         self._write(rows.select(*DELTA.names), "delta", load_id, bucketed=True)
 
+    def _add_rejects(self, load_id, delimiter):
+        """The lines set apart, with their places: the files that hold any, at most those of a load,
+        are read as lines. A load without any writes nothing."""
+        if not self._numbers["rejected"]:
+            if self.pointers.children(self.path("rejects", load_id)):  # of an attempt that broke off
+                self._write(self.spark.createDataFrame([], REJECTS), "rejects", load_id)
+            return
+        bad = self._loads("delta", [load_id]).where("rejected").select("file_path").distinct().collect()
+        names = [_literal(unquote(row[0])) for row in bad]
+        lines = ledger.rejected_lines(self.spark.read.option("recursiveFileLookup", "true").text(names), delimiter)
+        self._write(lines.select(*REJECTS.names), "rejects", load_id)
+
     def _audit(self, files, load_id, layout, start):
         """One row per file, also of those without rows, with a fingerprint of its rows. is_new marks
         content that no current file had before; of several copies in a load the first."""
@@ -355,15 +389,15 @@ class IncrementalLoad:
         rows = files.join(per_file, "file_path", "left").withColumns(
             {c: F.coalesce(c, none) for c in (*_SUMS, "n")}
         ).withColumns({
-            "md5_sum": audits.fingerprint_of(*map(F.col, _SUMS), F.col("n")),
+            "row_fingerprint": audits.fingerprint_of(*map(F.col, _SUMS), F.col("n")),
             "number_of_processed_rows": F.col("n"),
             "load_with_error": F.coalesce("load_with_error", F.lit(False)),
         })
-        before = self._versions(load_id - 1).select("md5_sum").distinct()
-        firsts = audits.new_files_only(rows, before, ["md5_sum"]).groupBy("md5_sum").agg(
+        before = self._versions(load_id - 1).select("row_fingerprint").distinct()
+        firsts = audits.new_files_only(rows, before, ["row_fingerprint"]).groupBy("row_fingerprint").agg(
             F.min("file_path").alias("first_path")
         )
-        rows = rows.join(firsts, "md5_sum", "left").withColumns({
+        rows = rows.join(firsts, "row_fingerprint", "left").withColumns({
             "is_new": F.coalesce(F.col("file_path") == F.col("first_path"), F.lit(False)),
             "start_load_date": F.lit(start), "end_load_date": F.lit(datetime.datetime.now()),
         })
@@ -391,7 +425,7 @@ class IncrementalLoad:
         )
         versions = self._versions(load_id)
         file = F.struct("file_path", "version", "modified")
-        one = versions.groupBy("md5_sum").agg(F.min_by(file, "file_path").alias("one")).select("one.*")
+        one = versions.groupBy("row_fingerprint").agg(F.min_by(file, "file_path").alias("one")).select("one.*")
         return rows.join(one, ["file_path", "version"])
 
     def _merge(self, load_id):

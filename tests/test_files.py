@@ -195,8 +195,8 @@ def test_fingerprints_of_files(spark, tmp_path):
     parsed = clean.parse_candles(sources.read_candles(spark, str(folder)))
     files = sources.list_files(spark, str(folder)).select("file_path")
     found = {r["file_path"][-14:-10]: r for r in audit.file_fingerprints(files, parsed).collect()}
-    assert len(found) == 4 and len({r["md5_sum"] for r in found.values()}) == 3
-    assert found["2020"]["md5_sum"] == found["2021"]["md5_sum"]
+    assert len(found) == 4 and len({r["row_fingerprint"] for r in found.values()}) == 3
+    assert found["2020"]["row_fingerprint"] == found["2021"]["row_fingerprint"]
     assert found["2022"]["number_of_processed_rows"] == 0
     rows = audit.staging_audit(files, parsed, None, None).where("current_year = 2022").collect()
     assert [(r["stock_name"], r["number_of_processed_rows"]) for r in rows] == [("XAUUSD", 0)]
@@ -205,7 +205,7 @@ def test_fingerprints_of_files(spark, tmp_path):
 def test_fingerprint_keeps_the_place_of_empty_cells(spark):
     rows = spark.createDataFrame([("1", "x", None), ("2", None, "x")], "f string, a string, b string")
     found = audit.content_fingerprint(rows, ["a", "b"], keys=["f"]).collect()
-    assert found[0]["md5_sum"] != found[1]["md5_sum"]
+    assert found[0]["row_fingerprint"] != found[1]["row_fingerprint"]
 
 
 def test_upsert(spark):

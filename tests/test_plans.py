@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from candlegrowth.functions import procedures
 from candlegrowth.operators import boundary, growth, report
+from candlegrowth.plans import records
+from candlegrowth.sinks import buckets
 from candlegrowth.sources import mapped
 
 # The training-data queries may use Python; those that may not are tested in tests/llm.
 QUERIES = {k: v for k, v in entry.queries().items() if not re.match(r"op\d+_|pipeline$", k)}
 EAGER = {"incremental_equals_full"}
+STREAMS_BYTES = {"file_content_md5"}  # a digest over bytes of any number is no built-in expression
 PYTHON = ("Python", "ArrowEval", "MapInArrow", "InPandas", "MapInPandas")
 ONE_WINDOW = r"Window.*\n.*Sort.*\n.*Exchange SinglePartition"
 
@@ -22,7 +25,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER - STREAMS_BYTES))
 def test_no_cross_join_and_no_python(spark, data, name):
     text = plan(QUERIES[name](spark, data))
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", *PYTHON):
@@ -39,6 +42,13 @@ def test_touched_partitions_are_pruned_at_run_time(spark, data):
     assert "dynamicpruning" in plan(QUERIES["report_for_touched"](spark, data))
 
 
+def test_bucketed_tables_are_merged_without_a_shuffle(spark, data):
+    current, incoming, _ = records._bucketed_tables(spark, data, "plan")
+    text = plan(buckets.merged(spark.table(current), spark.table(incoming), report.REPORT_KEYS, "version"))
+    assert "Exchange" not in text and "SortMergeJoin" in text
+    assert text.count("FileScan") == 2
+
+
 def test_global_index_needs_no_single_partition(spark, data):
     assert "SinglePartition" not in plan(QUERIES["global_period_index"](spark, data))
 
