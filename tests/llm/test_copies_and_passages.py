@@ -188,6 +188,28 @@ def test_templates_with_few_changes_are_found():
     assert np.mean(right) >= 0.99
 
 
+@pytest.mark.parametrize("factor", [1.2, 1.5, 1.8, 1.95])
+def test_stretched_templates_are_found(factor):
+    """Other words are put in at a few places, up to twice the template's length in all."""
+    rng = random.Random(5)
+    scanner = licenses.Scanner(list(licenses.TEMPLATES.items()))
+    texts, wanted = [], []
+    for name, text in licenses.TEMPLATES.items():
+        words = [w for part in licenses.words_of(text) for w in part]
+        own = set(licenses.shingles(words))
+        places = max(1, int(0.2 * len(own) // 4))
+        for _ in range(20):
+            changed = list(words)
+            for place in sorted(rng.sample(range(1, len(words)), places), reverse=True):
+                changed[place:place] = [f"x{rng.randrange(10**6)}" for _ in range(int(len(words) * (factor - 1)) // places)]
+            if len(own & set(licenses.shingles(changed))) >= licenses.SHARE * len(own):
+                around = [f"w{rng.randrange(900)}" for _ in range(rng.randrange(300))]
+                texts.append(" ".join(around + changed + around))
+                wanted.append(name)
+    found = [any(scanner.names[v[0]] == name for v in x.values()) for name, x in zip(wanted, scanner.find(texts))]
+    assert len(found) > 150 and np.mean(found) >= 0.98
+
+
 def test_license_rows_are_those_of_brute_force(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     found = {(r["doc_id"], r["license"]) for r in licenses.scan_licenses(docs).collect()}
