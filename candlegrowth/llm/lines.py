@@ -10,7 +10,9 @@ equal a segment of a line of each length in reach. Lines that meet are verified
 bit-parallel edit distance.
 
 A segment that very many lines share is refined: the lines are matched again by what remains of
-them without it, under the key of the segment, and so on.
+them without it, under the key of the segment, and so on. Lines that still share very many keys are
+dealt in pairs of blocks, verified there, and only pairs that connect others are kept, at most one a
+line and pair of blocks.
 """
 
 import numpy as np
@@ -19,12 +21,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from candlegrowth.llm.common import components, free_names, release, runs, slices, stored, whole_runs
+from candlegrowth.llm.common import SLICE, components, free_names, release, runs, slices, stored, whole_runs
 
 EDIT_CHARS = 20
 MOST_EDITS = 2
 HOT = 4096  # lines under one key that are compared directly
 LEVELS = 3
+BLOCK = 4096  # lines of a block, where a key stays hot
+SALTS = 64  # parts in which a hot key's lines meet its number of blocks
 MOST_SENT = 1_000_000  # numbers of lines, 8 MB
 
 
@@ -67,6 +71,28 @@ def distance(a, b, k):
     return min(now, k + 1)
 
 
+def _common(a, b):
+    """How many first characters of a and b are equal."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        middle = (low + high + 1) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
+def within(a, b, k):
+    """Whether a and b are within k edits; what they begin and end with in common costs little."""
+    if abs(len(a) - len(b)) > k:
+        return False
+    start = _common(a, b)
+    a, b = a[start:][::-1], b[start:][::-1]
+    end = _common(a, b)
+    return distance(a[end:], b[end:], k) <= k
+
+
 def segments(n, k):
     """(start, length) of the k + 1 segments of a line of n characters."""
     size, longer = divmod(n, k + 1)
@@ -90,13 +116,13 @@ def _substrings(size, n, k):
 
 
 _LIGHT = "key long, line long, sign long, home boolean"
-_STATE = _LIGHT + ", n int, k int, rest string"
-_KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.string()]
+_STATE = _LIGHT + ", n int, k int, rest string, text string"
+_KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.string(), pa.string()]
 
 
-def _batch(rows, width):
-    names = [x.split()[0] for x in _STATE.split(", ")[:width]]
-    columns = list(zip(*rows)) if rows else [[]] * width
+def _batch(rows):
+    names = [x.split()[0] for x in _STATE.split(", ")]
+    columns = list(zip(*rows)) if rows else [[]] * len(names)
     return pa.RecordBatch.from_arrays(
         [pa.array(x, kind) for x, kind in zip(columns, _KINDS)], names
     )
@@ -112,6 +138,17 @@ def _signs(blocks):
     return np.packbits(odd.astype(np.uint8), axis=1, bitorder="little").view("<i8")[:, 0]
 
 
+def _grams(texts):
+    """Of each text how many of its pairs of neighbours fall into each of 64 classes: an edit changes
+    the counts by four in all at most."""
+    blocks = [x.encode("utf-32-le", "replace") for x in texts]
+    row = np.repeat(np.arange(len(blocks), dtype=np.int64) * 64, [len(x) // 4 for x in blocks])
+    codes = np.frombuffer(b"".join(blocks), dtype="<u4").astype(np.int64)
+    inside = row[1:] == row[:-1]
+    cells = (row[1:] + (codes[:-1] * 31 + codes[1:]) % 61)[inside]
+    return np.bincount(cells, minlength=64 * len(blocks)).reshape(-1, 64).astype(np.int32)
+
+
 def _probes(text_size, edit_chars, most):
     """What a text of so many characters is indexed and probed with, as (length of the shorter text,
     segment, first byte, last byte), and which of these are its own segments."""
@@ -190,8 +227,8 @@ def _started(edit_chars, most):
                 for n in range(max(size - most, edit_chars), size + 1):
                     k = edits_of(n, edit_chars, most)
                     if size - n <= k:
-                        rows.append((0, line, sign, n == size, n, k, text))
-            yield _batch(rows, 7)
+                        rows.append((0, line, sign, n == size, n, k, text, text))
+            yield _batch(rows)
 
     return started
 
@@ -201,8 +238,8 @@ def _refined(most, first):
 
     def refined(batches):
         for batch in batches:
-            rows = []
-            for group, line, sign, home, n, k, rest in zip(*(x.to_pylist() for x in batch.columns)):
+            rows, chars = [], 0
+            for group, line, sign, home, n, k, rest, text in zip(*(x.to_pylist() for x in batch.columns)):
                 data = rest.encode("utf-32-le", "replace")
                 for i, start, at, length in _substrings(len(rest), n, k):
                     block, seed = data[4 * at:4 * (at + length)], n * (most + 1) + i
@@ -210,18 +247,19 @@ def _refined(most, first):
                         block += group.to_bytes(8, "little", signed=True)
                     key = int(np.uint64(xxhash.xxh3_64_intdigest(block, seed)).view("<i8"))
                     own = home and len(rest) == n and at == start
-                    rows.append((key, line, sign, own, n - length, k, rest[:at] + rest[at + length:]))
-                if len(rows) > 50_000:
-                    yield _batch(rows, 7)
-                    rows = []
-            yield _batch(rows, 7)
+                    rows.append((key, line, sign, own, n - length, k, rest[:at] + rest[at + length:], text))
+                    chars += len(rest) + len(text)
+                if len(rows) > 50_000 or chars > SLICE:
+                    yield _batch(rows)
+                    rows, chars = [], 0
+            yield _batch(rows)
 
     return refined
 
 
 def _meet(most, hot):
     """Pairs of lines under one key of which one is at home and whose signs are near enough; for a
-    key with over `hot` lines instead a row (key, NULL), if `hot` is given."""
+    key with over `hot` lines instead a row (key, NULL)."""
 
     def meet(batches):
         for key, line, sign, home in whole_runs(batches):
@@ -229,7 +267,7 @@ def _meet(most, hot):
             key, line, sign, home = (x[new] for x in (key, line, sign, home))
             start, end = runs(key)
             size = end - start
-            busy = size > hot if hot else np.zeros(len(size), dtype=bool)
+            busy = size > hot
             found = []
             for s, e in zip(start[(size > 16) & ~busy], end[(size > 16) & ~busy]):
                 own = np.flatnonzero(home[s:e]) + s
@@ -259,37 +297,93 @@ def _meet(most, hot):
     return meet
 
 
-def candidates(texts, edit_chars=EDIT_CHARS, most=MOST_EDITS, hot=HOT, levels=LEVELS):
-    """(a, b): pairs of line numbers that may be within the allowed edits.
+def _dealt(rest, block):
+    """(cell, line, sign, home, mine, inner, text): the lines of each key in blocks of about `block`
+    lines, each pair of blocks in a cell of its own. A key's lines meet its number of blocks in
+    SALTS parts, so a key of any size is spread before its lines are multiplied."""
+    sizes = rest.groupBy("key").agg(F.ceil(F.count("*") / block).alias("blocks"))
+    salted = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = rest.withColumn("salt", F.pmod(F.xxhash64("line"), F.lit(SALTS)).cast("int")).join(salted, ["key", "salt"])
+    rows = rows.withColumn("mine", F.pmod(F.xxhash64(F.lit(BLOCK), "line"), F.col("blocks"))).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    )
+    return rows.select(
+        F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("cell"),
+        "line", "sign", "home", "mine", (F.col("mine") == F.col("other")).alias("inner"), "text",
+    )
+
+
+def _connected(edit_chars, most):
+    """Of rows sorted by cell, pairs of lines within the edits that connect all such lines of the
+    cell; inside a block in its inner cell, across its two blocks in any other."""
+
+    def connected(batches):
+        for cell, line, sign, home, mine, inner, text in whole_runs(batches):
+            new = np.concatenate([[True], (cell[1:] != cell[:-1]) | (line[1:] != line[:-1])])
+            cell, line, sign, home, mine, inner, text = (x[new] for x in (cell, line, sign, home, mine, inner, text))
+            found = []
+            for s, e in zip(*(x.tolist() for x in runs(cell))):
+                lefts, rights = np.arange(s, e), np.arange(s, e)
+                if not inner[s]:
+                    first = mine[s:e] == mine[s]
+                    lefts, rights = lefts[first], rights[~first]
+                label = np.arange(len(line))  # lines that are connected have the same
+                grams = _grams(text[s:e])
+                for a in lefts.tolist():
+                    near = np.bitwise_count((sign[rights] ^ sign[a]).view(np.uint64)) <= 2 * most
+                    near &= (label[rights] != label[a]) & (home[rights] | home[a])
+                    some = rights[near]
+                    some = some[np.abs(grams[some - s] - grams[a - s]).sum(axis=1) <= 4 * most]
+                    for b in some.tolist():
+                        k = edits_of(min(len(text[a]), len(text[b])), edit_chars, most)
+                        if label[b] != label[a] and within(text[a], text[b], k):
+                            label[s:e][label[s:e] == label[b]] = label[a]
+                            found.append((line[a], line[b]))
+            pairs = np.array(found, dtype=np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+        release()
+
+    return connected
+
+
+def candidates(texts, edit_chars=EDIT_CHARS, most=MOST_EDITS, hot=HOT, levels=LEVELS, block=BLOCK):
+    """(a, b): pairs of line numbers that may be within the allowed edits; of the lines under a key
+    that stays hot, pairs that are, enough to connect all that are.
 
     `texts` has a column text, of which each line is taken; a line may come several times. Keys with
     over `hot` lines are refined, at most `levels` times or until there is too little left to cut;
-    what still meets is compared in blocks.
+    what still meets is compared in blocks of about `block` lines, each pair of blocks by itself.
     """
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def met(keyed, limit):
+    def met(keyed):
         dealt = keyed.select("key", "line", "sign", "home").repartition(parts, "key")
         ordered = dealt.sortWithinPartitions("key", "line", F.desc("home"))
-        return stored(ordered.mapInArrow(_meet(most, limit), "a long, b long"), "line-pairs")
+        return stored(ordered.mapInArrow(_meet(most, hot), "a long, b long"), "line-pairs")
+
+    def connected(rest):
+        dealt = _dealt(rest, block).repartition(parts, "cell")
+        ordered = dealt.sortWithinPartitions("cell", "line", F.desc("home"))
+        return stored(ordered.mapInArrow(_connected(edit_chars, most), "a long, b long"), "line-links")
 
     # Lines and keys are made in one step, so that a task holds one Python worker.
-    keys = _first_keys(edit_chars, most)
-    found = met(texts.mapInArrow(lambda batches: keys(_texts(batches)), _LIGHT), hot if levels else 0)
-    pairs, states = found.where("b is not null"), None
-    for level in range(1, levels + 1):
+    keys, start = _first_keys(edit_chars, most), _started(edit_chars, most)
+    found = met(texts.mapInArrow(lambda batches: keys(_texts(batches)), _LIGHT))
+    pairs = found.where("b is not null")
+    states = texts.mapInArrow(lambda batches: start(_texts(batches)), _STATE)
+    for level in range(levels + 1):
         busy = found.where("b is null").select(F.col("a").alias("key"))
         if busy.isEmpty():
             break
-        if level == 1:
-            start = _started(edit_chars, most)
-            states = texts.mapInArrow(lambda batches: start(_texts(batches)), _STATE)
         rest = stored(
-            states.mapInArrow(_refined(most, level == 1), _STATE).join(busy, "key", "left_semi").distinct(), "hot-lines"
+            states.mapInArrow(_refined(most, level == 0), _STATE).join(busy, "key", "left_semi").distinct(), "hot-lines"
         )
-        pairs = pairs.unionByName(met(rest.where("n <= k"), 0))
+        if level == levels:
+            pairs = pairs.unionByName(connected(rest))
+            break
+        pairs = pairs.unionByName(connected(rest.where("n <= k")))
         states = rest.where("n > k")
-        found = met(states.mapInArrow(_refined(most, False), _STATE), hot if level < levels else 0)
+        found = met(states.mapInArrow(_refined(most, False), _STATE))
         pairs = pairs.unionByName(found.where("b is not null"))
     return pairs.distinct()
 
@@ -303,7 +397,7 @@ def _alike(edit_chars, most):
                 kept = []
                 for x, y in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()):
                     k = edits_of(min(len(x), len(y)), edit_chars, most)
-                    kept.append(k > 0 and distance(x, y, k) <= k)
+                    kept.append(k > 0 and within(x, y, k))
                 yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
         release()
 
@@ -348,13 +442,13 @@ def _texts(batches):
     release()
 
 
-def classes(texts, edit_chars=EDIT_CHARS, most=MOST_EDITS, hot=HOT, levels=LEVELS):
+def classes(texts, edit_chars=EDIT_CHARS, most=MOST_EDITS, hot=HOT, levels=LEVELS, block=BLOCK):
     """(line, root) of the lines that are alike some other line, directly or over others.
 
     Only lines of candidate pairs are dealt with their text. If these are few, their numbers are
     sent to all tasks that read the texts; else texts and numbers are joined by a shuffle.
     """
-    pairs = candidates(texts, edit_chars, most, hot, levels)
+    pairs = candidates(texts, edit_chars, most, hot, levels, block)
     wanted = stored(
         pairs.select(F.col("a").alias("line")).unionByName(pairs.select(F.col("b").alias("line"))).distinct(),
         "line-wanted",

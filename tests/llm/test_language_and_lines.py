@@ -106,6 +106,7 @@ def test_banded_distance():
         b = _edited(rng, a, rng.randrange(4)) if a else "b"
         for k in range(4):
             assert lines.distance(a, b, k) == min(_distance(a, b), k + 1)
+            assert lines.within(a, b, k) == (_distance(a, b) <= k)
 
 
 def _line_rows(seed=2, n=120):
@@ -145,7 +146,9 @@ def _kept(rows):
     return out
 
 
-@pytest.mark.parametrize("options", [{}, {"hot": 8}, {"hot": 3, "levels": 1}])
+@pytest.mark.parametrize(
+    "options", [{}, {"hot": 8}, {"hot": 3, "levels": 1}, {"hot": 3, "levels": 0, "block": 5}, {"hot": 2, "levels": 2, "block": 3}]
+)
 def test_lines_within_the_edits_are_dropped(spark, options):
     rows = _line_rows()
     docs = spark.createDataFrame(rows, "doc_id long, text string")
@@ -153,6 +156,17 @@ def test_lines_within_the_edits_are_dropped(spark, options):
     assert {r["doc_id"]: r["_lines"]["text"] for r in found.collect()} == _kept(rows)
 
 
+def test_many_lines_of_one_template_are_linked_by_few_pairs(spark):
+    numbers = sorted(random.Random(6).sample(range(10**4), 1_500))
+    texts = [f"Report number {x:04d} of the daily price service, all rights reserved" for x in numbers]
+    rows = spark.createDataFrame([("\n".join(texts[i:i + 500]),) for i in range(0, 1_500, 500)], "text string")
+    pairs = lines.candidates(rows, hot=200, levels=0, block=300)
+    assert 0 < pairs.count() < 60 * len(texts)  # a million pairs share a segment
+    found = lines.classes(rows, hot=200, levels=0, block=300)
+    assert found.select("line").distinct().count() == len(texts)
+    assert found.select("root").distinct().count() == 1
+
+
 def test_lines_of_odd_rows(spark):
     rows = [(1, "a line\n\nA line"), (None, "a line\nother"), (2, None), (3, ""), (4, "a line"), (4, "a line"), (4, "more")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("line", F.lit(7))
