@@ -4,13 +4,16 @@ from pyspark.sql import functions as F
 
 from candlegrowth import schema
 
+_LEAST_INFINITE = 309  # digits of the least number that no double holds; so long a text is parsed twice
+
 
 def parse_decimal(text):
     """Number with a decimal comma or point, in full precision; NULL where the cell is not a plain
     finite number."""
-    plain = text.rlike(r"^[+-]?[0-9]+([.,][0-9]+)?$")
+    plain = text.rlike(r"^[+-]?[0-9]+(?:[.,][0-9]+)?$")
     number = F.replace(text, F.lit(","), F.lit(".")).try_cast("double")
-    return F.when(plain & (F.abs(number) < float("inf")), number)
+    finite = (F.length(text) < _LEAST_INFINITE) | (F.abs(number) < float("inf"))
+    return F.when(plain & finite, number)
 
 
 def parse_time(text):

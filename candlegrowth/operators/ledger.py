@@ -15,17 +15,21 @@ def rejected_lines(lines, delimiter=schema.DELIMITER):
     of candle files that the reader sets apart. Blank lines and headers are not; the cells are
     read as `read_candles` reads them. `lines` are those of `spark.read.text`.
     """
-    numbered = positions.numbered_lines(lines).where(F.trim("value") != "")
     options = {
         "sep": delimiter, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": schema.CORRUPT,
         "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true",
     }
-    cells = numbered.select("file_path", "line", "value", F.from_csv("value", _CELLS, options).alias("cells"))
-    parsed = clean.parse_candles(cells.select("file_path", "line", "value", "cells.*"))
-    header = F.col("time_text").eqNullSafe(schema.HEADER_CELL)
-    return parsed.where(~header & (F.col("reject_reason") != "")).select(
-        "file_path", "line", F.col("reject_reason").alias("reason"), "value"
-    )
+
+    def rejected(rows):
+        # By a generator, as a projected column would be put into each place of the filter that names it,
+        # and every line be split into cells dozens of times.
+        cells = F.inline(F.array(F.from_csv("value", _CELLS, options)))
+        parsed = clean.parse_candles(rows.where(F.trim("value") != "").select("*", cells))
+        header = F.col("time_text").eqNullSafe(schema.HEADER_CELL)
+        bad = parsed.where(~header & (F.col("reject_reason") != ""))
+        return bad.select(*rows.columns, F.col("reject_reason").alias("reason"))
+
+    return positions.numbered_lines(lines, rejected).select("file_path", "line", "reason", "value")
 
 
 def entries(rejects, versions):

@@ -33,9 +33,10 @@ def global_index(rows, order, name="index"):
     ).drop("_range", "_before", "_place")
 
 
-def numbered_lines(lines):
+def numbered_lines(lines, chosen=None):
     """Text lines as `spark.read.text` gives them, with file_path and `line`, the place in the file
-    from 0 on, header lines counted.
+    from 0 on, header lines counted. `chosen` may take rows away and add columns before the lines get
+    their places, which stay those among all lines; it is given the lines with file_path.
 
     A large file is read in splits by different tasks. A task reads a split from start to end, so its
     own counter numbers the split's lines; the lines of the splits before it come from the counts of
@@ -48,6 +49,7 @@ def numbered_lines(lines):
     splits = marked.groupBy("file_path", "_start").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy("file_path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    marked = chosen(marked) if chosen else marked
     return marked.join(splits.drop("_n"), ["file_path", "_start"]).withColumn(
         "line", F.col("_before") + F.col("_id") - F.col("_first")
     ).drop("_start", "_id", "_first", "_before")

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import fixtures
+from candlegrowth.functions import parse
 from candlegrowth.operators import audit, clean, digest, ledger, upsert
 from candlegrowth.sinks import buckets
 from candlegrowth.sources import files as sources
@@ -60,6 +61,41 @@ def test_lines_of_a_file_in_many_splits(spark, tmp_path):
     assert found == list(range(0, 4000, 97))
 
 
+def test_lines_are_split_into_cells_once(spark, tmp_path):
+    (tmp_path / NAME).write_text(GOOD + BAD_PRICE)
+    found = ledger.rejected_lines(spark.read.text(str(tmp_path)))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_csv(") == 1
+    # Only rejected lines are joined with the splits.
+    assert plan.index("Join") < plan.index("from_csv(")
+    assert [r["line"] for r in found.collect()] == [4]
+
+
+def test_numbers_about_as_long_as_the_largest_double(spark):
+    """Texts of a length that no infinite number has are not parsed twice."""
+    texts = ["9" * 308, "-" + "9" * 308, "9" * 309, "-" + "9" * 309, "0" * 400 + "1,5", "1" + "0" * 308, "2" + "0" * 308]
+    rows = spark.createDataFrame([(x,) for x in texts], "text string")
+    found = [r[0] for r in rows.select(parse.parse_decimal(F.col("text"))).collect()]
+    numbers = [float(x.replace(",", ".")) for x in texts]
+    assert found == [x if abs(x) < float("inf") else None for x in numbers]
+    assert found[4:] == [1.5, 1e308, None]
+
+
+def test_entries_of_repeated_and_equal_lines(spark):
+    """A line twice in both versions, the same text in another file, and versions without a later one."""
+    rejects = [("a", 0, 1, "x", "v"), ("a", 0, 2, "x", "v"), ("a", 1, 5, "x", "v"), ("a", 1, 6, "x", "v"),
+               ("b", 0, 1, "x", "v"), ("c", 1, 1, "x", "v"), ("c", 1, 2, "x", "w")]
+    versions = [("a", 0, 9), ("a", 1, 9), ("b", 0, 9), ("b", 1, 9), ("c", 1, 9), ("c", 2, None)]
+    found = ledger.entries(
+        spark.createDataFrame(rejects, "file_path string, version int, line long, reason string, value string"),
+        spark.createDataFrame(versions, "file_path string, version int, length long"),
+    )
+    assert sorted((r["file_path"], r["version"], r["line"], r["status"], r["closed_by"] or -1) for r in found.collect()) == [
+        ("a", 0, 1, "repeated", 1), ("a", 0, 2, "repeated", 1), ("a", 1, 5, "open", -1), ("a", 1, 6, "open", -1),
+        ("b", 0, 1, "mended", 1), ("c", 1, 1, "withdrawn", 2), ("c", 1, 2, "withdrawn", 2),
+    ]
+
+
 def test_entries_are_closed_by_the_next_version(spark, tmp_path):
     folder = tmp_path / "in [x]*"
     folder.mkdir()
