@@ -14,6 +14,7 @@ and what stands between such cuts, mostly words, is encoded once per task and lo
 """
 
 import hashlib
+import re
 from collections.abc import Iterator
 from itertools import chain
 
@@ -26,6 +27,19 @@ from candlegrowth.llm.common import slices
 SPACE = "▁"  # stands for a blank in pieces
 MOST_KEPT = 300_000  # words and parts, and pairs of pieces, whose result is kept in a task
 KEPT_CHARS = 64  # characters of the longest word that is kept
+_NONE = float("-inf")  # the score of what is no piece
+_RUNS = re.compile(r"▁*[A-Za-zÀ-ÖØ-öø-ɏ]+|.", re.DOTALL)  # Latin letters with the blanks before, or one character
+
+
+class _Filled(dict):
+    """A dictionary that asks a function for what it does not hold."""
+
+    def __init__(self, of, held=()):
+        super().__init__(held)
+        self.of = of
+
+    def __missing__(self, key):
+        return self.of(key)
 
 
 class Encoder:
@@ -62,29 +76,42 @@ class Encoder:
         self.joined = {p[i:i + 2] for p in self.score for i in range(len(p) - 1)}
         # Blanks begin words where no piece has one behind another character.
         self.words = not any(j[1] == SPACE != j[0] for j in self.joined)
-        self.suits, self.found, self.older = {}, {}, {}
+        self.suits, self.found, self.older = {}, _Filled(self.word), {}
+        self.ids = _Filled(self._number, self.ids)
         self.numbers = [str(i) for i in range(model.get_piece_size())]
 
     def merge(self, text):
         """The symbols that merging leaves of a short text."""
-        symbols = list(text)
-        while True:
-            best, at = None, -1
-            for i in range(len(symbols) - 1):
-                score = self.score.get(symbols[i] + symbols[i + 1])
-                if score is not None and (best is None or score > best):
-                    best, at = score, i
-            if at < 0:
-                return symbols
+        symbols, score = list(text), self.score.get
+        scores = [score(a + b, _NONE) for a, b in zip(symbols, symbols[1:])]
+        while scores:
+            best = max(scores)
+            if best == _NONE:
+                break
+            at = scores.index(best)  # the leftmost
             symbols[at:at + 2] = [symbols[at] + symbols[at + 1]]
-
-    def _suit(self, left, right):
-        """Whether two pieces stay as they are side by side; a first piece has None on its left."""
+            del scores[at]
+            if at:
+                scores[at - 1] = score(symbols[at - 1] + symbols[at], _NONE)
+            if at < len(scores):
+                scores[at] = score(symbols[at] + symbols[at + 1], _NONE)
+        return symbols
+
+    def _fit(self, left, piece):
+        """The longest beginning of a piece that is a piece and stays as it is beside its left neighbour, or
+        None; a first piece has None on its left."""
+        alone = [piece] if left is None else [left, piece]
+        if self.merge("".join(alone)) == alone:
+            found = piece
+        else:
+            found = self.shorter.get(piece)
+            if found is not None:
+                key = left, found
+                found = self.suits[key] if key in self.suits else self._fit(*key)
         if len(self.suits) >= MOST_KEPT:
             self.suits.clear()
-        alone = [right] if left is None else [left, right]
-        known = self.suits[left, right] = self.merge("".join(alone)) == alone
-        return known
+        self.suits[left, piece] = found
+        return found
 
     def _longest(self, text):
         """For each place the longest piece that begins there, or the character alone."""
@@ -104,11 +131,13 @@ class Encoder:
         piece = longest[0] if size else None
         while at < size:
             while piece is not None:
+                key = left, piece
+                piece = suits[key] if key in suits else self._fit(left, piece)
+                if piece is None:
+                    break
                 end = at + len(piece)
                 if not failed[end >> 3] >> (end & 7) & 1:
-                    known = suits.get((left, piece))
-                    if known or known is None and self._suit(left, piece):
-                        break
+                    break
                 piece = shorter.get(piece)
             if piece is not None:
                 done.append(piece)
@@ -122,20 +151,25 @@ class Encoder:
         return done
 
     def _number(self, piece):
-        return self.ids.get(piece) or tuple(self.bytes_ids[b] for b in piece.encode())
+        known = self.ids.get(piece)
+        return known or tuple(self.bytes_ids[b] for b in piece.encode())
 
     def _cut(self, word):
-        """A word between the places that no merge crosses."""
-        joined = self.joined
-        cuts = [i for i, (a, b) in enumerate(zip(word, word[1:]), 1) if a + b not in joined]
-        return [word[i:j] for i, j in zip([0, *cuts], [*cuts, len(word)])]
+        """A word between the places that no merge crosses, but for those between Latin letters."""
+        joined, parts, start, end = self.joined, [], 0, 0
+        for run in _RUNS.findall(word):
+            if end and word[end - 1] + run[0] not in joined:
+                parts.append(word[start:end])
+                start = end
+            end += len(run)
+        parts.append(word[start:])
+        return parts
 
     def _ids(self, part):
         """The ids of what stands between two cuts."""
-        known, out = self.ids, []
-        for piece in self.split(part) if len(part) > 1 else [part]:
-            out.extend(known.get(piece) or self._number(piece))
-        return out
+        if len(part) == 1:
+            return list(self.ids[part])
+        return list(chain.from_iterable(map(self.ids.__getitem__, self.split(part))))
 
     def word(self, word):
         """The ids of a word. Those of the last MOST_KEPT words and parts, and of the as many before
@@ -155,7 +189,7 @@ class Encoder:
                     known = known + ids
         if len(word) <= KEPT_CHARS:
             if len(self.found) >= MOST_KEPT:
-                self.older, self.found = self.found, {}
+                self.older, self.found = self.found, _Filled(self.word)
             self.found[word] = known
         return known
 
@@ -164,12 +198,13 @@ class Encoder:
         text = self.library.normalize(text)
         if not self.words:
             return [text] if text else []
+        first, *parts = text.split(SPACE)
+        if "" not in parts:
+            words = [SPACE + part for part in parts]
+            return [first, *words] if first else words
         # Blanks that follow one another stay with the word behind them.
-        words, blanks = [], ""
-        parts = text.split(SPACE)
-        if parts[0]:
-            words.append(parts[0])
-        for part in parts[1:]:
+        words, blanks = [first] if first else [], ""
+        for part in parts:
             blanks += SPACE
             if part:
                 words.append(blanks + part)
@@ -180,10 +215,7 @@ class Encoder:
 
     def encode(self, text):
         """The ids of a text, without begin and end."""
-        out = []
-        for word in self._words(text):
-            out += self.found.get(word) or self.word(word)
-        return out
+        return list(chain.from_iterable(map(self.found.__getitem__, self._words(text))))
 
     def joined_ids(self, ids):
         """The ids as decimal numbers joined by commas."""

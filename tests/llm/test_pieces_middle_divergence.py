@@ -74,6 +74,18 @@ def test_a_piece_that_does_not_suit_gives_way(encoder):
     assert taken_back
 
 
+def test_the_piece_that_suits_is_found_by_one_look(encoder):
+    """Kept is what a pair comes to, the longest beginning that suits, and not only whether it suits."""
+    encoder.encode("unsuitable neighbours, give way! Straße; 12345")
+    for (left, piece), found in list(encoder.suits.items())[:2000]:
+        while piece is not None:
+            alone = [piece] if left is None else [left, piece]
+            if encoder.merge("".join(alone)) == alone:
+                break
+            piece = encoder.shorter.get(piece)
+        assert found == piece
+
+
 def test_the_cache_may_be_emptied_at_any_time(monkeypatch):
     monkeypatch.setattr(pieces, "MOST_KEPT", 3)
     small = pieces.Encoder(MODEL)
